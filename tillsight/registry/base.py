@@ -95,8 +95,12 @@ class Retail:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round means of doubles, whose last bits depend on the order of addition."""
-    return df.withColumns({c: F.round(c, digits) for c in columns})
+    """Round means of doubles, whose last bits depend on the order of addition.
+
+    Means of short decimals often end exactly on half a unit; a thousandth of a unit, far above
+    those last bits, puts such a tie on one side. ``near`` is the same in SQL.
+    """
+    return df.withColumns({c: F.round(F.col(c) + F.lit(float(f"1e-{digits + 3}")), digits) for c in columns})
 
 
 def query(name: str, sql: str | None = None):
@@ -121,6 +125,10 @@ def avg(column: str, alias: str | None = None) -> str:
     return text if alias is None else f"{text} AS {alias}"
 
 
+def near(expr: str, digits: int) -> str:
+    return f"round({expr} + 1e-{digits + 3}::double, {digits})"
+
+
 def total(expr: str, alias: str) -> str:
     return f"cast(sum({expr}) AS double) AS {alias}"
 

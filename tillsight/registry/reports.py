@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ..functions import measures
 from ..plans import departments, economy, holiday, markdowns, seasons, storetypes
-from .base import Retail, query, rounded
+from .base import Retail, near, query, rounded
 
 _TOP20 = "SELECT * FROM by_dept ORDER BY total_sales DESC NULLS LAST, store_id, dept_id LIMIT 20"
 _LABELS = """'Dept ' || dept_id || chr(10) || '(Store ' || store_id || ')' AS label,
@@ -72,11 +72,11 @@ def share_by_store_type_dedup(r: Retail) -> DataFrame:
 
 # --- holidays --------------------------------------------------------------------------------
 
-@query("holiday_summary", """
+@query("holiday_summary", f"""
 SELECT cast(grand_total AS double) AS grand_total, cast(holiday_total AS double) AS holiday_total,
        cast(nonholiday_total AS double) AS nonholiday_total,
-       round(holiday_avg, 4) AS holiday_avg, round(nonholiday_avg, 4) AS nonholiday_avg,
-       round((holiday_avg - nonholiday_avg) / nonholiday_avg * 100, 6) AS pct_diff
+       {near("holiday_avg", 4)} AS holiday_avg, {near("nonholiday_avg", 4)} AS nonholiday_avg,
+       {near("(holiday_avg - nonholiday_avg) / nonholiday_avg * 100", 6)} AS pct_diff
 FROM holiday_totals""")
 def holiday_summary(r: Retail) -> DataFrame:
     return rounded(rounded(holiday.summary(r.by_store), 4, "holiday_avg", "nonholiday_avg"), 6, "pct_diff")
@@ -101,8 +101,8 @@ def holiday_share_cum(r: Retail) -> DataFrame:
     return holiday.share_positions(r.by_store)
 
 
-@query("holiday_avg_rows", """
-SELECT type, round(avg, 4) AS avg, color, '$' || format('{:,.0f}', avg) AS label
+@query("holiday_avg_rows", f"""
+SELECT type, {near("avg", 4)} AS avg, color, '$' || format('{{:,.0f}}', avg) AS label
 FROM (SELECT 'Non-Holiday' AS type, nonholiday_avg AS avg, 'FALSE' AS color FROM holiday_totals
       UNION ALL SELECT 'Holiday', holiday_avg, 'TRUE' FROM holiday_totals)""")
 def holiday_avg_rows(r: Retail) -> DataFrame:
@@ -148,17 +148,17 @@ def store_holiday_split(r: Retail) -> DataFrame:
 
 # --- economics -------------------------------------------------------------------------------
 
-@query("econ_weekly", """
-SELECT store_date, sales_year, round(avg(avg_weekly_sales), 6) AS avg_weekly_sales,
-       round(avg(avg_temperature), 6) AS avg_temperature, round(avg(avg_fuel_price), 6) AS avg_fuel_price,
-       round(avg(avg_unemployment), 6) AS avg_unemployment, round(avg(avg_cpi), 6) AS avg_cpi
+@query("econ_weekly", f"""
+SELECT store_date, sales_year, {near("avg(avg_weekly_sales)", 6)} AS avg_weekly_sales,
+       {near("avg(avg_temperature)", 6)} AS avg_temperature, {near("avg(avg_fuel_price)", 6)} AS avg_fuel_price,
+       {near("avg(avg_unemployment)", 6)} AS avg_unemployment, {near("avg(avg_cpi)", 6)} AS avg_cpi
 FROM factors GROUP BY store_date, sales_year""")
 def econ_weekly(r: Retail) -> DataFrame:
     return rounded(economy.weekly(r.factors), 6, *economy.SERIES)
 
 
-@query("fuel_by_month", """
-SELECT sales_year, sales_month, round(avg(avg_fuel_price), 6) AS avg_fuel_price,
+@query("fuel_by_month", f"""
+SELECT sales_year, sales_month, {near("avg(avg_fuel_price)", 6)} AS avg_fuel_price,
        (sales_year - 2010) * 12 + sales_month AS month_num
 FROM factors GROUP BY sales_year, sales_month""")
 def fuel_by_month(r: Retail) -> DataFrame:
@@ -167,7 +167,7 @@ def fuel_by_month(r: Retail) -> DataFrame:
 
 def _trend_sql(x: str) -> str:
     return f"""
-SELECT round(regr_slope(avg_weekly_sales, {x}), 3) AS slope, round(regr_intercept(avg_weekly_sales, {x}), 3) AS intercept,
+SELECT {near(f"regr_slope(avg_weekly_sales, {x})", 3)} AS slope, {near(f"regr_intercept(avg_weekly_sales, {x})", 3)} AS intercept,
        min({x}) AS x_min, max({x}) AS x_max
 FROM factors"""
 
@@ -182,8 +182,8 @@ def trend_unemployment(r: Retail) -> DataFrame:
     return rounded(economy.trend(r.factors, "avg_unemployment"), 3, "slope", "intercept")
 
 
-@query("trend_line", """
-SELECT cast(point AS int) AS point, round(x, 9) AS x, round(slope * x + intercept, 3) AS y
+@query("trend_line", f"""
+SELECT cast(point AS int) AS point, {near("x", 9)} AS x, {near("slope * x + intercept", 3)} AS y
 FROM (SELECT point, slope, intercept, x_min + (x_max - x_min) * point / 99.0::double AS x
       FROM (SELECT regr_slope(avg_weekly_sales, avg_fuel_price) AS slope,
                    regr_intercept(avg_weekly_sales, avg_fuel_price) AS intercept,
@@ -192,11 +192,11 @@ def trend_line(r: Retail) -> DataFrame:
     return rounded(rounded(economy.trend_line(r.factors, "avg_fuel_price"), 9, "x"), 3, "y")
 
 
-@query("econ_corr", """
-SELECT round(corr(avg_weekly_sales, avg_temperature), 6) AS corr_temperature,
-       round(corr(avg_weekly_sales, avg_fuel_price), 6) AS corr_fuel_price,
-       round(corr(avg_weekly_sales, avg_unemployment), 6) AS corr_unemployment,
-       round(corr(avg_weekly_sales, avg_cpi), 6) AS corr_cpi
+@query("econ_corr", f"""
+SELECT {near("corr(avg_weekly_sales, avg_temperature)", 6)} AS corr_temperature,
+       {near("corr(avg_weekly_sales, avg_fuel_price)", 6)} AS corr_fuel_price,
+       {near("corr(avg_weekly_sales, avg_unemployment)", 6)} AS corr_unemployment,
+       {near("corr(avg_weekly_sales, avg_cpi)", 6)} AS corr_cpi
 FROM factors""")
 def econ_corr(r: Retail) -> DataFrame:
     df = economy.correlations(r.factors)
@@ -205,9 +205,9 @@ def econ_corr(r: Retail) -> DataFrame:
 
 # --- calendar --------------------------------------------------------------------------------
 
-@query("sales_by_month", """
+@query("sales_by_month", f"""
 SELECT sales_month, month_name, cast(sum(cast(total_sales AS decimal(28,2))) AS double) / 1e6 AS total_sales_m,
-       round(avg(avg_weekly_sales), 4) AS avg_weekly
+       {near("avg(avg_weekly_sales)", 4)} AS avg_weekly
 FROM by_date GROUP BY sales_month, month_name""")
 def sales_by_month(r: Retail) -> DataFrame:
     return rounded(seasons.by_month(r.by_date), 4, "avg_weekly")
@@ -227,17 +227,17 @@ def holiday_weeks(r: Retail) -> DataFrame:
     return seasons.holiday_weeks(r.by_date)
 
 
-@query("holiday_by_month", """
-SELECT sales_month, month_name, holiday, round(avg(avg_weekly_sales), 4) AS avg_weekly
+@query("holiday_by_month", f"""
+SELECT sales_month, month_name, holiday, {near("avg(avg_weekly_sales)", 4)} AS avg_weekly
 FROM labelled_dates GROUP BY sales_month, month_name, holiday""")
 def holiday_by_month(r: Retail) -> DataFrame:
     return rounded(seasons.holiday_by_month(r.by_date), 4, "avg_weekly")
 
 
-@query("holiday_months", """
+@query("holiday_months", f"""
 SELECT sales_month, month_name,
-       round(coalesce(avg(avg_weekly_sales) FILTER (holiday = 'FALSE'), 0), 4) AS nonholiday_avg,
-       round(avg(avg_weekly_sales) FILTER (holiday = 'TRUE'), 4) AS holiday_avg
+       {near("coalesce(avg(avg_weekly_sales) FILTER (holiday = 'FALSE'), 0)", 4)} AS nonholiday_avg,
+       {near("avg(avg_weekly_sales) FILTER (holiday = 'TRUE')", 4)} AS holiday_avg
 FROM labelled_dates GROUP BY sales_month, month_name HAVING count(*) FILTER (holiday = 'TRUE') > 0""")
 def holiday_months(r: Retail) -> DataFrame:
     return rounded(seasons.holiday_months(r.by_date), 4, "nonholiday_avg", "holiday_avg")
