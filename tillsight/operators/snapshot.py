@@ -66,9 +66,13 @@ class SnapshotTable:
 
     def current(self) -> DataFrame:
         """Open rows only; closed ones are not read."""
-        months = self._months(self.last_run())
-        if not months:
-            raise LookupError(f"{self.name} has no open rows")
+        last = self.last_run()
+        if not last:
+            raise LookupError(f"{self.name} has not been built")
+        months = self._months(last)
+        if not months:  # every run so far had an empty source
+            none = self.spark.read.parquet(self._path("changes", _run(last)))
+            return open_version(none.drop("is_new", MONTH), self.key, F.lit(None).cast("timestamp"), self.names)
         return self._read_months(months).drop(MONTH)
 
     def closed(self) -> DataFrame:
@@ -96,12 +100,8 @@ class SnapshotTable:
         source = source.withColumn(MONTH, F.date_format(F.col(self.month_of), "yyyy-MM"))
 
         # 1. What changed, written down: everything after reads this small table.
-        if last:
-            # Source keys carry their month, so months the source lacks need no reading.
-            delta = differences(self._read_months(months), source, self.key, self.check_cols)
-        else:
-            empty = self.spark.createDataFrame([], source.schema)
-            delta = differences(empty, source, self.key, self.check_cols)
+        known = self._read_months(months) if months else self.spark.createDataFrame([], source.schema)
+        delta = differences(known, source, self.key, self.check_cols)
         delta.write.mode("overwrite").parquet(self._path("changes", _run(now)))
         delta = self.spark.read.parquet(self._path("changes", _run(now)))
         stats = delta.groupBy(MONTH).agg(F.count_if("is_new").alias("n"),

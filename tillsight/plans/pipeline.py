@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,8 +62,14 @@ class Pipeline:
             return self.landing.load_all(folder, mode, run_ts)
 
     def build_dims(self, run_ts: str | None = None, full_refresh: bool = False) -> None:
-        departments, stores = self.landing.table("department_raw"), self.landing.table("stores_raw")
+        self._together({
+            "date_dim": partial(self._build_date_dim, run_ts, full_refresh),
+            "store_dim": partial(self._build_store_dim, run_ts, full_refresh),
+        })
+
+    def _build_date_dim(self, run_ts: str | None, full_refresh: bool) -> None:
         with self._step("date_dim"):
+            departments = self.landing.table("department_raw")
             if full_refresh or not self.wh.exists(DATE_DIM):
                 out = with_audit(dims.date_dim(departments), run_ts)
             else:
@@ -68,8 +77,11 @@ class Pipeline:
                 fresh = dims.date_dim_increment(departments, existing, self.date_ids)
                 out = dims.upsert(existing, with_audit(fresh, run_ts), ["date_id"])
             self.wh.write(out, DATE_DIM)
+
+    def _build_store_dim(self, run_ts: str | None, full_refresh: bool) -> None:
         with self._step("store_dim"):
-            fresh = with_audit(dims.store_dim(departments, stores), run_ts)
+            fresh = with_audit(dims.store_dim(self.landing.table("department_raw"),
+                                              self.landing.table("stores_raw")), run_ts)
             if full_refresh or not self.wh.exists(STORE_DIM):
                 out = fresh
             else:
@@ -99,11 +111,20 @@ class Pipeline:
             "sales_by_storetype_month": lambda: marts.sales_by_storetype_month(weeks, stores),
             "markdown_by_year_store": lambda: marts.markdown_by_year_store(weeks, stores),
             "economic_factors": lambda: marts.economic_factors(weeks),
-            "holiday_impact": lambda: holiday.summary(self.wh.table("gold/sales_by_store")),
         }
-        for name, plan in plans.items():
-            with self._step(name):
-                self.wh.write(with_audit(plan(), run_ts), f"gold/{name}")
+        self._together({name: partial(self._build_mart, name, plan, run_ts) for name, plan in plans.items()})
+        self._build_mart("holiday_impact", lambda: holiday.summary(self.mart("sales_by_store")), run_ts)
+
+    def _build_mart(self, name: str, plan: Callable[[], DataFrame], run_ts: str | None) -> None:
+        with self._step(name):
+            self.wh.write(with_audit(plan(), run_ts), f"gold/{name}")
+
+    def _together(self, jobs: dict[str, Callable[[], None]]) -> None:
+        """Submit independent jobs at once, so that one's last tasks do not leave the cluster idle."""
+        with ThreadPoolExecutor(len(jobs)) as pool:
+            started = [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs.values()]
+        for job in started:
+            job.result()
 
     def run_checks(self) -> DataFrame:
         """The check table, stored under ``checks`` and returned."""

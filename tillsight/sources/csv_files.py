@@ -12,10 +12,12 @@ from ..schemas import Landing
 CORRUPT = "corrupt_record"
 
 # Comma, optional double quotes (doubled inside), one header line; columns map by position.
-# multiLine stays off so that one large file is still split over many tasks.
+# multiLine stays off so that one large file is still split over many tasks. Column pruning is off
+# because a parser that skips fields does not notice that a line has too few or too many.
 CSV_OPTIONS = {
     "header": "true", "sep": ",", "quote": '"', "escape": '"',
     "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
+    "columnPruning": "false",
 }
 
 # Which delivered file, in which state, a row came from.
@@ -67,10 +69,14 @@ def clean(df: DataFrame, landing: Landing) -> DataFrame:
 
 
 def split_bad(df: DataFrame, landing: Landing) -> tuple[DataFrame, DataFrame]:
-    """(good rows, malformed lines kept for inspection)."""
+    """(good rows, malformed lines with what could be parsed of them).
+
+    Spark refuses a bare count of either straight from the files; count what the landing tables
+    have stored.
+    """
     marked = clean(df, landing)
     good = marked.where(~F.col("bad")).select(*landing.columns)
-    bad = marked.where("bad").select(CORRUPT, *SOURCE_COLUMNS)
+    bad = marked.where("bad").select(*landing.columns, CORRUPT, *SOURCE_COLUMNS)
     return good, bad
 
 

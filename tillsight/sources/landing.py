@@ -15,7 +15,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -158,9 +158,10 @@ class LandingZone:
 
     # --- corrections -------------------------------------------------------------------------
 
-    def correct(self, table: str, condition, changes: dict[str, str], run_ts: str | None = None) -> None:
+    def correct(self, table: str, condition: str | Column, changes: dict[str, str],
+                run_ts: str | None = None) -> None:
         """UPDATE ... WHERE on a landing table, written as a new generation."""
-        condition = condition & ~F.col("bad")
+        condition = (F.expr(condition) if isinstance(condition, str) else condition) & ~F.col("bad")
         lines = correct(self._lines(table), condition, changes).drop("load")
         if run_ts is not None:
             lines = lines.withColumn("update_date", F.when(condition, F.lit(run_ts).cast("timestamp"))
@@ -170,8 +171,9 @@ class LandingZone:
         lines.write.mode("overwrite").partitionBy("bad").parquet(target)
 
 
-def correct(df: DataFrame, condition, changes: dict[str, str]) -> DataFrame:
+def correct(df: DataFrame, condition: str | Column, changes: dict[str, str]) -> DataFrame:
     """Set columns to new values where the condition holds; all other rows stay."""
+    condition = F.expr(condition) if isinstance(condition, str) else condition
     return df.withColumns({
         c: F.when(condition, F.lit(v)).otherwise(F.col(c)) for c, v in changes.items()
     })
