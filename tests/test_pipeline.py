@@ -12,6 +12,14 @@ T1, T2, T3 = "2026-03-15 14:36:01", "2026-03-15 14:57:43", "2026-03-16 09:00:00"
 FIRST = "store_id = '1' AND dept_id = '1' AND store_date = '2010-02-05'"
 
 
+@pytest.fixture(scope="module", autouse=True)
+def interpreted(spark):
+    """A run has some forty jobs on a handful of rows; compiling each would take most of the time."""
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    spark.conf.set("spark.sql.codegen.wholeStage", "true")
+
+
 @pytest.fixture
 def pipe(spark, tmp_path):
     return Pipeline(spark, str(tmp_path / "wh"))
@@ -89,6 +97,17 @@ def test_leftovers_of_a_failed_run_are_overwritten(pipe, delivery, tmp_path):
     assert versions_of_first(pipe) == [("24924.50", T1, T3), ("99999.99", T3, None)]
 
 
+def test_leftover_closed_rows_do_not_come_back(pipe, delivery, tmp_path):
+    pipe.run(str(delivery), T1)
+    pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "99999.99"})
+    pipe.run_snapshot(T2)
+    (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_SUCCESS").unlink()
+    pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "24924.50"})
+    assert pipe.run_snapshot(T3) == {"opened": 0, "replaced": 0, "months_rewritten": 0}
+    assert pipe.snapshot.last_run() == 2 and pipe.snapshot.closed().count() == 0
+    assert versions_of_first(pipe) == [("24924.50", T1, None)]
+
+
 def test_unchecked_attributes_keep_their_old_value(pipe, delivery):
     pipe.run(str(delivery), T1)
     pipe.landing.correct("stores_raw", "store_id = '1'", {"store_type": "C"})

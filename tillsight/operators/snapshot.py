@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from ..schemas import CHECK_COLUMNS, VersionColumns
 from ..sources.warehouse import Warehouse
 from .facts import KEY
-from .versions import NAMES, differences, open_version
+from .versions import NAMES, differences, open_version, reject_duplicates
 
 MONTH = "sales_month"
 
@@ -54,15 +54,11 @@ class SnapshotTable:
         return {r[MONTH]: r["written_by"] for r in rows}
 
     def _read_months(self, months: dict[str, int]) -> DataFrame:
-        frames = []
-        for run in sorted(set(months.values())):
-            base = self._path("current", _run(run))
-            chosen = [f"{base}/{MONTH}={m}" for m, r in months.items() if r == run]
-            frames.append(self.spark.read.option("basePath", base).parquet(*chosen))
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
-        return out.withColumn(MONTH, F.col(MONTH).cast("string"))
+        """One scan over the folders of the given months, whichever runs wrote them."""
+        base = self._path("current")
+        folders = [f"{base}/{_run(run)}/{MONTH}={month}" for month, run in sorted(months.items())]
+        df = self.spark.read.option("basePath", base).parquet(*folders)
+        return df.withColumn(MONTH, F.col(MONTH).cast("string")).drop("run")
 
     def current(self) -> DataFrame:
         """Open rows only; closed ones are not read."""
@@ -92,47 +88,73 @@ class SnapshotTable:
 
     # --- writing -----------------------------------------------------------------------------
 
-    def run(self, source: DataFrame, run_ts: str) -> dict[str, int]:
-        """Compare the source with the open rows and store the outcome. Returns what it did."""
+    def run(self, source: DataFrame, run_ts: str, prune: bool = False) -> dict[str, int]:
+        """Compare the source with the open rows and store the outcome. Returns what it did.
+
+        The key must determine the row's month. ``prune`` first looks up which months the source
+        holds and reads only those, which pays for a small source such as a micro-batch.
+        """
         last = self.last_run()
         now = last + 1
+        for part in ("changes", "closed", "current"):  # what a failed attempt at this run left
+            self.wh.drop_folder(self._path(part, _run(now)))
         months = self._months(last)
         source = source.withColumn(MONTH, F.date_format(F.col(self.month_of), "yyyy-MM"))
-
-        # 1. What changed, written down: everything after reads this small table.
+        if months:
+            known = months
+            if prune:
+                held = {r[MONTH] for r in source.select(MONTH).distinct().collect()}  # calendar months
+                known = {m: r for m, r in months.items() if m in held}
+            stats = self._write_changes(source, known, now, run_ts)
+        else:
+            stats = self._write_first(source, now, run_ts)
+        months.update({r[MONTH]: now for r in stats})
+        schema = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("written_by", T.IntegerType())])
+        (self.spark.createDataFrame(sorted(months.items()), schema).coalesce(1)
+         .write.mode("overwrite").parquet(self._path("commits", _run(now))))
+        return {"opened": sum(r.n for r in stats), "replaced": sum(r.c for r in stats),
+                "months_rewritten": len(stats)}
+
+    def _store(self, rows: DataFrame, now: int) -> None:
+        """Few files per month; a month too big for one task is split over several."""
+        (rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
+         .parquet(self._path("current", _run(now))))
+
+    def _write_first(self, source: DataFrame, now: int, run_ts: str) -> list:
+        """No open rows yet: every source row is new, so it is written once."""
+        none = source.limit(0).withColumn("is_new", F.lit(True))
+        none.write.mode("overwrite").parquet(self._path("changes", _run(now)))
+        self._store(open_version(reject_duplicates(source, self.key), self.key, run_ts, self.names), now)
+        base = self._path("current", _run(now))
+        written = {m: now for m in self.wh.folders(base, MONTH)}
+        if not written:
+            return []
+        return (self._read_months(written).groupBy(MONTH)
+                .agg(F.count(F.lit(1)).alias("n"), F.lit(0).alias("c")).collect())
+
+    def _write_changes(self, source: DataFrame, months: dict[str, int], now: int, run_ts: str) -> list:
+        """Write down what changed, then rewrite the months it touches from that small table."""
         known = self._read_months(months) if months else self.spark.createDataFrame([], source.schema)
         delta = differences(known, source, self.key, self.check_cols)
         delta.write.mode("overwrite").parquet(self._path("changes", _run(now)))
         delta = self.spark.read.parquet(self._path("changes", _run(now)))
         stats = delta.groupBy(MONTH).agg(F.count_if("is_new").alias("n"),
                                          F.count_if(~F.col("is_new")).alias("c")).collect()
-        opened = sum(r.n for r in stats)
-        replaced = sum(r.c for r in stats)
+        if not stats:
+            return []
+        fresh = open_version(delta.drop("is_new"), self.key, run_ts, self.names)
         touched = {r[MONTH] for r in stats}
-
-        # 2. Touched months: rows that stay as they are, and the new versions.
-        if touched:
-            fresh = open_version(delta.drop("is_new"), self.key, run_ts, self.names)
-            rewritten = {m: r for m, r in months.items() if m in touched}
-            if rewritten:
-                before = self._read_months(rewritten)
-                keys = delta.where(~F.col("is_new")).select(self.key)
-                if replaced:
-                    ended = (before.join(keys, self.key, "left_semi")
-                             .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
-                    ended.drop(MONTH).write.mode("overwrite").parquet(self._path("closed", _run(now)))
-                stay = before.join(keys, self.key, "left_anti")
-                fresh = stay.unionByName(fresh.select(*before.columns))
-            # Rebalance: few files per month, and a month too big for one task is split.
-            (fresh.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
-             .parquet(self._path("current", _run(now))))
-
-        # 3. Commit.
-        months.update({m: now for m in touched})
-        schema = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("written_by", T.IntegerType())])
-        (self.spark.createDataFrame(sorted(months.items()), schema).coalesce(1)
-         .write.mode("overwrite").parquet(self._path("commits", _run(now))))
-        return {"opened": opened, "replaced": replaced, "months_rewritten": len(touched)}
+        rewritten = {m: r for m, r in months.items() if m in touched}
+        if rewritten:
+            before = self._read_months(rewritten)
+            keys = delta.where(~F.col("is_new")).select(self.key)
+            if any(r.c for r in stats):
+                ended = (before.join(keys, self.key, "left_semi")
+                         .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
+                ended.drop(MONTH).write.mode("overwrite").parquet(self._path("closed", _run(now)))
+            fresh = before.join(keys, self.key, "left_anti").unionByName(fresh.select(*before.columns))
+        self._store(fresh, now)
+        return stats
 
 
 def _run(n: int) -> str:

@@ -38,7 +38,7 @@ def start_snapshot(pipeline: Pipeline, folder: str, run_ts_of, available_now: bo
         source = facts.enriched(facts.sales(good), facts.economics(pipeline.landing.table("fact_raw")),
                                 pipeline.wh.table(DATE_DIM), pipeline.wh.table(STORE_DIM))
         run_ts = run_ts_of(batch_id)
-        pipeline.snapshot.run(with_audit(source, run_ts), run_ts)
+        pipeline.snapshot.run(with_audit(source, run_ts), run_ts, prune=True)
 
     writer = (stream_csv(pipeline.spark, folder, landing, max_files).writeStream.foreachBatch(version)
               .queryName("version_sales")
