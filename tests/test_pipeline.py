@@ -12,19 +12,18 @@ T1, T2, T3 = "2026-03-15 14:36:01", "2026-03-15 14:57:43", "2026-03-16 09:00:00"
 FIRST = "store_id = '1' AND dept_id = '1' AND store_date = '2010-02-05'"
 
 
-@pytest.fixture(scope="module", autouse=True)
-def interpreted(spark):
-    """A run has some forty jobs on a handful of rows; compiling each would take most of the time."""
-    spark.conf.set("spark.sql.codegen.wholeStage", "false")
-    yield
-    spark.conf.set("spark.sql.codegen.wholeStage", "true")
-
-
 @pytest.fixture
 def pipe(spark, tmp_path):
     return Pipeline(spark, str(tmp_path / "wh"))
 
 
+def silver(pipe, delivery, ts, mode="once"):
+    """A run without marts and checks."""
+    pipe.load(str(delivery), mode, ts)
+    pipe.build_dims(ts)
+    return pipe.run_snapshot(ts)
+
+
 def versions_of_first(pipe):
     text = "yyyy-MM-dd HH:mm:ss"
     return rows(pipe.snapshot.history().where("store_id = 1 AND dept_id = 1 AND store_date = '2010-02-05'").select(
@@ -72,14 +71,14 @@ def test_scenarios(pipe, delivery):
 
 
 def test_full_replace_of_the_files(pipe, delivery):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     (delivery / "department.csv").write_text(DEPARTMENTS.replace("24924.50", "99999.99"))
-    assert pipe.run(str(delivery), T2, mode="replace").snapshot["replaced"] == 1
+    assert silver(pipe, delivery, T2, "replace")["replaced"] == 1
     assert versions_of_first(pipe) == [("24924.50", T1, T2), ("99999.99", T2, None)]
 
 
 def test_duplicate_keys_stop_the_run_before_it_commits(pipe, delivery):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     pipe.landing.load("department_raw", str(delivery), "force_append")
     with pytest.raises(PySparkException, match="duplicate snapshot_key"):
         pipe.run_snapshot(T2)
@@ -87,7 +86,7 @@ def test_duplicate_keys_stop_the_run_before_it_commits(pipe, delivery):
 
 
 def test_leftovers_of_a_failed_run_are_overwritten(pipe, delivery, tmp_path):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "99999.99"})
     pipe.run_snapshot(T2)
     (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_SUCCESS").unlink()
@@ -98,7 +97,7 @@ def test_leftovers_of_a_failed_run_are_overwritten(pipe, delivery, tmp_path):
 
 
 def test_leftover_closed_rows_do_not_come_back(pipe, delivery, tmp_path):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "99999.99"})
     pipe.run_snapshot(T2)
     (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_SUCCESS").unlink()
@@ -109,15 +108,15 @@ def test_leftover_closed_rows_do_not_come_back(pipe, delivery, tmp_path):
 
 
 def test_unchecked_attributes_keep_their_old_value(pipe, delivery):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     pipe.landing.correct("stores_raw", "store_id = '1'", {"store_type": "C"})
-    assert pipe.run(str(delivery), T2).snapshot["replaced"] == 0
+    assert silver(pipe, delivery, T2)["replaced"] == 0
     assert rows(pipe.snapshot.current().where("store_id = 1"), "store_type") == [("A",)] * 4
     assert rows(pipe.wh.table(STORE_DIM).where("store_id = 1"), "store_type") == [("C",)] * 2
 
 
 def test_full_refresh_renumbers_dates(pipe, delivery):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     (delivery / "department_old.csv").write_text("h,h,h,h,h\n1,1,2010-01-01,1.00,FALSE\n")
     pipe.load(str(delivery))
     pipe.build_dims(T2)
@@ -127,7 +126,7 @@ def test_full_refresh_renumbers_dates(pipe, delivery):
 
 
 def test_streams(pipe, delivery):
-    pipe.run(str(delivery), T1)
+    silver(pipe, delivery, T1)
     inbox = delivery.parent / "inbox"
     inbox.mkdir()
     (inbox / "department_a.csv").write_text("h,h,h,h,h\n1,1,2010-02-05,1.00,FALSE\nbroken\n")
