@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_search, chat_format, curriculum_mix, exact_dedup
+from . import block_search, chat_format, curriculum_mix, exact_dedup, kneser_ney, retrieval_packing
 from .common import read
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -25,10 +25,19 @@ def op5_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.query(read(spark, folder, "documents"))
 
 
+def op7_retrieval_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return retrieval_packing.query(read(spark, folder, "documents"), public_tokenizers.path(WORD_BPE))
+
+
 def op9_block_search(spark: SparkSession, folder: str) -> DataFrame:
     return block_search.query(read(spark, folder, "embeddings"))
 
 
-QUERIES = {q.__name__: q for q in (op2_chat_format, op4_curriculum_mix, op5_exact_dedup, op9_block_search)}
+def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
+    return kneser_ney.query(read(spark, folder, "documents"), read(spark, folder, "labels"))
+
+
+QUERIES = {q.__name__: q for q in (op2_chat_format, op4_curriculum_mix, op5_exact_dedup, op7_retrieval_packing,
+                                  op9_block_search, op10_kneser_ney)}
 ORACLES = {"op2_chat_format": chat_format.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE,
            "op9_block_search": block_search.ORACLE}
