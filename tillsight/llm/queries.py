@@ -5,13 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import block_search, chat_format, curriculum_mix, exact_dedup, kneser_ney, retrieval_packing
+import corpus_pipeline
+
+from . import block_search, chat_format, curriculum_mix, exact_dedup, jaccard_join, kneser_ney, retrieval_packing
 from .common import read
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
 WORD_BPE = "word_bpe_49k.json"
 
 
+def op1_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard_join.query(read(spark, folder, "documents"))
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.query(read(spark, folder, "conversations"), public_tokenizers.path(BYTE_RANKS),
                              public_tokenizers.PATTERN)
@@ -37,7 +43,8 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.query(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
-QUERIES = {q.__name__: q for q in (op2_chat_format, op4_curriculum_mix, op5_exact_dedup, op7_retrieval_packing,
-                                  op9_block_search, op10_kneser_ney)}
-ORACLES = {"op2_chat_format": chat_format.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE,
+QUERIES = {q.__name__: q for q in (op1_jaccard_join, op2_chat_format, op4_curriculum_mix, op5_exact_dedup, op7_retrieval_packing,
+                                  op9_block_search, op10_kneser_ney)} | {
+    "pipeline": corpus_pipeline.run}
+ORACLES = {"op1_jaccard_join": jaccard_join.ORACLE, "op2_chat_format": chat_format.ORACLE, "op5_exact_dedup": exact_dedup.ORACLE,
            "op9_block_search": block_search.ORACLE}
