@@ -39,18 +39,22 @@ class Shingler:
         self.words = words
         self._up, self._down = _powers(_BASE, 0), _powers(_BACK, 0)
 
-    def sequences(self, texts: list[bytes]) -> list[np.ndarray]:
-        """The shingles of each text in order."""
-        raw = np.frombuffer(b" ".join([*texts, b""]), np.uint8)
+    def words_of(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(hash, start, end) of each word in a run of bytes."""
         if len(raw) > len(self._up):
             self._up, self._down = _powers(_BASE, len(raw)), _powers(_BACK, len(raw))
         word = ~_GAP[raw]
         edge = np.diff(np.concatenate([[False], word, [False]]).astype(np.int8))
         starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(np.where(word, _BYTE[raw], np.uint64(0))
-                                                                  * self._up[:len(raw)], dtype=np.uint64)])
-        hashes = mix((sums[ends] - sums[starts]) * self._down[starts] + (ends - starts).astype(np.uint64)) if len(
-            starts) else np.zeros(0, np.uint64)
+        if not len(starts):
+            return np.zeros(0, np.uint64), starts, ends
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(
+            np.where(word, _BYTE[raw], np.uint64(0)) * self._up[:len(raw)], dtype=np.uint64)])
+        return mix((sums[ends] - sums[starts]) * self._down[starts] + (ends - starts).astype(np.uint64)), starts, ends
+
+    def sequences(self, texts: list[bytes]) -> list[np.ndarray]:
+        """The shingles of each text in order."""
+        hashes, starts, _ = self.words_of(np.frombuffer(b" ".join([*texts, b""]), np.uint8))
         limits = np.cumsum([len(t) + 1 for t in texts])
         upto = np.searchsorted(starts, limits)
         k = self.words
