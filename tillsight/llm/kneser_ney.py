@@ -9,7 +9,8 @@ n-gram of the corpus, 2-log, by language.
 Documents are then dealt into blocks, compressed, by one shuffle. Each block asks the shards for its distinct
 n-grams once, gets their surprises back, and adds them up per document. A document's score is its mean surprise
 in bits per byte; a few bytes at the language's mean are added, so that short texts are not judged on noise.
-Trusted documents kept out of training give a low and a high quantile per language; scores outside are rejected.
+Trusted documents kept out of training give a low and a high quantile per language; scores outside are rejected. Few
+such texts say little about a tail, so a bound moves away from the median by a share that fades as they grow.
 
 Trusted are documents that the labels call good (all their rows, if several). The split between training and
 calibration follows a hash of the id.
@@ -33,6 +34,7 @@ from .common import free_name, settle, slices
 
 ORDER = 4  # bytes of the longest n-gram; 7 at most
 LOW, HIGH = 0.0, 0.995  # quantiles of the calibration texts between which a score passes; 0: no lower bound
+WIDEN = 20  # with n calibration texts a bound lies 1 + WIDEN / n times as far from the median as its quantile
 PRIOR_BYTES = 64  # bytes at the language's mean that are added to each text
 CALIBRATE = 5  # every fifth trusted document is kept for the quantiles
 BLOCK_BYTES = 16 << 20  # text of a block
@@ -311,7 +313,11 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     every = F.sum("n").over(Window.partitionBy("lang"))
     bounds = steps.select("lang", "step", upto.alias("upto"), every.alias("every")).groupBy("lang").agg(
         F.min(F.when(F.col("upto") >= low * F.col("every"), F.col("step"))).alias("low"),
-        F.min(F.when(F.col("upto") >= high * F.col("every"), F.col("step"))).alias("high"))
+        F.min(F.when(F.col("upto") >= high * F.col("every"), F.col("step"))).alias("high"),
+        F.min(F.when(F.col("upto") >= 0.5 * F.col("every"), F.col("step"))).alias("mid"),
+        (1 + WIDEN / F.first("every")).alias("wide"))
+    bounds = bounds.select("lang", *[(F.col("mid") + F.col("wide") * (F.col(c) - F.col("mid"))).alias(c)
+                                     for c in ("low", "high")])
     judged = scored.join(means, "lang", "left").join(bounds, "lang", "left").withColumn("step", step)
     above = F.lit(True) if low <= 0 else F.col("step") >= F.col("low")
     kept = F.col("high").isNull() | (above & (F.col("step") <= F.col("high")))
