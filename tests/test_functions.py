@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillsight.functions import calendar, casts, keys, labels, measures
-from tillsight.sources.frames import to_report_frame
+from tillsight.sources.frames import report_frames
 
 
 def one(spark, column, **values):
@@ -97,7 +97,7 @@ def test_display_text_for_missing(spark):
 
 def test_report_frame_casts_by_declared_type(spark):
     df = spark.createDataFrame([(Decimal("1.50"), "12", True), (None, None, None)], "a decimal(18,2), b string, c boolean")
-    pdf = to_report_frame(df)
-    assert pdf["a"].dtype == float and list(pdf["b"])[0] == "12" and list(pdf["c"])[0] is True
-    with pytest.raises(ValueError):
-        to_report_frame(df, max_rows=1)
+    parts = list(report_frames(df, rows=1))
+    assert [len(p) for p in parts] == [1, 1]
+    assert parts[0]["a"].dtype == float and list(parts[0]["b"]) == ["12"] and list(parts[0]["c"]) == [True]
+    assert [list(p.columns) for p in report_frames(df.limit(0))] == [["a", "b", "c"]]

@@ -70,6 +70,27 @@ def test_rewritten_file_is_taken_by_changed_only(zone, delivery):
     assert zone.load(TABLE, str(delivery)) == 0
     assert zone.load(TABLE, str(delivery), "changed") == 8
     assert zone.load(TABLE, str(delivery), "changed") == 0
+    assert zone.table(TABLE).count() == 8  # the file's earlier lines are replaced
+
+
+def test_quoted_line_breaks_are_read_where_asked_for(spark, tmp_path):
+    from dataclasses import replace
+
+    (tmp_path / "stores.csv").write_text('h,h,h\n"1","A\nbig","5"\n2,B,6\n')
+    landing = replace(LANDINGS["stores_raw"], multi_line=True)
+    good, bad = split_bad(read_csv(spark, str(tmp_path), landing), landing)
+    assert rows(good) == [("1", "A\nbig", "5"), ("2", "B", "6")] and bad.collect() == []
+
+
+def test_correction_rewrites_only_files_with_matching_rows(zone, delivery, tmp_path):
+    zone.load(TABLE, str(delivery))
+    (delivery / "department_2.csv").write_text("h,h,h,h,h\n9,1,2013-01-04,25000.00,FALSE\n")
+    zone.load(TABLE, str(delivery))
+    zone.correct(TABLE, "store_id = '9'", {"weekly_sales": "1.00"})
+    assert rows(zone._files(TABLE, ["fix-000001"]), "good_rows", "replaces") == [(1, ["stream-000001"])]
+    assert zone.table(TABLE).count() == 8 and zone.table(TABLE).where("weekly_sales = '1.00'").count() == 1
+    zone.correct(TABLE, "store_id = '77'", {"weekly_sales": "2.00"})
+    assert zone.load(TABLE, str(delivery), "changed") == 0
 
 
 def test_force_append_repeats_and_replace_resets(zone, delivery):
@@ -91,7 +112,7 @@ def test_once_after_replace_does_not_repeat_files(zone, delivery):
 
 def test_incomplete_load_is_not_read_and_is_redone(zone, delivery, tmp_path):
     zone.load(TABLE, str(delivery), "replace")
-    marker = next((tmp_path / "wh" / "bronze" / TABLE).glob("v=*/load=*/_SUCCESS"))
+    marker = next((tmp_path / "wh" / "bronze" / TABLE).glob("v=*/_loads/*"))
     marker.unlink()
     assert zone.table(TABLE).count() == 0
     assert zone.load(TABLE, str(delivery), "replace") == 7

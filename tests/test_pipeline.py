@@ -1,11 +1,15 @@
 """The four documented scenarios, end to end on delivered files."""
 
+import os
+import time
+
 import pytest
 from conftest import DEPARTMENTS, rows
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tillsight.plans.pipeline import DATE_DIM, MARTS, STORE_DIM, Pipeline
+from tillsight.sources.frames import report_frames
 from tillsight.streaming import feed
 
 T1, T2, T3 = "2026-03-15 14:36:01", "2026-03-15 14:57:43", "2026-03-16 09:00:00"
@@ -89,7 +93,7 @@ def test_leftovers_of_a_failed_run_are_overwritten(pipe, delivery, tmp_path):
     silver(pipe, delivery, T1)
     pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "99999.99"})
     pipe.run_snapshot(T2)
-    (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_SUCCESS").unlink()
+    (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_COMMIT").unlink()
     assert versions_of_first(pipe) == [("24924.50", T1, None)]
     assert pipe.snapshot.closed().count() == 0
     pipe.run_snapshot(T3)
@@ -100,7 +104,7 @@ def test_leftover_closed_rows_do_not_come_back(pipe, delivery, tmp_path):
     silver(pipe, delivery, T1)
     pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "99999.99"})
     pipe.run_snapshot(T2)
-    (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_SUCCESS").unlink()
+    (tmp_path / "wh/silver/fact_snapshot/commits/run=000002/_COMMIT").unlink()
     pipe.landing.correct("department_raw", FIRST, {"weekly_sales": "24924.50"})
     assert pipe.run_snapshot(T3) == {"opened": 0, "replaced": 0, "months_rewritten": 0}
     assert pipe.snapshot.last_run() == 2 and pipe.snapshot.closed().count() == 0
@@ -129,17 +133,66 @@ def test_streams(pipe, delivery):
     silver(pipe, delivery, T1)
     inbox = delivery.parent / "inbox"
     inbox.mkdir()
-    (inbox / "department_a.csv").write_text("h,h,h,h,h\n1,1,2010-02-05,1.00,FALSE\nbroken\n")
+    (inbox / "department_a.csv").write_text(
+        "h,h,h,h,h\n1,1,2010-02-05,1.00,FALSE\nbroken\n7,1,2013-01-04,2.00,FALSE\n")
     stamp = lambda n: f"2026-04-0{n + 1} 00:00:00"
     feed.start_snapshot(pipe, str(inbox), stamp, available_now=True).awaitTermination()
     assert [r[0] for r in versions_of_first(pipe)] == ["1.00", "24924.50"]
+    assert [r.corrupt_record for r in pipe.landing.quarantine("department_raw").collect()] == ["broken"]
+    new = pipe.snapshot.current().where("store_id = 7").first()
+    assert new.date_id == 4 and pipe.wh.table(STORE_DIM).where("store_id = 7").count() == 1
+    # The batch run that follows agrees with the stream.
+    pipe.build_dims(T2)
+    assert pipe.run_snapshot(T2) == {"opened": 0, "replaced": 0, "months_rewritten": 0}
+    assert pipe.snapshot.history().count() == 9
     (inbox / "department_b.csv").write_text("h,h,h,h,h\n5,1,2010-02-05,2.00,FALSE\n")
     feed.start_snapshot(pipe, str(inbox), stamp, available_now=True).awaitTermination()
-    assert pipe.snapshot.current().count() == 8
+    assert pipe.snapshot.current().count() == 9
     feed.start_landing(pipe, "fact_raw", str(delivery), available_now=True).awaitTermination()
     assert pipe.landing.table("fact_raw").count() == 4
 
 
+def test_rewritten_file_adds_its_new_weeks(pipe, delivery):
+    """The documented replacement: the same file with four rows more."""
+    silver(pipe, delivery, T1)
+    path = delivery / "department.csv"
+    path.write_text(DEPARTMENTS + "1,1,2013-01-04,25000.00,FALSE\n1,2,2013-01-04,18500.00,FALSE\n"
+                    "2,1,2013-01-04,31000.00,FALSE\n2,2,2013-01-04,22000.00,FALSE\n")
+    later = time.time() + 60
+    os.utime(path, (later, later))
+    assert silver(pipe, delivery, T2, "changed") == {"opened": 4, "replaced": 0, "months_rewritten": 1}
+    assert str(pipe.snapshot.current().agg(F.max("store_date")).first()[0]) == "2013-01-04"
+
+
+def test_a_date_with_both_flags_is_named_before_the_run_stops(pipe, delivery):
+    with open(delivery / "department.csv", "a") as f:
+        f.write("9,9,2010-02-05,5.00,TRUE\n")
+    pipe.load(str(delivery))
+    pipe.build_dims(T1)
+    assert pipe.warn_dates() == ["2010-02-05"]
+    with pytest.raises(PySparkException, match="duplicate snapshot_key"):
+        pipe.run(str(delivery), T1)
+    assert rows(pipe.wh.table("warnings"), "flags") == [(2,)]
+
+
+def test_reports_and_pruning(pipe, delivery):
+    for ts in (T1, T2, T3):
+        pipe.run(str(delivery), ts)
+    assert len(pipe.wh.versions("gold/sales_by_dept")) == 2
+    names = pipe.build_reports()
+    assert all(pipe.report(n).count() > 0 for n in names)
+    assert sum(len(f) for f in report_frames(pipe.report("weekly_series"), rows=2)) == 3
+
+
+def test_runs_without_a_commit_file_are_not_overwritten(pipe, delivery, tmp_path):
+    silver(pipe, delivery, T1)
+    silver(pipe, delivery, T2)
+    for marker in (tmp_path / "wh/silver/fact_snapshot/commits").glob("run=*/_COMMIT"):
+        marker.unlink()
+    with pytest.raises(RuntimeError, match="no commit file"):
+        pipe.run_snapshot(T3)
+
+
 def test_empty_delivery(pipe, tmp_path):
     folder = tmp_path / "none"
     folder.mkdir()

@@ -16,8 +16,7 @@ def test_not_null_counts_each_column(spark):
     assert rows(quality.not_null(df, "t", "k", "v")) == [("not_null_t_k", 1, False), ("not_null_t_v", 2, False)]
 
 
-def test_rule_and_counts(spark):
-    df = spark.createDataFrame([(1,), (-1,), (None,)], "k int")
-    assert rows(quality.accepted(df, "t", "positive", F.col("k") > 0)) == [("positive_t", 2, False)]
-    assert quality.same_count(3, 3) == ("idempotent_row_count", 0, True)
-    assert quality.same_count(3, 5)[1:] == (2, False)
+def test_flag_conflicts(spark):
+    df = spark.createDataFrame([("2010-01-01", True), ("2010-01-01", False), ("2010-01-08", True), (None, True), (None, False)],
+                               "store_date string, isholiday boolean")
+    assert rows(quality.flag_conflicts(df)) == [("2010-01-01", 2)]

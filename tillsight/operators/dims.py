@@ -27,16 +27,6 @@ def number_dates(dates: DataFrame, start: int = 0) -> DataFrame:
                         "store_date", "isholiday")
 
 
-def calendar_side(dates: DataFrame) -> DataFrame:
-    """The calendar as the broadcast side of a join.
-
-    Its size has a bound that sales volume cannot move: four-digit years hold 3.65 million dates,
-    each with at most three flag values, under 200 MB in all; ten years of weeks are 520 rows.
-    Store and department sides grow with the business and are never hinted.
-    """
-    return F.broadcast(dates)
-
-
 def date_dim(department_raw: DataFrame) -> DataFrame:
     """First build of the calendar dimension."""
     return number_dates(calendar_source(department_raw))
@@ -104,12 +94,16 @@ def one_type_per_store(stores: DataFrame) -> DataFrame:
 def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """MERGE: matched rows take all source values, unmatched ones are added, the rest stay.
 
-    Keys compare with ``=``, so a null key never matches and would be added on every run; such a
-    source row aborts the job instead.
+    Both sides are read once and meet in one aggregate by key, in which a source row beats the target's. As in a
+    MERGE, a key that the source holds twice aborts the job, and so does a null key, which would never match.
     """
-    checked = source.select(*[
-        F.when(F.col(c).isNull(), F.raise_error(F.lit(f"null merge key {c}"))).otherwise(F.col(c)).alias(c)
-        if c in keys else F.col(c) for c in target.columns
-    ])
-    kept = target.join(source.select(*keys), keys, "left_anti")
-    return kept.unionByName(checked)
+    columns = target.columns
+    row = F.struct(*[F.col(c) for c in columns])
+    sides = (target.select(*columns, F.lit(0).alias("_new"))
+             .unionByName(source.select(*columns, F.lit(1).alias("_new"))))
+    merged = sides.groupBy(*keys).agg(F.max_by(row, "_new").alias("_row"), F.sum("_new").alias("_n"))
+    bad = F.exists(F.array(*[F.col(k).isNull() for k in keys]), lambda x: x) & (F.col("_n") > 0)
+    checked = (F.when(bad, F.raise_error(F.lit(f"null merge key among {keys}")))
+               .when(F.col("_n") > 1, F.raise_error(F.lit(f"duplicate merge key among {keys}")))
+               .otherwise(F.lit(True)))
+    return merged.where(checked.cast("boolean")).select("_row.*")

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 from ..functions.casts import parse_date, to_int, try_decimal
 from ..functions.keys import surrogate_key
 from ..schemas import CHECK_COLUMNS, MARKDOWNS
-from .dims import calendar_side
 
 KEY = "snapshot_key"
 KEY_PARTS = ["store_id", "dept_id", "store_date"]
+# The columns of the versioned sales table, in order.
 ENRICHED_COLUMNS = [KEY, "store_id", "dept_id", "date_id", "store_date", "store_type", "store_size",
                     *CHECK_COLUMNS]
 
@@ -44,12 +44,11 @@ def with_economics(sold: DataFrame, econ: DataFrame) -> DataFrame:
 def enriched(sold: DataFrame, econ: DataFrame, dates: DataFrame, stores: DataFrame) -> DataFrame:
     """Sales with economics and dimension attributes; one row per sales row.
 
-    Only the calendar is hinted. For the others the adaptive planner broadcasts a side after
-    measuring it, and splits a store-week that is too big for one task; a store-department has at
+    No side is hinted: the adaptive planner broadcasts one after measuring it, and splits a store-week that is too big for one task; a store-department has at
     most one row per date.
     """
     return (with_economics(sold, econ)
-            .join(calendar_side(dates.select("store_date", "date_id")), "store_date", "left")
+            .join(dates.select("store_date", "date_id"), "store_date", "left")
             .join(stores.select("store_id", "dept_id", "store_type", "store_size"),
                   ["store_id", "dept_id"], "left")
             .withColumn(KEY, surrogate_key(*KEY_PARTS))

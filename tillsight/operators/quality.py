@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,29 +34,29 @@ def not_null(df: DataFrame, table: str, *columns: str) -> DataFrame:
             .withColumn("passed", F.col("failures") == 0))
 
 
-def accepted(df: DataFrame, table: str, name: str, rule: Column) -> DataFrame:
-    """Number of rows for which a rule does not hold."""
-    return _report(f"{name}_{table}", df.agg(F.count_if(~F.coalesce(rule, F.lit(False))).alias("failures")))
-
-
-def same_count(before: int, after: int, name: str = "idempotent_row_count") -> tuple[str, int, bool]:
-    """Row counts around a repeated run."""
-    return name, abs(after - before), before == after
+def table_checks(df: DataFrame, table: str, key: list[str], filled: list[str]) -> DataFrame:
+    """The key's uniqueness and the nulls of columns from one grouped pass over the table."""
+    per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"),
+                                   *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in filled])
+    repeated = F.col("_n") > 1
+    if len(key) == 1:
+        repeated &= F.col(key[0]).isNotNull()
+    kind = "unique" if len(key) == 1 else "unique_combination"
+    sums = per_key.agg(F.count_if(repeated).alias("_repeated"),
+                       *[F.coalesce(F.sum(f"_null_{c}"), F.lit(0)).alias(f"_null_{c}") for c in filled])
+    rows = [(f"{kind}_{table}_{'__'.join(key)}", "_repeated"), *((f"not_null_{table}_{c}", f"_null_{c}") for c in filled)]
+    named = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(c).cast("bigint").alias("failures"))
+                      for name, c in rows])
+    return sums.select(F.inline(named)).withColumn("passed", F.col("failures") == 0)
 
 
 def suite(dates: DataFrame, stores: DataFrame, snapshot: DataFrame, by_store: DataFrame) -> DataFrame:
     """All configured checks. ``snapshot`` holds current rows: a key repeats over its versions."""
-    checks = [
-        unique(dates, "date_dim", "date_id"),
-        not_null(dates, "date_dim", "date_id", "store_date"),
-        unique(stores, "store_dim", "store_id", "dept_id"),
-        not_null(stores, "store_dim", "store_id", "dept_id"),
-        unique(snapshot, "fact_snapshot", "snapshot_key"),
-        not_null(snapshot, "fact_snapshot", "snapshot_key", "store_id", "dept_id", "store_date"),
-        unique(by_store, "sales_by_store", "store_id", "isholiday"),
-        not_null(by_store, "sales_by_store", "store_id"),
-    ]
-    return reduce(DataFrame.unionByName, checks)
+    return reduce(DataFrame.unionByName, [
+        table_checks(dates, "date_dim", ["date_id"], ["date_id", "store_date"]),
+        table_checks(stores, "store_dim", ["store_id", "dept_id"], ["store_id", "dept_id"]),
+        table_checks(snapshot, "fact_snapshot", ["snapshot_key"], ["snapshot_key", "store_id", "dept_id", "store_date"]),
+        table_checks(by_store, "sales_by_store", ["store_id", "isholiday"], ["store_id"])])
 
 
 def warnings(dates: DataFrame, history: DataFrame | None = None) -> DataFrame:
@@ -65,3 +65,9 @@ def warnings(dates: DataFrame, history: DataFrame | None = None) -> DataFrame:
     if history is not None:
         checks.append(unique(history, "fact_snapshot", "dbt_scd_id"))
     return reduce(DataFrame.unionByName, checks)
+
+
+def flag_conflicts(dates: DataFrame) -> DataFrame:
+    """Dates that the calendar holds under more than one holiday flag."""
+    return (dates.where(F.col("store_date").isNotNull()).groupBy("store_date").agg(F.count(F.lit(1)).alias("flags"))
+            .where("flags > 1"))

@@ -6,7 +6,7 @@ Layout under ``<root>/silver/fact_snapshot``
 ``changes/run=<n>``                        the run's new and changed source rows
 ``commits/run=<n>``                        one row per month: the run that last wrote it
 
-A run exists once its ``commits`` folder is complete; it is written last. Until then readers see
+A run exists once its ``commits`` folder holds the commit file; it is written last. Until then readers see
 the run before, and a repeated run overwrites its own leftovers.
 """
 
@@ -40,8 +40,10 @@ class SnapshotTable:
 
     def last_run(self) -> int:
         base = self._path("commits")
-        done = [int(r) for r in self.wh.folders(base, "run") if self.wh.complete(f"{base}/run={r}")]
-        return max(done, default=0)
+        last = self.wh.newest(base, "run")
+        if last is None and self.wh.folders(base, "run")[1:]:
+            raise RuntimeError(f"{base} holds runs but no commit file; nothing is read or overwritten")
+        return int(last or 0)
 
     def exists(self) -> bool:
         return self.last_run() > 0
@@ -74,8 +76,7 @@ class SnapshotTable:
     def closed(self) -> DataFrame:
         last = self.last_run()
         base = self._path("closed")
-        runs = [r for r in self.wh.folders(base, "run")
-                if int(r) <= last and self.wh.complete(f"{base}/run={r}")]
+        runs = [r for r in self.wh.folders(base, "run") if int(r) <= last]  # a committed run's folders are whole
         template = self.current()
         if not runs:
             return template.limit(0)
@@ -112,6 +113,7 @@ class SnapshotTable:
         schema = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("written_by", T.IntegerType())])
         (self.spark.createDataFrame(sorted(months.items()), schema).coalesce(1)
          .write.mode("overwrite").parquet(self._path("commits", _run(now))))
+        self.wh.commit(self._path("commits", _run(now)))
         return {"opened": sum(r.n for r in stats), "replaced": sum(r.c for r in stats),
                 "months_rewritten": len(stats)}
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.labels import dept_label
@@ -36,6 +37,12 @@ def grand_total(by_dept: DataFrame) -> DataFrame:
     return by_dept.agg(F.sum("total_sales").alias("grand_total"))
 
 
+def share_of_total(by_dept: DataFrame) -> DataFrame:
+    """Each pair's percentage of the grand total, which is fetched as a scalar inside the plan."""
+    whole = grand_total(by_dept).scalar()
+    return by_dept.select("store_id", "dept_id", pct_of(F.col("total_sales"), whole).alias("pct"))
+
+
 def share_by_store_type(by_dept: DataFrame, stores: DataFrame, fan_out: bool = True) -> DataFrame:
     """Total and percentage per store type.
 
@@ -48,5 +55,5 @@ def share_by_store_type(by_dept: DataFrame, stores: DataFrame, fan_out: bool = T
     weighted = per_store.join(store_weights(stores, ["store_type"], fan_out), "store_id", "left")
     amount = F.col("total").cast("decimal(28,2)") * F.coalesce(F.col("weight"), F.lit(1)).cast(WEIGHT)
     by_type = weighted.groupBy("store_type").agg(F.sum(amount).alias("total_sales"))
-    whole = by_type.agg(F.sum("total_sales")).scalar()
+    whole = F.sum("total_sales").over(W.partitionBy(F.lit(0)))  # a row per store type
     return by_type.select("store_type", "total_sales", pct_of(F.col("total_sales"), whole).alias("pct"))

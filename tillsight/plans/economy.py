@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_ordinal
+from ..functions.measures import mean_of
 
 SERIES = ["avg_weekly_sales", "avg_temperature", "avg_fuel_price", "avg_unemployment", "avg_cpi"]
 
@@ -16,7 +17,10 @@ def weekly(economics: DataFrame) -> DataFrame:
 
 
 def fuel_by_month(economics: DataFrame, base_year: int = 2010) -> DataFrame:
-    return (economics.groupBy("sales_year", "sales_month").agg(F.avg("avg_fuel_price").alias("avg_fuel_price"))
+    """Mean over stores and weeks. Prices have four decimals, so summing them as decimals is exact."""
+    price = F.col("avg_fuel_price").cast("decimal(28,10)")
+    return (economics.groupBy("sales_year", "sales_month")
+            .agg(mean_of(F.sum(price), F.count(price)).alias("avg_fuel_price"))
             .withColumn("month_num", month_ordinal("sales_year", "sales_month", base_year)))
 
 

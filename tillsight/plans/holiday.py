@@ -50,9 +50,8 @@ def share_positions(by_store: DataFrame) -> DataFrame:
 def average_rows(by_store: DataFrame) -> DataFrame:
     """One labelled row per flag with the mean weekly sales."""
     rows = F.array(*[
-        F.struct(F.lit(kind).alias("type"), F.col(c).alias("avg"), F.lit(flag).alias("color"),
-                 money(c).alias("label"))
-        for kind, c, flag in (("Non-Holiday", "nonholiday_avg", "FALSE"), ("Holiday", "holiday_avg", "TRUE"))])
+        F.struct(F.lit(kind).alias("type"), F.col(c).alias("avg"), money(c).alias("label"))
+        for kind, c in (("Non-Holiday", "nonholiday_avg"), ("Holiday", "holiday_avg"))])
     return summary(by_store).select(F.inline(rows))
 
 
@@ -82,9 +81,9 @@ def store_split(by_store: DataFrame) -> DataFrame:
     """Store rows with a flag, beside the flag's total and its share of both."""
     flagged = by_store.where(F.col("isholiday").isNotNull())
     per_flag = flagged.groupBy("isholiday").agg(F.sum("total_sales").alias("flag_total"))
-    whole = flagged.agg(F.sum("total_sales")).scalar()
-    per_flag = per_flag.withColumn("flag_pct", pct_of(F.col("flag_total"), whole))
-    # At most two rows: one per flag value.
+    # At most two rows, one per flag value: the window over both and the broadcast are bounded.
+    both = F.sum("flag_total").over(W.partitionBy(F.lit(0)))
+    per_flag = per_flag.withColumn("flag_pct", pct_of(F.col("flag_total"), both))
     return (flagged.join(F.broadcast(per_flag), "isholiday")
             .select("store_id", "store_type", "store_size", "isholiday", "total_sales", "avg_weekly_sales",
                     "weeks_of_data", "flag_total", "flag_pct"))

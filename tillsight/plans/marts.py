@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import date_parts
 from ..functions.measures import mean_of
-from ..operators.dims import calendar_side, one_type_per_store
+from ..operators.dims import one_type_per_store
 from ..schemas import CHECK_COLUMNS, MARKDOWNS, TOTAL
 
 SALES = "store_weekly_sales"
@@ -99,7 +99,7 @@ def sales_by_dept(rows: DataFrame) -> DataFrame:
 
 def sales_by_store(rows: DataFrame, stores: DataFrame, dates: DataFrame, fan_out: bool = True) -> DataFrame:
     """Figures per store, type, size and holiday flag."""
-    flagged = rows.join(calendar_side(dates.select("store_date", "isholiday")), "store_date")
+    flagged = rows.join(dates.select("store_date", "isholiday"), "store_date")
     merged = flagged.groupBy("store_id", "isholiday").agg(
         F.count_distinct("store_date").alias("weeks_of_data"),
         F.sum(f"{SALES}_sum").alias(f"{SALES}_sum"), F.sum(f"{SALES}_n").alias(f"{SALES}_n"),

@@ -19,11 +19,12 @@ from ..session import tune
 from ..sources.csv_files import with_audit
 from ..sources.landing import LandingZone
 from ..sources.warehouse import Warehouse
-from . import holiday, marts
+from . import departments, economy, holiday, markdowns, marts, seasons, storetypes
 
 log = logging.getLogger(__name__)
 
 DATE_DIM, STORE_DIM, STORE_WEEK = "silver/date_dim", "silver/store_dim", "silver/store_week"
+DEPARTMENT_KEY = ["store_id", "dept_id", "store_date"]
 MARTS = ["sales_by_dept", "sales_by_store", "sales_by_date_parts", "sales_by_storetype_month",
          "markdown_by_year_store", "economic_factors", "holiday_impact"]
 
@@ -33,6 +34,7 @@ class RunReport:
     loaded: dict[str, int] = field(default_factory=dict)
     snapshot: dict[str, int] = field(default_factory=dict)
     failed_checks: list[str] = field(default_factory=list)
+    doubtful_dates: list[str] = field(default_factory=list)
 
 
 class Pipeline:
@@ -61,15 +63,17 @@ class Pipeline:
         with self._step("load"):
             return self.landing.load_all(folder, mode, run_ts)
 
-    def build_dims(self, run_ts: str | None = None, full_refresh: bool = False) -> None:
+    def build_dims(self, run_ts: str | None = None, full_refresh: bool = False,
+                   delivered: DataFrame | None = None) -> None:
+        """Upsert the dimensions from all landed department rows, or from those just ``delivered``."""
+        departments = self.landing.table("department_raw") if delivered is None else delivered
         self._together({
-            "date_dim": partial(self._build_date_dim, run_ts, full_refresh),
-            "store_dim": partial(self._build_store_dim, run_ts, full_refresh),
+            "date_dim": partial(self._build_date_dim, departments, run_ts, full_refresh),
+            "store_dim": partial(self._build_store_dim, departments, run_ts, full_refresh),
         })
 
-    def _build_date_dim(self, run_ts: str | None, full_refresh: bool) -> None:
+    def _build_date_dim(self, departments: DataFrame, run_ts: str | None, full_refresh: bool) -> None:
         with self._step("date_dim"):
-            departments = self.landing.table("department_raw")
             if full_refresh or not self.wh.exists(DATE_DIM):
                 out = with_audit(dims.date_dim(departments), run_ts)
             else:
@@ -78,19 +82,19 @@ class Pipeline:
                 out = dims.upsert(existing, with_audit(fresh, run_ts), ["date_id"])
             self.wh.write(out, DATE_DIM)
 
-    def _build_store_dim(self, run_ts: str | None, full_refresh: bool) -> None:
+    def _build_store_dim(self, departments: DataFrame, run_ts: str | None, full_refresh: bool) -> None:
         with self._step("store_dim"):
-            fresh = with_audit(dims.store_dim(self.landing.table("department_raw"),
-                                              self.landing.table("stores_raw")), run_ts)
+            fresh = with_audit(dims.store_dim(departments, self.landing.table("stores_raw")), run_ts)
             if full_refresh or not self.wh.exists(STORE_DIM):
                 out = fresh
             else:
                 out = dims.upsert(self.wh.table(STORE_DIM), fresh, ["store_id", "dept_id"])
             self.wh.write(out, STORE_DIM)
 
-    def snapshot_source(self, run_ts: str | None = None) -> DataFrame:
-        joined = facts.enriched(facts.sales(self.landing.table("department_raw")),
-                                facts.economics(self.landing.table("fact_raw")),
+    def snapshot_source(self, run_ts: str | None = None, delivered: DataFrame | None = None) -> DataFrame:
+        """Source rows of the versioned table, of all landed department rows or of those ``delivered``."""
+        departments = self.landing.settled("department_raw", DEPARTMENT_KEY) if delivered is None else delivered
+        joined = facts.enriched(facts.sales(departments), facts.economics(self.landing.table("fact_raw")),
                                 self.wh.table(DATE_DIM), self.wh.table(STORE_DIM))
         return with_audit(joined, run_ts)
 
@@ -136,6 +140,45 @@ class Pipeline:
     def run_warnings(self) -> DataFrame:
         return quality.warnings(self.wh.table(DATE_DIM), self.snapshot.history())
 
+    def warn_dates(self) -> list[str]:
+        """Dates that carry both holiday flags, stored under ``warnings`` and logged. Such a date would repeat
+        each of its sales, and the versioned table would refuse the repeated keys without naming it."""
+        with self._step("warnings"):
+            stored = self.wh.write(quality.flag_conflicts(self.wh.table(DATE_DIM)), "warnings")
+            found = [str(r.store_date) for r in stored.orderBy("store_date").collect()]  # calendar dates
+        for date in found:
+            log.warning("date %s carries both holiday flags", date)
+        return found
+
+    def build_reports(self) -> list[str]:
+        """Store the dataset of every report over the stored marts, in parallel, under ``reports``."""
+        mart = self.mart
+        plans = {
+            "top_departments": lambda: departments.top_departments(mart("sales_by_dept")),
+            "share_by_store_type": lambda: departments.share_by_store_type(mart("sales_by_dept"), self.wh.table(STORE_DIM)),
+            "holiday_share": lambda: holiday.share_positions(mart("sales_by_store")),
+            "store_holiday_split": lambda: holiday.store_split(mart("sales_by_store")),
+            "store_type_and_size": lambda: storetypes.by_type_and_size(mart("sales_by_store")),
+            "weekly_series": lambda: seasons.series(mart("sales_by_date_parts")),
+            "storetype_months": lambda: storetypes.month_totals(mart("sales_by_storetype_month")),
+            "markdown_by_year": lambda: markdowns.by_year(mart("markdown_by_year_store")),
+            "economy_by_week": lambda: economy.weekly(mart("economic_factors")),
+        }
+        self._together({name: partial(self._build_report, name, plan) for name, plan in plans.items()})
+        return sorted(plans)
+
+    def _build_report(self, name: str, plan: Callable[[], DataFrame]) -> None:
+        with self._step(f"report {name}"):
+            self.wh.write(plan(), f"reports/{name}")
+
+    def report(self, name: str) -> DataFrame:
+        return self.wh.table(f"reports/{name}")
+
+    def prune(self, keep: int = 2) -> None:
+        """Drop old versions of the tables that every run rebuilds."""
+        for name in (DATE_DIM, STORE_DIM, STORE_WEEK, "checks", "warnings", *(f"gold/{m}" for m in MARTS)):
+            self.wh.prune(name, keep)
+
     def mart(self, name: str) -> DataFrame:
         return self.wh.table(f"gold/{name}")
 
@@ -143,8 +186,10 @@ class Pipeline:
         """One full run over a folder of delivered files."""
         report = RunReport(loaded=self.load(folder, mode, run_ts))
         self.build_dims(run_ts, full_refresh)
+        report.doubtful_dates = self.warn_dates()
         report.snapshot = self.run_snapshot(run_ts)
         self.build_marts(run_ts)
         failed = self.run_checks().where(~F.col("passed")).select("check_name")
         report.failed_checks = sorted(r.check_name for r in failed.collect())  # at most 13 rows
+        self.prune()
         return report

@@ -54,6 +54,6 @@ def holiday_months(by_date: DataFrame) -> DataFrame:
 def year_boundaries(by_date: DataFrame) -> DataFrame:
     """First of January of every year but the first."""
     years = by_date.select("sales_year").distinct()
-    first = years.agg(F.min("sales_year")).scalar()
-    return years.where(F.col("sales_year") > first).select(
+    first = F.min("sales_year").over(W.partitionBy(F.lit(0)))  # a row per year
+    return years.withColumn("first", first).where(F.col("sales_year") > F.col("first")).select(
         "sales_year", F.make_date("sales_year", F.lit(1), F.lit(1)).alias("boundary"))

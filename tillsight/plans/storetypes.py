@@ -2,17 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_name
 from ..functions.labels import money
 from ..functions.measures import scaled
 
-# The store types and the month number of the total row.
+# The store types with a column of their own, and the month number of the total row.
 STORE_TYPES = ["A", "B", "C"]
 TOTAL_MONTH = 99
 
+COLUMNS = [*(f"type_{t.lower()}" for t in STORE_TYPES), "type_other"]
+
+
+def _sums() -> list[Column]:
+    """Total per type; ``type_other`` takes all other types and stores without one, so rows keep their sum."""
+    named = F.coalesce(F.col("store_type").isin(STORE_TYPES), F.lit(False))
+    return [*[F.sum(F.when(F.col("store_type") == t, F.col("total_sales"))).alias(c)
+              for t, c in zip(STORE_TYPES, COLUMNS)],
+            F.sum(F.when(~named, F.col("total_sales"))).alias("type_other")]
+
 
 def monthly_line(by_type: DataFrame) -> DataFrame:
     """Total in millions per type and calendar month over all years."""
@@ -30,27 +40,28 @@ def last_month(by_type: DataFrame) -> DataFrame:
 
 def month_pivot(by_type: DataFrame) -> DataFrame:
     """Months by store type."""
-    return (by_type.groupBy("sales_month").pivot("store_type", STORE_TYPES).agg(F.sum("total_sales"))
-            .select("sales_month", month_name("sales_month").alias("month_name"),
-                    *[F.col(t).alias(f"type_{t.lower()}") for t in STORE_TYPES]))
+    return (by_type.groupBy("sales_month").agg(*_sums())
+            .select("sales_month", month_name("sales_month").alias("month_name"), *COLUMNS))
 
 
 def month_totals(by_type: DataFrame) -> DataFrame:
     """The pivot with a TOTAL row of column sums (0 for a type without sales), in one pass."""
-    sums = [F.sum(F.when(F.col("store_type") == t, F.col("total_sales"))).alias(f"type_{t.lower()}")
-            for t in STORE_TYPES]
-    rolled = by_type.rollup("sales_month").agg(F.grouping("sales_month").alias("is_total"), *sums)
+    rolled = by_type.rollup("sales_month").agg(F.grouping("sales_month").alias("is_total"), *_sums())
     is_total = F.col("is_total") == 1
     return rolled.select(
         F.when(is_total, F.lit(TOTAL_MONTH)).otherwise(F.col("sales_month")).alias("sales_month"),
         F.when(is_total, F.lit("TOTAL")).otherwise(month_name("sales_month")).alias("month_name"),
-        *[F.when(is_total, F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c)).alias(c)
-          for c in (f"type_{t.lower()}" for t in STORE_TYPES)])
+        *[F.when(is_total, F.coalesce(F.col(c), F.lit(0))).otherwise(F.col(c)).alias(c) for c in COLUMNS])
 
 
 def month_table(by_type: DataFrame) -> DataFrame:
     """The pivot with totals as display texts, '-' where a type has no sales."""
     return month_totals(by_type).select(
         "sales_month", "month_name",
-        *[money(scaled(f"type_{t.lower()}", 1e6), "M", missing="-").alias(f"type_{t.lower()}")
-          for t in STORE_TYPES])
+        *[money(scaled(c, 1e6), "M", missing="-").alias(c) for c in COLUMNS])
+
+
+def by_type_and_size(by_store: DataFrame) -> DataFrame:
+    """Totals and number of stores per store type and size."""
+    return by_store.groupBy("store_type", "store_size").agg(
+        F.sum("total_sales").alias("total_sales"), F.count_distinct("store_id").alias("stores"))

@@ -95,12 +95,9 @@ class Retail:
 
 
 def rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
-    """Round means of doubles, whose last bits depend on the order of addition.
-
-    Means of short decimals often end exactly on half a unit; a thousandth of a unit, far above
-    those last bits, puts such a tie on one side. ``near`` is the same in SQL.
-    """
-    return df.withColumns({c: F.round(F.col(c) + F.lit(float(f"1e-{digits + 3}")), digits) for c in columns})
+    """Round means, slopes and correlations of doubles, whose last bits depend on the order of addition, so
+    that they can be compared. ``near`` is the same in SQL. The report functions themselves never round."""
+    return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
 def query(name: str, sql: str | None = None):
@@ -126,7 +123,7 @@ def avg(column: str, alias: str | None = None) -> str:
 
 
 def near(expr: str, digits: int) -> str:
-    return f"round({expr} + 1e-{digits + 3}::double, {digits})"
+    return f"round({expr}, {digits})"
 
 
 def total(expr: str, alias: str) -> str:
@@ -167,17 +164,16 @@ def _date_dim(source: str, where: str = "true") -> str:
 
 
 def _enriched(sales: str, dates: str) -> str:
+    """Every sale with what is known of its store-week, its date and its department."""
+    parts = " || '-' || ".join(f"coalesce(cast({c} AS varchar), '_dbt_utils_surrogate_key_null_')"
+                               for c in ("store_id", "dept_id", "store_date"))
+    measures = ", ".join(["store_weekly_sales", "fuel_price", "temperature", "cpi", "unemployment", *MARKDOWNS])
     return f"""
-    SELECT md5(coalesce(cast(d.store_id AS varchar), '_dbt_utils_surrogate_key_null_') || '-' ||
-               coalesce(cast(d.dept_id AS varchar), '_dbt_utils_surrogate_key_null_') || '-' ||
-               coalesce(cast(d.store_date AS varchar), '_dbt_utils_surrogate_key_null_')) AS snapshot_key,
-           d.store_id, d.dept_id, dd.date_id, d.store_date, s.store_type, s.store_size, d.store_weekly_sales,
-           f.fuel_price, f.temperature, f.cpi, f.unemployment,
-           f.markdown1, f.markdown2, f.markdown3, f.markdown4, f.markdown5
-    FROM {sales} d
-    LEFT JOIN economics f ON d.store_id = f.store_id AND d.store_date = f.store_date
-    LEFT JOIN {dates} dd ON d.store_date = dd.store_date
-    LEFT JOIN store_dim s ON d.store_id = s.store_id AND d.dept_id = s.dept_id"""
+    SELECT md5({parts}) AS snapshot_key, store_id, dept_id, date_id, store_date, store_type, store_size, {measures}
+    FROM {sales}
+    LEFT JOIN (SELECT store_date, date_id FROM {dates}) USING (store_date)
+    LEFT JOIN store_dim USING (store_id, dept_id)
+    LEFT JOIN economics USING (store_id, store_date)"""
 
 
 _FIGURES = ", ".join([
@@ -259,20 +255,18 @@ TABLES = {
     FROM enriched f LEFT JOIN date_dim d ON d.store_date = f.store_date GROUP BY ALL""",
     "by_type": _by_type("store_dim"),
     "by_type_dedup": _by_type("(SELECT DISTINCT store_id, store_type FROM store_dim)"),
+    "store_types": "SELECT store_id, max(store_type) AS store_type FROM store_dim GROUP BY ALL",
     "markdowns": f"""
-    SELECT f.store_id, s.store_type, cast(year(f.store_date) AS int) AS sales_year,
+    SELECT store_id, store_type, cast(sales_year AS int) AS sales_year,
            {total('store_weekly_sales', 'total_sales')}, {_MD_FIGURES}
-    FROM enriched f
-    LEFT JOIN (SELECT store_id, max(store_type) AS store_type FROM store_dim GROUP BY store_id) s
-      ON f.store_id = s.store_id
-    GROUP BY f.store_id, s.store_type, year(f.store_date)""",
+    FROM (SELECT * EXCLUDE (store_type), year(store_date) AS sales_year FROM enriched) LEFT JOIN store_types USING (store_id)
+    GROUP BY store_id, store_type, sales_year""",
     "markdowns_dedup": f"""
     SELECT f.store_id, s.store_type, cast(year(f.store_date) AS int) AS sales_year,
            {total('sold', 'total_sales')}, {_MD_FIGURES}
     FROM (SELECT store_id, store_date, sum(store_weekly_sales) AS sold, {', '.join(f'max({m}) AS {m}' for m in MARKDOWNS)}
           FROM enriched GROUP BY store_id, store_date) f
-    LEFT JOIN (SELECT store_id, max(store_type) AS store_type FROM store_dim GROUP BY store_id) s
-      ON f.store_id = s.store_id
+    LEFT JOIN store_types s ON f.store_id = s.store_id
     GROUP BY f.store_id, s.store_type, year(f.store_date)""",
     "factors": f"""
     SELECT store_id, store_date, cast(year(store_date) AS int) AS sales_year, cast(month(store_date) AS int) AS sales_month,

@@ -52,6 +52,9 @@ def dq_not_null(r: Retail) -> DataFrame:
             .unionByName(quality.not_null(r.by_store, "sales_by_store", "store_id")))
 
 
-@query("dq_report", " UNION ALL ".join([*_UNIQUE, *_COMBOS, *_NOT_NULL]))
+REPORT_SQL = " UNION ALL ".join([*_UNIQUE, *_COMBOS, *_NOT_NULL])
+
+
+@query("dq_report", REPORT_SQL)
 def dq_report(r: Retail) -> DataFrame:
     return quality.suite(r.date_dim, r.store_dim, r.enriched, r.by_store)

@@ -52,6 +52,13 @@ def grand_total(r: Retail) -> DataFrame:
     return departments.grand_total(r.by_dept)
 
 
+@query("dept_share", """
+SELECT store_id, dept_id, total_sales / (SELECT cast(sum(store_weekly_sales) AS double) FROM enriched) * 100.0 AS pct
+FROM by_dept""")
+def dept_share(r: Retail) -> DataFrame:
+    return departments.share_of_total(r.by_dept)
+
+
 def _share_sql(stores: str) -> str:
     return f"""
 SELECT store_type, cast(total AS double) AS total_sales,
@@ -75,11 +82,11 @@ def share_by_store_type_dedup(r: Retail) -> DataFrame:
 @query("holiday_summary", f"""
 SELECT cast(grand_total AS double) AS grand_total, cast(holiday_total AS double) AS holiday_total,
        cast(nonholiday_total AS double) AS nonholiday_total,
-       {near("holiday_avg", 4)} AS holiday_avg, {near("nonholiday_avg", 4)} AS nonholiday_avg,
+       {near("holiday_avg", 6)} AS holiday_avg, {near("nonholiday_avg", 6)} AS nonholiday_avg,
        {near("(holiday_avg - nonholiday_avg) / nonholiday_avg * 100", 6)} AS pct_diff
 FROM holiday_totals""")
 def holiday_summary(r: Retail) -> DataFrame:
-    return rounded(rounded(holiday.summary(r.by_store), 4, "holiday_avg", "nonholiday_avg"), 6, "pct_diff")
+    return rounded(holiday.summary(r.by_store), 6, "holiday_avg", "nonholiday_avg", "pct_diff")
 
 
 _SHARE = """
@@ -102,11 +109,11 @@ def holiday_share_cum(r: Retail) -> DataFrame:
 
 
 @query("holiday_avg_rows", f"""
-SELECT type, {near("avg", 4)} AS avg, color, '$' || format('{{:,.0f}}', avg) AS label
-FROM (SELECT 'Non-Holiday' AS type, nonholiday_avg AS avg, 'FALSE' AS color FROM holiday_totals
-      UNION ALL SELECT 'Holiday', holiday_avg, 'TRUE' FROM holiday_totals)""")
+SELECT type, {near("avg", 6)} AS avg, '$' || format('{{:,.0f}}', avg) AS label
+FROM (SELECT 'Non-Holiday' AS type, nonholiday_avg AS avg FROM holiday_totals
+      UNION ALL SELECT 'Holiday', holiday_avg FROM holiday_totals)""")
 def holiday_avg_rows(r: Retail) -> DataFrame:
-    return rounded(holiday.average_rows(r.by_store), 4, "avg")
+    return rounded(holiday.average_rows(r.by_store), 6, "avg")
 
 
 @query("store_holiday_pivot", """
@@ -157,39 +164,40 @@ def econ_weekly(r: Retail) -> DataFrame:
     return rounded(economy.weekly(r.factors), 6, *economy.SERIES)
 
 
-@query("fuel_by_month", f"""
-SELECT sales_year, sales_month, {near("avg(avg_fuel_price)", 6)} AS avg_fuel_price,
+@query("fuel_by_month", """
+SELECT sales_year, sales_month,
+       cast(sum(cast(avg_fuel_price AS decimal(28,10))) AS double) / count(avg_fuel_price) AS avg_fuel_price,
        (sales_year - 2010) * 12 + sales_month AS month_num
 FROM factors GROUP BY sales_year, sales_month""")
 def fuel_by_month(r: Retail) -> DataFrame:
-    return rounded(economy.fuel_by_month(r.factors), 6, "avg_fuel_price")
+    return economy.fuel_by_month(r.factors)
 
 
 def _trend_sql(x: str) -> str:
     return f"""
-SELECT {near(f"regr_slope(avg_weekly_sales, {x})", 3)} AS slope, {near(f"regr_intercept(avg_weekly_sales, {x})", 3)} AS intercept,
+SELECT {near(f"regr_slope(avg_weekly_sales, {x})", 6)} AS slope, {near(f"regr_intercept(avg_weekly_sales, {x})", 6)} AS intercept,
        min({x}) AS x_min, max({x}) AS x_max
 FROM factors"""
 
 
 @query("trend_fuel", _trend_sql("avg_fuel_price"))
 def trend_fuel(r: Retail) -> DataFrame:
-    return rounded(economy.trend(r.factors, "avg_fuel_price"), 3, "slope", "intercept")
+    return rounded(economy.trend(r.factors, "avg_fuel_price"), 6, "slope", "intercept")
 
 
 @query("trend_unemployment", _trend_sql("avg_unemployment"))
 def trend_unemployment(r: Retail) -> DataFrame:
-    return rounded(economy.trend(r.factors, "avg_unemployment"), 3, "slope", "intercept")
+    return rounded(economy.trend(r.factors, "avg_unemployment"), 6, "slope", "intercept")
 
 
 @query("trend_line", f"""
-SELECT cast(point AS int) AS point, {near("x", 9)} AS x, {near("slope * x + intercept", 3)} AS y
+SELECT cast(point AS int) AS point, {near("x", 6)} AS x, {near("slope * x + intercept", 6)} AS y
 FROM (SELECT point, slope, intercept, x_min + (x_max - x_min) * point / 99.0::double AS x
       FROM (SELECT regr_slope(avg_weekly_sales, avg_fuel_price) AS slope,
                    regr_intercept(avg_weekly_sales, avg_fuel_price) AS intercept,
                    min(avg_fuel_price) AS x_min, max(avg_fuel_price) AS x_max FROM factors), range(100) t(point))""")
 def trend_line(r: Retail) -> DataFrame:
-    return rounded(rounded(economy.trend_line(r.factors, "avg_fuel_price"), 9, "x"), 3, "y")
+    return rounded(economy.trend_line(r.factors, "avg_fuel_price"), 6, "x", "y")
 
 
 @query("econ_corr", f"""
@@ -207,10 +215,10 @@ def econ_corr(r: Retail) -> DataFrame:
 
 @query("sales_by_month", f"""
 SELECT sales_month, month_name, cast(sum(cast(total_sales AS decimal(28,2))) AS double) / 1e6 AS total_sales_m,
-       {near("avg(avg_weekly_sales)", 4)} AS avg_weekly
+       {near("avg(avg_weekly_sales)", 6)} AS avg_weekly
 FROM by_date GROUP BY sales_month, month_name""")
 def sales_by_month(r: Retail) -> DataFrame:
-    return rounded(seasons.by_month(r.by_date), 4, "avg_weekly")
+    return rounded(seasons.by_month(r.by_date), 6, "avg_weekly")
 
 
 @query("yoy_week_num", """
@@ -228,19 +236,19 @@ def holiday_weeks(r: Retail) -> DataFrame:
 
 
 @query("holiday_by_month", f"""
-SELECT sales_month, month_name, holiday, {near("avg(avg_weekly_sales)", 4)} AS avg_weekly
+SELECT sales_month, month_name, holiday, {near("avg(avg_weekly_sales)", 6)} AS avg_weekly
 FROM labelled_dates GROUP BY sales_month, month_name, holiday""")
 def holiday_by_month(r: Retail) -> DataFrame:
-    return rounded(seasons.holiday_by_month(r.by_date), 4, "avg_weekly")
+    return rounded(seasons.holiday_by_month(r.by_date), 6, "avg_weekly")
 
 
 @query("holiday_months", f"""
 SELECT sales_month, month_name,
-       {near("coalesce(avg(avg_weekly_sales) FILTER (holiday = 'FALSE'), 0)", 4)} AS nonholiday_avg,
-       {near("avg(avg_weekly_sales) FILTER (holiday = 'TRUE')", 4)} AS holiday_avg
+       {near("coalesce(avg(avg_weekly_sales) FILTER (holiday = 'FALSE'), 0)", 6)} AS nonholiday_avg,
+       {near("avg(avg_weekly_sales) FILTER (holiday = 'TRUE')", 6)} AS holiday_avg
 FROM labelled_dates GROUP BY sales_month, month_name HAVING count(*) FILTER (holiday = 'TRUE') > 0""")
 def holiday_months(r: Retail) -> DataFrame:
-    return rounded(seasons.holiday_months(r.by_date), 4, "nonholiday_avg", "holiday_avg")
+    return rounded(seasons.holiday_months(r.by_date), 6, "nonholiday_avg", "holiday_avg")
 
 
 @query("year_boundaries", """
@@ -252,6 +260,7 @@ def year_boundaries(r: Retail) -> DataFrame:
 
 # --- markdowns -------------------------------------------------------------------------------
 
+# The short names that the markdown report gives the totals.
 _SUMS = ["md1", "md2", "md3", "md4", "md5", "total_all", "total_sales"]
 _SOURCES = [*[f"total_markdown{k}" for k in range(1, 6)], "total_all_markdowns", "total_sales"]
 _BY_YEAR = f"""
@@ -272,6 +281,11 @@ def markdown_by_year(r: Retail) -> DataFrame:
     return markdowns.by_year(r.markdowns)
 
 
+@query("markdown_in_year", f"SELECT sales_year, total_all / 1e6 AS total_all_m FROM ({_BY_YEAR}) WHERE sales_year = 1998")
+def markdown_in_year(r: Retail) -> DataFrame:
+    return markdowns.in_year(r.markdowns, 1998)
+
+
 @query("markdown_long", " UNION ALL ".join(
     f"SELECT sales_year, 'Markdown {k}' AS markdown, md{k} / 1e6 AS amount_m FROM ({_BY_YEAR})" for k in range(1, 6)))
 def markdown_long(r: Retail) -> DataFrame:
@@ -301,9 +315,11 @@ def profile(r: Retail) -> DataFrame:
 _LINE = """
 SELECT store_type, sales_month, cast(sum(cast(total_sales AS decimal(28,2))) AS double) / 1e6 AS total_sales_m
 FROM by_type GROUP BY store_type, sales_month"""
+_OF_TYPE = {f"type_{t.lower()}": f"store_type = '{t}'" for t in "ABC"} | {
+    "type_other": "coalesce(store_type NOT IN ('A', 'B', 'C'), true)"}
+_TYPE_SUM = "cast(sum(cast(total_sales AS decimal(28,2))) FILTER ({}) AS double)"
 _PIVOT = "SELECT sales_month, " + ", ".join(
-    f"cast(sum(cast(total_sales AS decimal(28,2))) FILTER (store_type = '{t.upper()}') AS double) AS type_{t}"
-    for t in "abc") + " FROM by_type GROUP BY sales_month"
+    f"{_TYPE_SUM.format(rule)} AS {c}" for c, rule in _OF_TYPE.items()) + " FROM by_type GROUP BY sales_month"
 _MONTH_NAME = "strftime(make_date(2000, sales_month, 1), '%b') AS month_name"
 
 
@@ -312,6 +328,14 @@ def storetype_month_line(r: Retail) -> DataFrame:
     return storetypes.monthly_line(r.by_type)
 
 
+@query("storetype_size_totals", """
+SELECT store_type, store_size, cast(sum(cast(total_sales AS decimal(28,2))) AS double) AS total_sales,
+       count(DISTINCT store_id) AS stores
+FROM by_store GROUP BY store_type, store_size""")
+def storetype_size_totals(r: Retail) -> DataFrame:
+    return storetypes.by_type_and_size(r.by_store)
+
+
 @query("storetype_last_month", f"""
 SELECT store_type, sales_month, total_sales_m, '$' || format('{{:,.0f}}', total_sales_m) || 'M' AS label
 FROM (SELECT *, row_number() OVER (PARTITION BY store_type ORDER BY sales_month DESC) AS rn FROM ({_LINE}))
@@ -320,17 +344,15 @@ def storetype_last_month(r: Retail) -> DataFrame:
     return storetypes.last_month(r.by_type)
 
 
-@query("storetype_month_pivot", f"SELECT sales_month, {_MONTH_NAME}, type_a, type_b, type_c FROM ({_PIVOT})")
+@query("storetype_month_pivot", f"SELECT sales_month, {_MONTH_NAME}, {', '.join(_OF_TYPE)} FROM ({_PIVOT})")
 def storetype_month_pivot(r: Retail) -> DataFrame:
     return storetypes.month_pivot(r.by_type)
 
 
 _TOTALS = f"""
-SELECT sales_month, {_MONTH_NAME}, type_a, type_b, type_c FROM ({_PIVOT})
+SELECT sales_month, {_MONTH_NAME}, {', '.join(_OF_TYPE)} FROM ({_PIVOT})
 UNION ALL
-SELECT 99, 'TOTAL', """ + ", ".join(
-    f"coalesce(cast(sum(cast(total_sales AS decimal(28,2))) FILTER (store_type = '{t}') AS double), 0)"
-    for t in "ABC") + " FROM by_type"
+SELECT 99, 'TOTAL', """ + ", ".join(f"coalesce({_TYPE_SUM.format(rule)}, 0)" for rule in _OF_TYPE.values()) + " FROM by_type"
 
 
 @query("storetype_month_totals", _TOTALS)
@@ -339,7 +361,7 @@ def storetype_month_totals(r: Retail) -> DataFrame:
 
 
 @query("storetype_month_table", "SELECT sales_month, month_name, " + ", ".join(
-    f"coalesce('$' || format('{{:,.0f}}', type_{t} / 1e6) || 'M', '-') AS type_{t}" for t in "abc")
+    f"coalesce('$' || format('{{:,.0f}}', {c} / 1e6) || 'M', '-') AS {c}" for c in _OF_TYPE)
     + f" FROM ({_TOTALS})")
 def storetype_month_table(r: Retail) -> DataFrame:
     return storetypes.month_table(r.by_type)

@@ -12,6 +12,7 @@ DEPARTMENT_COLUMNS = ["store_id", "dept_id", "store_date", "weekly_sales", "isho
 FACT_COLUMNS = ["store_id", "store_date", "temperature", "fuel_price", "markdown1", "markdown2",
                 "markdown3", "markdown4", "markdown5", "cpi", "unemployment", "isholiday"]
 
+# The markdown columns.
 MARKDOWNS = ["markdown1", "markdown2", "markdown3", "markdown4", "markdown5"]
 
 # The measures whose change opens a new version of a sales record.
@@ -27,11 +28,15 @@ TOTAL = T.DecimalType(38, 2)
 
 @dataclass(frozen=True)
 class Landing:
-    """One landed file family: target table, file-name pattern, columns in file order."""
+    """One landed file family: target table, file-name pattern, columns in file order.
+
+    ``multi_line`` reads quoted line breaks inside fields; its files are then not split over tasks.
+    """
 
     table: str
     pattern: str
     columns: tuple[str, ...]
+    multi_line: bool = False
 
     @property
     def schema(self) -> T.StructType:

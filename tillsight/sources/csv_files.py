@@ -12,8 +12,9 @@ from ..schemas import Landing
 CORRUPT = "corrupt_record"
 
 # Comma, optional double quotes (doubled inside), one header line; columns map by position.
-# multiLine stays off so that one large file is still split over many tasks. Column pruning is off
-# because a parser that skips fields does not notice that a line has too few or too many.
+# Unless a landing asks for it, multiLine is off so that one large file is split over many tasks.
+# Column pruning is off because a parser that skips fields does not notice that a line has too few
+# or too many.
 CSV_OPTIONS = {
     "header": "true", "sep": ",", "quote": '"', "escape": '"',
     "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT,
@@ -24,6 +25,10 @@ CSV_OPTIONS = {
 SOURCE_COLUMNS = ["source_file", "source_modified", "source_size"]
 
 
+def _options(landing: Landing) -> dict[str, str]:
+    return CSV_OPTIONS | {"multiLine": str(landing.multi_line).lower()}
+
+
 def _reader_schema(landing: Landing) -> T.StructType:
     return T.StructType([*landing.schema.fields, T.StructField(CORRUPT, T.StringType())])
 
@@ -37,7 +42,7 @@ def _with_source(df: DataFrame) -> DataFrame:
 
 def read_csv(spark: SparkSession, path: str | list[str], landing: Landing) -> DataFrame:
     """All lines of the files, malformed ones marked in ``corrupt_record``."""
-    reader = spark.read.schema(_reader_schema(landing)).options(**CSV_OPTIONS)
+    reader = spark.read.schema(_reader_schema(landing)).options(**_options(landing))
     if isinstance(path, str):
         reader = reader.option("pathGlobFilter", landing.pattern)
     return _with_source(reader.csv(path))
@@ -46,7 +51,7 @@ def read_csv(spark: SparkSession, path: str | list[str], landing: Landing) -> Da
 def stream_csv(spark: SparkSession, path: str, landing: Landing,
                max_files: int | None = None) -> DataFrame:
     """The same as a stream over files not seen before."""
-    reader = (spark.readStream.schema(_reader_schema(landing)).options(**CSV_OPTIONS)
+    reader = (spark.readStream.schema(_reader_schema(landing)).options(**_options(landing))
               .option("pathGlobFilter", landing.pattern))
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)

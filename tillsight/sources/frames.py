@@ -1,18 +1,25 @@
-"""Hand-over to a client frame."""
+"""Hand-over to client frames."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from itertools import islice
+
 from pyspark.sql import DataFrame
 
 from ..functions.casts import decimals_to_double
 
 
-def to_report_frame(df: DataFrame, max_rows: int = 1_000_000):
-    """pandas frame of a report-sized result, decimals as floats.
+def report_frames(df: DataFrame, rows: int = 50_000) -> Iterator:
+    """pandas frames of at most ``rows`` rows, decimals as floats, together the whole result.
 
-    Fetches one row more than allowed and refuses a larger result instead of cutting it short.
+    Partitions come one after the other, so the client holds one at a time whatever the size; an empty
+    result gives one empty frame.
     """
-    pdf = decimals_to_double(df).limit(max_rows + 1).toPandas()
-    if len(pdf) > max_rows:
-        raise ValueError(f"result has more than {max_rows} rows; aggregate before fetching it")
-    return pdf
+    import pandas as pd
+
+    out = decimals_to_double(df)
+    fetched, first = out.toLocalIterator(prefetchPartitions=True), True
+    while (part := list(islice(fetched, rows))) or first:
+        first = False
+        yield pd.DataFrame.from_records([tuple(r) for r in part], columns=out.columns)

@@ -1,12 +1,17 @@
 """Landing tables: delivered files appended load by load, all text, with malformed lines aside.
 
-Layout: ``<root>/bronze/<table>/v=<n>/load=<id>/bad=<true|false>``. A load counts once its folder
-holds the success marker. Good and bad lines are written in one pass over the files.
+Layout under ``<root>/bronze/<table>``
+``v=<n>/load=<id>/bad=<true|false>``  lines of one load, good and bad written in one pass over the files
+``files/v=<n>/load=<id>``             one row per file of the load: its state, its row counts, what it replaces
+``v=<n>/_loads/<id>``                 empty file that makes the load count; written last
+
+Questions about files and counts read the file rows, never the lines. A file row may replace what earlier
+loads hold of the same file; such lines are left out of every read.
 
 Load modes
 ``once``          files not seen before (streaming file source with a checkpoint); files that another
                   mode has already loaded in the same state are left out
-``changed``       files whose name, time or size is not among the loaded ones
+``changed``       files whose name, time or size is not among the loaded ones; a file's earlier lines go
 ``force_append``  every file again, on top of what is there
 ``replace``       every file into a fresh table
 """
@@ -25,6 +30,12 @@ from .warehouse import Warehouse
 
 log = logging.getLogger(__name__)
 
+FILES = T.StructType([
+    T.StructField("source_file", T.StringType()), T.StructField("source_modified", T.TimestampType()),
+    T.StructField("source_size", T.LongType()), T.StructField("good_rows", T.LongType()),
+    T.StructField("bad_rows", T.LongType()), T.StructField("replaces", T.ArrayType(T.StringType())),
+    T.StructField("load", T.StringType())])
+
 MODES = ("once", "changed", "force_append", "replace")
 
 
@@ -39,12 +50,22 @@ class LandingZone:
         return self.wh.path("bronze", table)
 
     def _generations(self, table: str) -> list[str]:
-        """Table versions that hold at least one complete load."""
-        return [v for v in self.wh.folders(self._base(table), "v") if self._loads(table, v)]
+        """Newest table version that holds a load, as a list of one or none."""
+        return next(([v] for v in reversed(self.wh.folders(self._base(table), "v")) if self._loads(table, v)), [])
 
     def _loads(self, table: str, version: str) -> list[str]:
-        base = f"{self._base(table)}/v={version}"
-        return [i for i in self.wh.folders(base, "load") if self.wh.complete(f"{base}/load={i}")]
+        return self.wh.files(f"{self._base(table)}/v={version}/_loads")
+
+    def _files(self, table: str, loads: list[str] | None = None) -> DataFrame:
+        """File rows of the current generation's loads."""
+        generations = self._generations(table)
+        if not generations or loads == []:
+            return self.spark.createDataFrame([], FILES)
+        base = f"{self._base(table)}/files/v={generations[-1]}"
+        chosen = self._loads(table, generations[-1]) if loads is None else loads
+        return (self.spark.read.schema(FILES).option("basePath", base).parquet(base)
+                .where(F.col("load").isin(chosen) if loads is not None else ~F.col("load").isin(
+                    sorted(set(self.wh.folders(base, "load")) - set(chosen)))))
 
     def _schema(self, landing: Landing) -> T.StructType:
         return T.StructType([
@@ -68,8 +89,14 @@ class LandingZone:
         chosen = self._loads(table, generations[-1]) if loads is None else loads
         if not chosen:
             return self.spark.createDataFrame([], schema)
-        return (self.spark.read.schema(schema).option("basePath", base)
-                .parquet(*[f"{base}/load={i}" for i in chosen]))
+        lines = (self.spark.read.schema(schema).option("basePath", base)
+                 .parquet(*[f"{base}/load={i}" for i in chosen]))
+        gone = self._replaced(table)
+        return lines if gone.isEmpty() else lines.join(gone, ["load", "source_file"], "left_anti").select(*schema.names)
+
+    def _replaced(self, table: str) -> DataFrame:
+        """(load, source_file) of lines that a later load replaces."""
+        return self._files(table).select(F.explode("replaces").alias("load"), "source_file").distinct()
 
     def table(self, table: str) -> DataFrame:
         """Good rows with their audit columns."""
@@ -77,24 +104,63 @@ class LandingZone:
         df.createOrReplaceTempView(table)
         return df
 
+    def settled(self, table: str, key: list[str]) -> DataFrame:
+        """Good rows, where rows that a stream landed stand for earlier ones of their key.
+
+        A stream delivers single rows anew, so of a key that it touched the newest row counts. Keys that only
+        whole files brought stay as they are, repeated or not.
+        """
+        lines = self._lines(table).where(~F.col("bad"))
+        loads = self._loads(table, self._current(table))
+        columns = [*LANDINGS[table].columns, *AUDIT_COLUMNS]
+        if not any(i.startswith("upsert-") for i in loads):
+            return lines.select(*columns)
+        streamed = F.col("load").startswith("upsert-")
+        touched = lines.where(streamed).select(*key).distinct()
+        order = F.struct("insert_date", streamed.cast("int"), "load")
+        newest = (lines.join(touched, key, "left_semi").groupBy(*key)
+                  .agg(F.max_by(F.struct(*columns), order).alias("row")).select("row.*"))
+        return lines.join(touched, key, "left_anti").select(*columns).unionByName(newest)
+
     def quarantine(self, table: str) -> DataFrame:
         """Malformed lines set aside, with the file they came from."""
         return self._lines(table).where("bad").select(CORRUPT, *SOURCE_COLUMNS, "insert_date")
 
-    def loaded_files(self, table: str, streamed: bool = True) -> DataFrame:
-        """File states already loaded; the columns are constant per file, so they scan cheaply."""
-        lines = self._lines(table)
+    def load_rows(self, table: str, load: str) -> DataFrame:
+        """Good rows of one load."""
+        return self._lines(table, [load]).where(~F.col("bad")).select(*LANDINGS[table].columns, *AUDIT_COLUMNS)
+
+    def loaded_files(self, table: str, streamed: bool = True, without: str | None = None) -> DataFrame:
+        """File states already loaded, by other loads than the one named."""
+        files = self._files(table)
+        if without is not None:
+            files = files.where(F.col("load") != without)
         if not streamed:
-            lines = lines.where(~F.col("load").startswith("stream-"))
-        return lines.select(*SOURCE_COLUMNS).distinct()
+            files = files.where(~F.col("load").startswith("stream-"))
+        return files.select(*SOURCE_COLUMNS).distinct()
 
     # --- writing -----------------------------------------------------------------------------
 
-    def _store(self, lines: DataFrame, table: str, version: str, load: str, run_ts: str | None) -> None:
-        landing = LANDINGS[table]
-        (with_audit(clean(lines, landing), run_ts)
-         .write.mode("overwrite").partitionBy("bad")
-         .parquet(f"{self._base(table)}/v={version}/load={load}"))
+    def store(self, lines: DataFrame, table: str, load: str, run_ts: str | None = None, version: str | None = None,
+              replaces: DataFrame | None = None) -> None:
+        """Write one load and make it count. ``lines`` come as read, or with ``bad`` and audit columns already.
+
+        ``replaces`` has (source_file, replaces): the loads whose lines of the file no longer count.
+        """
+        version = version or self._current(table)
+        target = f"{self._base(table)}/v={version}/load={load}"
+        if "bad" not in lines.columns:
+            lines = with_audit(clean(lines, LANDINGS[table]), run_ts)
+        lines.write.mode("overwrite").partitionBy("bad").parquet(target)
+        written = self.spark.read.schema(self._schema(LANDINGS[table])).parquet(target)
+        files = written.groupBy(*SOURCE_COLUMNS).agg(F.count_if(~F.col("bad")).alias("good_rows"),
+                                                     F.count_if("bad").alias("bad_rows"))
+        none = F.lit(None).cast("array<string>")
+        files = (files.withColumn("replaces", none) if replaces is None
+                 else files.join(replaces, "source_file", "left"))
+        (files.select(*[f.name for f in FILES.fields if f.name != "load"]).coalesce(1)
+         .write.mode("overwrite").parquet(f"{self._base(table)}/files/v={version}/load={load}"))
+        self.wh.mark(f"{self._base(table)}/v={version}/_loads/{load}")
 
     def _current(self, table: str) -> str:
         generations = self._generations(table)
@@ -106,31 +172,45 @@ class LandingZone:
         return f"{kind}-{max(taken, default=0) + 1:06d}"
 
     def load(self, table: str, folder: str, mode: str = "once", run_ts: str | None = None) -> int:
-        """Load one table; returns the number of good rows it added (all rows for ``replace``)."""
+        """Load one table; returns the number of good rows in what it loaded."""
         if mode not in MODES:
             raise ValueError(f"unknown load mode {mode!r}, use one of {MODES}")
         landing = LANDINGS[table]
-        before = 0 if mode == "replace" else self.table(table).count()
+        held = (self._generations(table), set(self._loads(table, self._current(table))))
         if mode == "once":
             self._load_new(table, folder, run_ts)
         elif mode == "replace":
             started = [int(v) for v in self.wh.folders(self._base(table), "v")]
             version = f"{max(started, default=0) + 1:06d}"
-            self._store(read_csv(self.spark, folder, landing), table, version, "replace-000001", run_ts)
+            self.store(read_csv(self.spark, folder, landing), table, "replace-000001", run_ts, version)
         else:
-            files = list_files(self.spark, folder, landing)
-            if mode == "changed":
-                files = files.join(self.loaded_files(table), SOURCE_COLUMNS, "left_anti")
-            paths = [r.path for r in files.select("path").collect()]  # a folder listing, not data
-            if paths:
-                version = self._current(table)
-                kind = "force" if mode == "force_append" else "changed"
-                self._store(read_csv(self.spark, paths, landing), table, version,
-                            self._next_load(table, version, kind), run_ts)
-        added = self.table(table).count() - before
+            self._load_listed(table, folder, mode, run_ts)
+        loads = set(self._loads(table, self._current(table)))
+        fresh = sorted(loads - held[1] if self._generations(table) == held[0] else loads)
+        added = self._files(table, fresh).agg(F.coalesce(F.sum("good_rows"), F.lit(0))).first()[0]
         log.info("loaded %s: %d rows (%s)", table, added, mode)
         return added
 
+    def _load_listed(self, table: str, folder: str, mode: str, run_ts: str | None) -> None:
+        """Read the folder's files again: all of them, or those whose state is new. The reader lists the folder;
+        which of its lines to take is a join on the file's state, so no list of files passes the driver."""
+        landing = LANDINGS[table]
+        files = list_files(self.spark, folder, landing)
+        if mode == "force_append":
+            if not files.isEmpty():
+                self.store(read_csv(self.spark, folder, landing), table, self._next_load(table, self._current(table), "force"),
+                           run_ts)
+            return
+        files = files.join(self.loaded_files(table), SOURCE_COLUMNS, "left_anti")
+        if files.isEmpty():
+            return
+        live = self._files(table).select("source_file", "load").join(
+            self._replaced(table), ["load", "source_file"], "left_anti")
+        older = live.groupBy("source_file").agg(F.sort_array(F.collect_set("load")).alias("replaces"))
+        wanted = files.select("source_file")
+        self.store(read_csv(self.spark, folder, landing).join(wanted, "source_file", "left_semi"), table,
+                   self._next_load(table, self._current(table), "changed"), run_ts, replaces=older)
+
     def _load_new(self, table: str, folder: str, run_ts: str | None) -> None:
         query = (self.stream_writer(table, folder, run_ts)
                  .trigger(availableNow=True).start())
@@ -147,7 +227,7 @@ class LandingZone:
             known = self.loaded_files(table, streamed=False)
             if not known.isEmpty():
                 batch = batch.join(known, SOURCE_COLUMNS, "left_anti")
-            self._store(batch, table, self._current(table), f"stream-{batch_id:06d}", run_ts)
+            self.store(batch, table, f"stream-{batch_id:06d}", run_ts)
 
         return (stream_csv(self.spark, folder, LANDINGS[table], max_files)
                 .writeStream.foreachBatch(append).queryName(f"load_{table}")
@@ -160,15 +240,20 @@ class LandingZone:
 
     def correct(self, table: str, condition: str | Column, changes: dict[str, str],
                 run_ts: str | None = None) -> None:
-        """UPDATE ... WHERE on a landing table, written as a new generation."""
+        """UPDATE ... WHERE on a landing table. Files that hold matching rows are written anew as one load that
+        replaces their lines; all other loads stay as they are."""
         condition = (F.expr(condition) if isinstance(condition, str) else condition) & ~F.col("bad")
-        lines = correct(self._lines(table), condition, changes).drop("load")
+        lines = self._lines(table)
+        hit = lines.where(condition).groupBy("source_file").agg(F.lit(True).alias("hit"))
+        held = self._files(table).select("source_file", "load").join(
+            self._replaced(table), ["load", "source_file"], "left_anti").join(hit, "source_file", "left_semi")
+        older = held.groupBy("source_file").agg(F.sort_array(F.collect_set("load")).alias("replaces"))
+        fixed = correct(lines.join(hit.select("source_file"), "source_file", "left_semi"), condition, changes).drop("load")
         if run_ts is not None:
-            lines = lines.withColumn("update_date", F.when(condition, F.lit(run_ts).cast("timestamp"))
+            fixed = fixed.withColumn("update_date", F.when(condition, F.lit(run_ts).cast("timestamp"))
                                      .otherwise(F.col("update_date")))
-        started = [int(v) for v in self.wh.folders(self._base(table), "v")]
-        target = f"{self._base(table)}/v={max(started) + 1:06d}/load=replace-000001"
-        lines.write.mode("overwrite").partitionBy("bad").parquet(target)
+        if not hit.isEmpty():
+            self.store(fixed, table, self._next_load(table, self._current(table), "fix"), run_ts, replaces=older)
 
 
 def correct(df: DataFrame, condition: str | Column, changes: dict[str, str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Parquet tables on a shared folder, each write a new directory that counts once complete.
 
-A write goes to ``<root>/<name>/v=<n>``; readers take the newest one holding Spark's success
-marker. A failed job leaves no marker, so readers keep the previous state, and no plan ever
-overwrites the files it reads.
+A write goes to ``<root>/<name>/v=<n>``; readers take the newest one holding a commit file, which is
+written after the data by this package and so does not depend on the store's job settings. A failed
+job leaves none, so readers keep the previous state, and no plan ever overwrites the files it reads.
 """
 
 from __future__ import annotations
@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+COMMIT = "_COMMIT"
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
@@ -28,9 +30,29 @@ class Warehouse:
         return target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), target
 
     def complete(self, path: str) -> bool:
-        fs, target = self._hadoop(path + "/_SUCCESS")
+        fs, target = self._hadoop(f"{path}/{COMMIT}")
         return fs.exists(target)
 
+    def mark(self, path: str) -> None:
+        """Create an empty file."""
+        fs, target = self._hadoop(path)
+        fs.create(target, True).close()
+
+    def commit(self, path: str) -> None:
+        self.mark(f"{path}/{COMMIT}")
+
+    def files(self, path: str) -> list[str]:
+        """Names of the files directly under ``path``, from one listing."""
+        fs, target = self._hadoop(path)
+        if not fs.exists(target):
+            return []
+        return sorted(s.getPath().getName() for s in fs.listStatus(target) if s.isFile())
+
+    def newest(self, path: str, prefix: str) -> str | None:
+        """Value of the last complete ``<prefix>=<value>`` folder; looks from the end, so few calls whatever
+        the number of folders."""
+        return next((v for v in reversed(self.folders(path, prefix)) if self.complete(f"{path}/{prefix}={v}")), None)
+
     def folders(self, path: str, prefix: str) -> list[str]:
         """Values of the ``<prefix>=<value>`` folders directly under ``path``, in order."""
         fs, target = self._hadoop(path)
@@ -50,14 +72,14 @@ class Warehouse:
         return [int(v) for v in self.folders(base, "v") if self.complete(f"{base}/v={v}")]
 
     def exists(self, name: str) -> bool:
-        return bool(self.versions(name))
+        return self.newest(self.path(name), "v") is not None
 
     def table(self, name: str) -> DataFrame:
         """Newest complete version, also registered as a view of the same name for SQL."""
-        done = self.versions(name)
-        if not done:
+        last = self.newest(self.path(name), "v")
+        if last is None:
             raise LookupError(f"table {name!r} has not been built under {self.root}")
-        df = self.spark.read.parquet(self.path(name, _version(done[-1])))
+        df = self.spark.read.parquet(self.path(name, f"v={last}"))
         df.createOrReplaceTempView(name.replace("/", "_"))
         return df
 
@@ -66,6 +88,7 @@ class Warehouse:
         started = [int(v) for v in self.folders(self.path(name), "v")]
         target = self.path(name, _version(max(started, default=0) + 1))
         df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
+        self.commit(target)
         return self.table(name)
 
     def prune(self, name: str, keep: int = 2) -> None:

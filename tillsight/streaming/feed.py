@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import facts
-from ..plans.pipeline import DATE_DIM, STORE_DIM, Pipeline
+from ..plans.pipeline import Pipeline
 from ..schemas import LANDINGS
-from ..sources.csv_files import split_bad, stream_csv, with_audit
+from ..sources.csv_files import SOURCE_COLUMNS, stream_csv
 
 
 def start_landing(pipeline: Pipeline, table: str, folder: str, available_now: bool = False,
@@ -25,20 +24,25 @@ def start_landing(pipeline: Pipeline, table: str, folder: str, available_now: bo
 
 def start_snapshot(pipeline: Pipeline, folder: str, run_ts_of, available_now: bool = False,
                    interval: str = "1 hour", max_files: int | None = None) -> StreamingQuery:
-    """Version the sales of each micro-batch of new department files against the stored table.
+    """Take in each micro-batch of new department files as the batch run does: land its lines, good and bad,
+    upsert the dimensions from its rows, then version its sales.
 
-    ``run_ts_of(batch_id)`` gives the run time. Economics and dimensions are read as stored when
-    the batch runs. A key delivered twice in one batch fails the batch before anything is stored;
-    a batch that is retried after its commit finds nothing changed.
+    ``run_ts_of(batch_id)`` gives the run time. A streamed row stands for earlier landed rows of its key, so a
+    batch run that follows finds nothing changed. A key delivered twice in one batch fails the batch before its
+    sales are versioned; a batch that is retried lands under the same name and finds nothing changed.
     """
-    landing = LANDINGS["department_raw"]
+    table = "department_raw"
+    landing = LANDINGS[table]
 
     def version(batch: DataFrame, batch_id: int) -> None:
-        good, _ = split_bad(batch, landing)
-        source = facts.enriched(facts.sales(good), facts.economics(pipeline.landing.table("fact_raw")),
-                                pipeline.wh.table(DATE_DIM), pipeline.wh.table(STORE_DIM))
-        run_ts = run_ts_of(batch_id)
-        pipeline.snapshot.run(with_audit(source, run_ts), run_ts, prune=True)
+        run_ts, load = run_ts_of(batch_id), f"upsert-{batch_id:06d}"
+        known = pipeline.landing.loaded_files(table, without=load)
+        pipeline.landing.store(batch.join(known, SOURCE_COLUMNS, "left_anti"), table, load, run_ts)
+        rows = pipeline.landing.load_rows(table, load)
+        if rows.isEmpty():  # every line malformed, or every file landed before
+            return
+        pipeline.build_dims(run_ts, delivered=rows)
+        pipeline.snapshot.run(pipeline.snapshot_source(run_ts, delivered=rows), run_ts, prune=True)
 
     writer = (stream_csv(pipeline.spark, folder, landing, max_files).writeStream.foreachBatch(version)
               .queryName("version_sales")
