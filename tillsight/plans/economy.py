@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import month_ordinal
@@ -12,8 +12,13 @@ SERIES = ["avg_weekly_sales", "avg_temperature", "avg_fuel_price", "avg_unemploy
 
 
 def weekly(economics: DataFrame) -> DataFrame:
-    """Unweighted mean over stores per date."""
-    return economics.groupBy("store_date", "sales_year").agg(*[F.avg(c).alias(c) for c in SERIES])
+    """Unweighted mean over stores per date. A store-week's economics are short decimals, so they sum exactly."""
+    def exact(c: str) -> Column:
+        value = F.col(c).cast("decimal(28,10)")
+        return mean_of(F.sum(value), F.count(value)).alias(c)
+
+    return economics.groupBy("store_date", "sales_year").agg(
+        F.avg(SERIES[0]).alias(SERIES[0]), *[exact(c) for c in SERIES[1:]])
 
 
 def fuel_by_month(economics: DataFrame, base_year: int = 2010) -> DataFrame:

@@ -155,13 +155,15 @@ def store_holiday_split(r: Retail) -> DataFrame:
 
 # --- economics -------------------------------------------------------------------------------
 
+_EXACT_MEAN = "cast(sum(cast({c} AS decimal(28,10))) AS double) / count({c}) AS {c}"
+
+
 @query("econ_weekly", f"""
 SELECT store_date, sales_year, {near("avg(avg_weekly_sales)", 6)} AS avg_weekly_sales,
-       {near("avg(avg_temperature)", 6)} AS avg_temperature, {near("avg(avg_fuel_price)", 6)} AS avg_fuel_price,
-       {near("avg(avg_unemployment)", 6)} AS avg_unemployment, {near("avg(avg_cpi)", 6)} AS avg_cpi
+       {", ".join(_EXACT_MEAN.format(c=c) for c in economy.SERIES[1:])}
 FROM factors GROUP BY store_date, sales_year""")
 def econ_weekly(r: Retail) -> DataFrame:
-    return rounded(economy.weekly(r.factors), 6, *economy.SERIES)
+    return rounded(economy.weekly(r.factors), 6, "avg_weekly_sales")
 
 
 @query("fuel_by_month", """
