@@ -41,7 +41,6 @@ REMEMBERED = 200_000  # nodes of which a task knows that it sent their tokens
 
 META = "doc_id long, n long, node long, check long, slice int, counts binary"
 TOKENS = "token long, node long, n int, pos int"
-SETS = "node long, n int, shingles binary, second binary, third binary"
 
 
 def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -137,24 +136,23 @@ def prefix_tokens(slim: DataFrame, words: int, percent: int, shared) -> DataFram
     return slim.mapInArrow(run, TOKENS)
 
 
-def wanted_sets(slim: DataFrame, words: int, percent: int, shared) -> DataFrame:
-    """(node, n, shingles, second, third): whole set and the prefixes of the other orders."""
+def texts_of(slim: DataFrame, nodes: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
+    """(node, text): a compressed text of each wanted node, which is smaller than its set. nodes: (node, first)."""
+    ids = settle(wanted.join(nodes, "node").select(F.col("first").alias("wanted")).distinct())
+    few = ids.where("wanted IS NOT NULL")
+    few = F.broadcast(few) if few.count() <= SMALL else few
+    chosen = slim.join(few, F.col("doc_id") == F.col("wanted"), "left_semi")
+    if not ids.where("wanted IS NULL").isEmpty():
+        chosen = chosen.union(slim.where("doc_id IS NULL"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(words), shared.value
+        shingler, packer = Shingler(words), zstandard.ZstdCompressor(level=3)
         for batch in slices(batches, "text", CHUNK):
-            out = []
-            for _, values in _sets(batch, shingler):
-                n = len(values)
-                if n:
-                    p = prefix_size(n, percent)
-                    out.append((name_of(values)[0], n, values.tobytes(),
-                                *(np.sort(ranked(values, counts, k)[:p]).tobytes() for k in (1, 2))))
-            if out:
-                kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), kinds)],
-                                                 ["node", "n", "shingles", "second", "third"])
+            names = [name_of(values)[0] for _, values in _sets(batch, shingler)]
+            texts = [packer.compress(t.as_buffer().to_pybytes()) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(texts, pa.binary())], ["node", "text"])
 
-    return slim.mapInArrow(run, SETS)
+    return chosen.mapInArrow(run, "node long, text binary").dropDuplicates(["node"])
 
 
 def may_reach(nx: str, ny: str, px: str, py: str, percent: int):
@@ -165,29 +163,33 @@ def may_reach(nx: str, ny: str, px: str, py: str, percent: int):
     return sizes & ((100 + percent) * rest >= percent * (x + y))
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int, shared) -> DataFrame:
     """The (a, b) that pass the other orders and then the similarity itself."""
-    left = sets.select(F.col("node").alias("a"), *[F.col(c).alias("a_" + c) for c in ("second", "third", "shingles")])
-    right = sets.select(F.col("node").alias("b"), *[F.col(c).alias("b_" + c) for c in ("second", "third", "shingles")])
-    joined = pairs.join(left, "a").join(right, "b")
+    left, right = (texts.select(F.col("node").alias(c), F.col("text").alias(c + "_text")) for c in ("a", "b"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = [], []
-            columns = [batch.column(batch.schema.get_field_index(c)) for c in (
-                "a_second", "b_second", "a_third", "b_third", "a_shingles", "b_shingles")]
-            for i in range(batch.num_rows):
-                x2, y2, x3, y3, x, y = (np.frombuffer(c[i].as_buffer(), np.uint64) for c in columns)
-                if not common(x2, y2) or not common(x3, y3):
-                    continue
-                both = common(x, y)
-                if 100 * both >= percent * (len(x) + len(y) - both):
-                    a.append(batch.column("a")[i].as_py())
-                    b.append(batch.column("b")[i].as_py())
-            if a:
-                yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return joined.mapInArrow(run, "a long, b long")
+        shingler, counts, open_ = Shingler(words), shared.value, zstandard.ZstdDecompressor()
+        for batch in slices(batches, "a_text", CHUNK // 4):
+            columns = [batch.column(batch.schema.get_field_index(c)) for c in ("a", "b")]
+            a, b = (c.to_pylist() for c in columns)
+            texts_ = {}  # a hub stands in many pairs: each text is taken up once
+            for names, column in ((a, "a_text"), (b, "b_text")):
+                for i, blob in zip(names, batch.column(batch.schema.get_field_index(column))):
+                    if i not in texts_:
+                        texts_[i] = open_.decompress(blob.as_py())
+            sets = dict(zip(texts_, shingler.sets(list(texts_.values()))))
+            others = {i: [np.sort(ranked(v, counts, k)[:prefix_size(len(v), percent)]) for k in (1, 2)]
+                      for i, v in sets.items()}
+            good = []
+            for x, y in zip(a, b):
+                if all(common(p, q) for p, q in zip(others[x], others[y])):
+                    both = common(sets[x], sets[y])
+                    if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+                        good.append((x, y))
+            if good:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*good)], ["a", "b"])
+
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
 def common(x: np.ndarray, y: np.ndarray) -> int:
@@ -210,27 +212,22 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     if not nodes.where("c0 <> c1").isEmpty():
         raise RuntimeError("two sets share a 64-bit name; choose another salt")
 
-    # Copies beyond a node's first document bring nothing new.
     tokens = prefix_tokens(slim, words, percent, shared)
-    hubs = tokens.groupBy("token").agg(
-        F.min(F.struct("pos", "n", "node")).alias("hub"), F.max("node").alias("last"), F.min("node").alias("least")
-    ).where("last <> least").select("token", "hub")
-    members = settle(tokens.join(hubs, "token").select(
-        "token", "node", "n", "pos", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"),
-        F.col("hub.pos").alias("hub_pos")))
-    ids = settle(members.select("node").distinct().join(nodes, "node").select("first"))
-    few = ids.where("first IS NOT NULL").withColumnRenamed("first", "wanted").distinct()
-    few = F.broadcast(few) if few.count() <= SMALL else few
-    chosen = slim.join(few, F.col("doc_id") == F.col("wanted"), "left_semi")
-    if not ids.where("first IS NULL").isEmpty():
-        chosen = chosen.union(slim.where("doc_id IS NULL"))
-    sets = settle(wanted_sets(chosen, words, percent, shared).dropDuplicates(["node"]))
-
-    stars = settle(members.where("node <> hub").where(may_reach("n", "hub_n", "pos", "hub_pos", percent)).select(
+    several = tokens.groupBy("token").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b").select("token")
+    members = settle(tokens.join(several, "token").distinct())
+    hubs = members.groupBy("token").agg(F.min(F.struct("pos", "n", "node")).alias("hub"))
+    stars = settle(members.join(hubs, "token").select(
+        "node", "n", "pos", F.col("hub.node").alias("hub"), F.col("hub.n").alias("hub_n"), F.col("hub.pos").alias("hub_pos"))
+        .where("node <> hub").where(may_reach("n", "hub_n", "pos", "hub_pos", percent)).select(
         F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
-    links = settle(verified(stars, sets, percent))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        return settle(verified(pairs, texts_of(slim, nodes, ends, words), words, percent, shared))
+
+    links = checked(stars)
     first = settle(components(links))
-    placed = settle(members.select("token", "node", "n", "pos").distinct().join(first, "node", "left").select(
+    placed = settle(members.join(first, "node", "left").select(
         "token", "node", "n", "pos", F.coalesce("root", "node").alias("root")))
     mixed = placed.groupBy("token", "root").agg(F.count(F.lit(1)).alias("k")).groupBy("token").agg(
         F.max(F.struct("k", "root")).alias("main"), F.min("root").alias("r0"), F.max("root").alias("r1")
@@ -240,7 +237,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
     cross = outer.join(within, "token").where(F.col("x_root") != F.col("root")).where(
         may_reach("x_n", "n", "x_pos", "pos", percent)).select(
         F.least("x_node", "node").alias("a"), F.greatest("x_node", "node").alias("b")).distinct()
-    more = settle(verified(cross.join(stars, ["a", "b"], "left_anti"), sets, percent))
+    more = checked(settle(cross.join(stars, ["a", "b"], "left_anti")))
     grouped = components(links.union(more)) if not more.isEmpty() else first
     named = nodes.select("node", "first").join(grouped, "node", "left").select(
         "node", "first", F.coalesce("root", "node").alias("root"))
@@ -253,7 +250,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_
 
 def keep_first(docs: DataFrame, words: int = 5, percent: int = 80, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents without near duplicates, with all columns: of each component the smallest id stays. Rows that
-    repeat the winner's id stay with it; rows without id stay only where no other row of the component has one."""
+    repeat the winner's id stay with it, and rows without an id stay, as no id can name them."""
     lost = free_name(docs.columns, "lost_id")
     found = join(docs, words, percent, doc_id, text)
     out = found.where("doc_id <> component_id").select(F.col("doc_id").alias(lost)).distinct()
