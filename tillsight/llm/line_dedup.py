@@ -4,12 +4,13 @@ Lines are trimmed and lower-cased; equal lines are one distinct line, known by i
 earliest place (document id, line number). Two distinct lines are within one edit exactly if one is the other
 without one character, or both lose one character at the same place and then agree. So every line emits, for
 each place, a key of the line without that character (to meet whole lines) and a key of the same together with
-the place (to meet lines that differ there), and one key of itself. Per key only the earliest rank is kept, by
-a map-side aggregate; members then look up that one rank. No pairs among a key's members are made, and the
-earliest member is all that "keep the earliest" needs. Each match is verified by its edit distance.
+the place (to meet lines that differ there), and one key of itself. Each member of a key meets the earliest one
+only: no pairs among a key's members are made, and the earliest is all that "keep the earliest" needs. Each match
+is verified by its edit distance.
 
-Only lines that can have a partner emit keys: with one edit, the first or the second half of the shorter length
-stays as it is, so a line whose halves no other line has is left out. That screen loses nothing.
+Only keys that can meet another line are emitted: with one edit, the first or the second half of the shorter
+length stays as it is. A line whose halves no other line has emits none, and one that shares a half emits keys for
+places in the other half. That screen loses nothing.
 
 A line goes when an earlier line equals it, or lies within one edit while both have `min_chars` characters at
 least: below that, one edit makes another word. What is kept or not never depends on other removals.
@@ -21,14 +22,14 @@ the screen emits 2n+1 keys as rows of their own; its keys are never held togethe
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import settle
 
 MIN_CHARS = 12
 LAST = (1 << 63) - 1  # rank of a null id
-SMALL = 1_000_000  # digests (16 MB) up to which the lines that emit keys are picked by broadcast; beyond, by a join
+SMALL = 1_000_000  # lines (40 MB) up to which the lines that emit keys are picked by broadcast; beyond, by a join
 
 
 def lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -43,7 +44,7 @@ def _digest(norm: str) -> Column:
 
 
 def distinct_lines(every: DataFrame) -> DataFrame:
-    """(key, first, n, chars, halves): one row per distinct line with its earliest place and its half keys."""
+    """(key, short, doc, line, n, chars, halves): one row per distinct line with its earliest place."""
     chars = F.length("norm")
 
     def half(size: Column, end: str) -> Column:
@@ -51,42 +52,78 @@ def distinct_lines(every: DataFrame) -> DataFrame:
         part = F.left("norm", m) if end == "first" else F.right("norm", m)
         return F.xxhash64(F.lit(end), size, part)
 
-    keyed = every.select("doc", "line", _digest("norm").alias("key"), chars.alias("chars"), F.array(
-        half(chars, "first"), half(chars, "second"), half(chars - 1, "first"), half(chars - 1, "second")).alias("halves"))
-    return keyed.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("first"), F.count(F.lit(1)).alias("n"),
-                                    F.first("chars").alias("chars"), F.first("halves").alias("halves"))
+    keyed = every.select("doc", "line", _digest("norm").alias("key"), chars.alias("chars"), *[
+        half(size, end).alias(name) for name, size, end in (
+            ("own_first", chars, "first"), ("own_second", chars, "second"),
+            ("less_first", chars - 1, "first"), ("less_second", chars - 1, "second"))])
+    names = ("chars", "own_first", "own_second", "less_first", "less_second")
+    grouped = keyed.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), F.count(F.lit(1)).alias("n"),
+                                       *[F.first(c).alias(c) for c in names])
+    return grouped.select("key", _short("key"), "at.doc", "at.line", "n", *names)
+
+
+def _short(key: str) -> Column:
+    """Leading bytes of a digest as a number: smaller to send; what it picks is compared in full later."""
+    return F.conv(F.substring(F.hex(F.col(key)), 1, 15), 16, 10).cast("long").alias("short")
+
+
+NEEDS = ("place_second", "place_first", "less_second", "less_first", "whole")
 
 
 def candidates(distinct: DataFrame, min_chars: int) -> DataFrame:
-    """Digests of the lines that share half a line with another."""
-    halves = distinct.where(F.col("chars") >= min_chars).select("key", F.explode("halves").alias("half"))
-    shared = halves.groupBy("half").agg(F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("half")
-    return halves.join(shared, "half").select("key").distinct()
+    """(short, needs): the lines that share half a line with another, and which keys can meet that other.
+
+    If the first halves agree, the edit lies in the second, and the other way round. Lines of one size meet by
+    place; of two sizes that differ by one, the longer sends shortened forms and the shorter its whole.
+    """
+    def entry(column: str, own: bool, edit: str) -> Column:
+        return F.struct(F.col(column).alias("half"), F.lit(own).alias("own"), F.lit(edit).alias("edit"))
+
+    halves = distinct.where(F.col("chars") >= min_chars).select("short", F.explode(F.array(
+        entry("own_first", True, "second"), entry("own_second", True, "first"),
+        entry("less_first", False, "second"), entry("less_second", False, "first"))).alias("e")).select("short", "e.*")
+    shared = halves.groupBy("half").agg(
+        F.count(F.when(F.col("own"), 1)).alias("size"), F.count(F.when(~F.col("own"), 1)).alias("longer")
+    ).where("size > 1 OR (size = 1 AND longer > 0)")
+    met = halves.join(shared, "half")
+    own, edit = F.col("own"), F.col("edit")
+    needs = {**{f"place_{e}": own & (F.col("size") > 1) & (edit == e) for e in ("second", "first")},
+             **{f"less_{e}": ~own & (edit == e) for e in ("second", "first")}, "whole": own & (F.col("longer") > 0)}
+    return met.groupBy("short").agg(*[F.max(needs[n]).alias(n) for n in NEEDS])
 
 
 def neighbours(texts: DataFrame) -> DataFrame:
-    """(key, other): for each line the earliest line before it within one edit. texts: (key, first, norm)."""
-    places = texts.select("key", "first", "norm", F.explode(F.sequence(F.lit(1), F.length("norm"))).alias("i"))
-    less = F.concat(F.substring("norm", F.lit(1), F.col("i") - 1), F.substring("norm", F.col("i") + 1, F.length("norm")))
-    variant = F.explode(F.array(
-        F.struct(F.xxhash64(F.lit("place"), "i", "less").alias("h"), F.lit("p").alias("kind")),
-        F.struct(F.xxhash64(F.lit("less"), "less").alias("h"), F.lit("l").alias("kind")))).alias("v")
-    less_rows = places.select("key", "first", "i", less.alias("less")).select("key", "first", variant).select(
-        "key", "first", "v.h", "v.kind")
-    whole = texts.select("key", "first", F.xxhash64(F.lit("less"), "norm").alias("h"), F.lit("w").alias("kind"))
-    keys = less_rows.union(whole)
-    entry = F.struct("first", "key")
-    best = keys.groupBy("h").agg(
-        F.min(F.when(F.col("kind") != "w", entry)).alias("shortened"), F.min(F.when(F.col("kind") == "w", entry)).alias("whole"),
-        F.min("key").alias("a"), F.max("key").alias("b")).where("a <> b").select("h", "shortened", "whole")
-    # A shortened line meets the whole line that equals it; otherwise members meet shortened ones.
-    partner = F.when(F.col("kind") == "l", F.col("whole")).otherwise(F.col("shortened"))
-    met = keys.join(best, "h").select("key", "first", partner.alias("p")).where(F.col("p.first") < F.col("first"))
-    pairs = met.select("key", F.col("p.key").alias("other"), F.col("p.first").alias("other_first")).distinct()
-    left = texts.select("key", F.col("norm").alias("x"))
-    right = texts.select(F.col("key").alias("other"), F.col("norm").alias("y"))
-    near = pairs.join(left, "key").join(right, "other").where(F.levenshtein("x", "y", 1).between(0, 1))
-    return near.groupBy("key").agg(F.min("other_first").alias("near_first"))
+    """(key, near): for each line the earliest place before it of a line within one edit.
+
+    The lines that share a key differ in one character at one place, or are one line and its shortened forms, so
+    the alphabet and the line's length bound their number.
+    """
+    i, size, place = F.col("i"), F.length("norm"), F.struct("doc", "line", "short")
+
+    def within(need: str, whole_size: Column) -> Column:
+        m = F.floor(whole_size / 2)
+        return (F.col(need + "_second") & (i > m)) | (F.col(need + "_first") & (i <= size - m))
+
+    less = F.concat(F.substring("norm", F.lit(1), i - 1), F.substring("norm", i + 1, size))
+    spread = (texts.withColumn("i", F.explode(F.sequence(F.lit(1), size)))
+              .withColumn("by_place", within("place", size)).withColumn("by_size", within("less", size - 1)))
+    shortened = spread.where("by_place OR by_size").select("doc", "line", "short", "i", "by_place", "by_size", less.alias("less"))
+    keys = shortened.select("doc", "line", "short", F.explode(F.array_compact(F.array(
+        F.when(F.col("by_place"), F.struct(F.xxhash64(F.lit("place"), "i", "less").alias("h"), F.lit(0).alias("kind"))),
+        F.when(F.col("by_size"), F.struct(F.xxhash64(F.lit("less"), "less").alias("h"), F.lit(1).alias("kind")))))).alias("e")
+    ).select("doc", "line", "short", "e.h", "e.kind").union(texts.where("whole").select(
+        "doc", "line", "short", F.xxhash64(F.lit("less"), "norm").alias("h"), F.lit(2).alias("kind")))
+    group = Window.partitionBy("h")
+    best = keys.select("*", F.min(F.when(F.col("kind") < 2, place)).over(group).alias("shortened"),
+                       F.min(F.when(F.col("kind") == 2, place)).over(group).alias("entire"))
+    # A shortened line meets the whole line that equals it; the others meet shortened ones.
+    partner = F.when(F.col("kind") == 1, F.col("entire")).otherwise(F.col("shortened"))
+    pairs = best.select(place.alias("late"), partner.alias("early")).where("early < late").distinct()
+    sides = texts.select(place.alias("p"), "key", "norm")
+    left = sides.select(F.col("p").alias("late"), "key", F.col("norm").alias("x"))
+    right = sides.select(F.col("p").alias("early"), F.col("norm").alias("y"))
+    near = pairs.join(left, "late").join(right, "early").where(F.levenshtein("x", "y", 1).between(0, 1))
+    return near.groupBy("key").agg(F.min(F.struct("early.doc", "early.line")).alias("near"))
 
 
 def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -96,15 +133,16 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     distinct = settle(distinct_lines(every))
     wanted = settle(candidates(distinct, min_chars))
     few = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
-    texts = settle(every.select(_digest("norm").alias("key"), "norm").join(few, "key", "left_semi").dropDuplicates(
-        ["key"]).join(distinct.select("key", "first"), "key").select("key", "first", "norm"))
-    near = neighbours(texts)
-    verdicts = distinct.select("key", "first", "n").join(near, "key", "left").where("n > 1 OR near_first IS NOT NULL")
+    first = distinct.where(F.col("chars") >= min_chars).select("key", "doc", "line")
+    texts = settle(every.select(_digest("norm").alias("key"), "norm").withColumn("short", _short("key")).join(few, "short")
+                   .dropDuplicates(["key"]).join(first, "key"))
+    verdicts = distinct.select("key", F.struct("doc", "line").alias("first"), "n").join(neighbours(texts), "key", "left").where(
+        "n > 1 OR near IS NOT NULL")
     placed = every.select("doc", "line", _digest("norm").alias("key")).join(verdicts, "key")
     here = F.struct("doc", "line")
-    gone = placed.where((here != F.col("first")) | F.col("near_first").isNotNull())
+    gone = placed.where((here != F.col("first")) | F.col("near").isNotNull())
     equal = here != F.col("first")
-    keep = F.when(equal, F.col("first")).otherwise(F.col("near_first"))
+    keep = F.when(equal, F.col("first")).otherwise(F.col("near"))
 
     def id_of(c: Column) -> Column:
         return F.when(c != LAST, c)
