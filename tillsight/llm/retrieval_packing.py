@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import settle
-from .word_bpe import WordBpe
+from .word_bpe import shared
 
 WINDOW = 2048
 SHARD_TOKENS = 1 << 18
@@ -40,7 +40,7 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
                      end: int = END_ID) -> DataFrame:
     """(doc_id, n, ids): compressed 16-bit ids with the end token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, packer = WordBpe(path), zstandard.ZstdCompressor(level=1)
+        encoder, packer = shared(path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
             for low in range(0, batch.num_rows, 512):
                 part = batch.slice(low, 512)
@@ -178,14 +178,14 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
     df = document_frequencies(tokens)
     mean = max(1.0, (total or 0) / max(1, n_docs))
     shards = max(1, -(-(total or 0) // shard_tokens))
-    shared = tokens.sparkSession.sparkContext.broadcast(df)  # 64 Ki numbers whatever the input
+    sent = tokens.sparkSession.sparkContext.broadcast(df)  # 64 Ki numbers whatever the input
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(zip(table["doc_id"].to_pylist(), table["ids"].to_pylist()),
                       key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
         shard = table["shard"][0].as_py()
         docs = [_ids(r[1]) for r in rows]
-        windows = fill([len(d) for d in docs], Index(docs, shared.value, n_docs, mean), window)
+        windows = fill([len(d) for d in docs], Index(docs, sent.value, n_docs, mean), window)
         last = sum(p[2] for p in windows[-1])
         if last < window:
             windows[-1:] = cut(windows[-1], powers(last))

@@ -1,9 +1,10 @@
 """Token ids of a lower-casing word BPE file (`word_bpe_49k.json`), with a bounded memory of words.
 
-The file's pieces never cross white space, so a text's ids are those of its words in a row. Most words come
-again: each task remembers words it has met. New words of plain Latin letters, digits and ASCII signs go
-through the same merges in a faster encoder; its end-of-word mark is a zero byte, which such words cannot
-hold. All other words, and texts with separators on which libraries disagree, go to the file's own tokenizer.
+A text's ids are those of its pieces in a row, and most pieces come again: each worker remembers those it
+has met. Texts of plain Latin letters, digits, ASCII signs and common separators are cut into pieces by the file's
+own pattern, and new pieces go through the same merges in a faster encoder; its end-of-word mark is a zero byte,
+which such texts cannot hold. All other texts are taken word by word where white space is beyond doubt, and
+words with other signs, like texts with separators on which libraries disagree, go to the file's own tokenizer.
 """
 
 from __future__ import annotations
@@ -12,14 +13,15 @@ import json
 import os
 import re
 from array import array
+from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 300_000  # words a task keeps before it starts anew
+REMEMBERED = 500_000  # pieces that a Python worker keeps, over all its tasks, before it starts anew
 
 # Fixed values of the file format: the pieces that its pre-tokenizer finds in a lower-cased word.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
-PLAIN = re.compile(r"[!-~À-ÖØ-öø-ÿ]+")
+PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*")
 UNSURE = re.compile(r"[\x00\x1c-\x1f]")
 
 
@@ -31,8 +33,14 @@ def _bytes_of_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+@lru_cache(maxsize=1)
+def shared(path: str) -> WordBpe:
+    """The worker's encoder: its tasks come one after the other and go on with what it remembers."""
+    return WordBpe(path)
+
+
 class WordBpe(dict):
-    """Maps a word to its number; `encode` gives ids. Ids must fit into 16 bits."""
+    """Maps a piece to its number; `encode` gives ids. Ids must fit into 16 bits."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         super().__init__()
@@ -61,30 +69,32 @@ class WordBpe(dict):
         self.clear()
         self.ids, self.ends = array("H"), array("q", [0])
 
-    def __missing__(self, word: str) -> int:
-        if PLAIN.fullmatch(word):
-            ids = self.fast.encode_ordinary("\0".join(PIECES.findall(word.lower())) + "\0")
-        else:
-            ids = self.whole.encode(word, add_special_tokens=False).ids
+    def __missing__(self, piece: str) -> int:
+        # Pieces are in lower case; whole words that the plain way cannot cut come with a mark in front.
+        ids = (self.whole.encode(piece[1:], add_special_tokens=False).ids if piece[0] == "\0"
+               else self.fast.encode_ordinary(piece + "\0"))
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
-        number = self[word] = len(self.ends) - 2
+        number = self[piece] = len(self.ends) - 2
         return number
 
     def encode(self, text: str) -> np.ndarray:
-        if UNSURE.search(text):
+        if PLAIN.fullmatch(text):
+            pieces = PIECES.findall(text.lower())
+        elif UNSURE.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint16)
-        words = text.split()
+        else:
+            pieces = []
+            for word in text.split():
+                pieces += PIECES.findall(word.lower()) if PLAIN.fullmatch(word) else ["\0" + word]
         if len(self) > self.remembered:
             self._forget()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
         ends = np.frombuffer(self.ends, np.int64)
         starts = ends[at]
         sizes = ends[at + 1] - starts
         total = int(sizes.sum())
-        before = np.cumsum(sizes) - sizes
         if not total:
             return np.zeros(0, np.uint16)
-        out = np.frombuffer(self.ids, np.uint16)[np.repeat(starts - before, sizes) + np.arange(total)]
-        del ends
-        return out
+        before = np.cumsum(sizes) - sizes
+        return np.frombuffer(self.ids, np.uint16)[np.repeat(starts - before, sizes) + np.arange(total)]
