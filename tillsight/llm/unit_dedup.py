@@ -2,7 +2,7 @@
 
 Units are lines, cut further behind the punctuation that ends a clause or sentence, because repeated passages
 often stand inside a line: a line hash alone would miss them. A unit is normalised (A-Z as a-z, words apart by
-one gap whatever stood between them) and hashed to 128 bits. Digests are grouped over all documents; the
+one gap whatever stood between them) and hashed to 96 bits. Digests are grouped over all documents; the
 occurrence with the smallest rank (document id, then place) stays. Repeated units that follow one another form
 a run. Runs of at least `min_words` words are cut out of the text; shorter ones are ordinary language and stay.
 Cut spans are reported in characters of the original text.
@@ -34,7 +34,7 @@ CUTS = np.zeros(256, bool)
 CUTS[[ord(c) for c in ".,;:!?"]] = True
 LAST = (1 << 63) - 1  # rank of a null id
 
-UNITS = "d1 long, d2 long, doc long, unit int"
+UNITS = "d1 long, d2 int, doc long, unit int"
 
 
 def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, ...]]:
@@ -44,7 +44,7 @@ def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, .
     limits = np.cumsum([len(t) + 1 for t in texts])
     upto = np.searchsorted(starts, limits)
     if not len(starts):
-        return [tuple(np.zeros(0, k) for k in (np.int64, np.int64, np.int64, np.int64)) for _ in texts]
+        return [tuple(np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int64)) for _ in texts]
     # A unit begins at the first word, after a line break, and after a word that ends in punctuation.
     breaks = np.concatenate([[0], np.cumsum(raw == 10)])
     head = np.ones(len(starts), bool)
@@ -53,7 +53,7 @@ def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, .
     sizes = np.diff(np.append(first, len(starts)))
     place = (np.arange(len(starts)) - np.repeat(first, sizes)).astype(np.uint64)
     d1 = np.add.reduceat(mix(hashes ^ mix(place, 31), 32), first).view(np.int64)
-    d2 = np.add.reduceat(mix(hashes + mix(place, 41), 42), first).view(np.int64)
+    d2 = (np.add.reduceat(mix(hashes + mix(place, 41), 42), first) >> np.uint64(32)).astype(np.uint32).view(np.int32)
     out, low = [], 0
     for i, high in enumerate(np.searchsorted(first, upto)):
         base = limits[i] - len(texts[i]) - 1
