@@ -24,7 +24,7 @@ def test_holiday_figures(by_store):
     assert rows(holiday.share_positions(by_store), "holiday", "pct", "cumsum", "midpoint", "label") == [
         ("FALSE", 85.0, 100.0, 57.5, "85.0%"), ("TRUE", 15.0, 15.0, 7.5, "15.0%")]
     assert rows(holiday.average_rows(by_store)) == [
-        ("Holiday", 30.0, "TRUE", "$30"), ("Non-Holiday", 25.0, "FALSE", "$25")]
+        ("Holiday", 30.0, "$30"), ("Non-Holiday", 25.0, "$25")]
     assert rows(holiday.store_pivot(by_store)) == [(1, 6e-05, 3e-05), (2, 1e-05, 0.0), (3, 1e-04, 0.0)]
     split = rows(holiday.store_split(by_store), "store_id", "isholiday", "flag_total", "flag_pct")
     assert split == [(1, False, 70, 70.0), (1, True, 30, 30.0), (2, False, 70, 70.0)]
@@ -78,14 +78,15 @@ def test_markdown_reports(spark):
 
 def test_storetype_reports(spark):
     from decimal import Decimal as D
-    df = spark.createDataFrame([("A", 1, D(1000000)), ("A", 1, D(2000000)), ("A", 2, D(4000000)), ("B", 1, D(500000))],
+    df = spark.createDataFrame([("A", 1, D(1000000)), ("A", 1, D(2000000)), ("A", 2, D(4000000)), ("B", 1, D(500000)),
+                                ("D", 1, D(3000000)), (None, 2, D(1000000))],
                                "store_type string, sales_month int, total_sales decimal(38,2)")
-    assert rows(storetypes.last_month(df)) == [("A", 2, 4.0, "$4M"), ("B", 1, 0.5, "$0M")]
+    assert rows(storetypes.last_month(df.where("store_type < 'D'"))) == [("A", 2, 4.0, "$4M"), ("B", 1, 0.5, "$0M")]
     assert rows(storetypes.month_totals(df)) == [
-        (1, "Jan", D(3000000), D(500000), None), (2, "Feb", D(4000000), None, None),
-        (99, "TOTAL", D(7000000), D(500000), D(0))]
+        (1, "Jan", D(3000000), D(500000), None, D(3000000)), (2, "Feb", D(4000000), None, None, D(1000000)),
+        (99, "TOTAL", D(7000000), D(500000), D(0), D(4000000))]  # every type counts: the row sums to the mart
     assert rows(storetypes.month_table(df)) == [
-        (1, "Jan", "$3M", "$0M", "-"), (2, "Feb", "$4M", "-", "-"), (99, "TOTAL", "$7M", "$0M", "$0M")]
+        (1, "Jan", "$3M", "$0M", "-", "$3M"), (2, "Feb", "$4M", "-", "-", "$1M"), (99, "TOTAL", "$7M", "$0M", "$0M", "$4M")]
     assert rows(storetypes.month_pivot(df)) == rows(storetypes.month_totals(df).where("sales_month < 99"))
 
 
