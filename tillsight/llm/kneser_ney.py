@@ -318,7 +318,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
         (1 + WIDEN / F.first("every")).alias("wide"))
     bounds = bounds.select("lang", *[(F.col("mid") + F.col("wide") * (F.col(c) - F.col("mid"))).alias(c)
                                      for c in ("low", "high")])
-    # One row per language, met in one join: the planner can split a language that most documents have.
+    # One row per language, met in one join instead of two.
     known = means.join(bounds, "lang")
     judged = scored.join(known, "lang", "left").withColumn("step", step)
     above = F.lit(True) if low <= 0 else F.col("step") >= F.col("low")
