@@ -131,3 +131,30 @@ def test_trusted_ids(spark):
     rows = op.trusted_ids(labels).collect()
     assert {r["doc_id"] for r in rows} == set(range(100)) - {3}
     assert 60 < sum(r["train"] for r in rows) < 95
+
+
+def test_toxic_labels_are_not_trusted(spark):
+    labels = spark.createDataFrame([(1, 1, 0), (2, 1, 1), (3, 1, 0), (3, 1, 1), (4, 1, None)], "doc_id long, quality int, toxic int")
+    assert {r["doc_id"] for r in op.trusted_ids(labels).collect()} == {1, 4}
+
+
+def test_bounds_are_quantiles_at_every_size(spark):
+    """Few trusted texts, and languages without any, are judged by plain quantiles as well."""
+    rows, labels = corpus()
+    rows = [(i, t, "en" if i < 120 else "de" if i < 380 else "fr") for i, t, *_ in rows]
+    labels = [x for x in labels if x[0] < 380]
+    docs, marked = spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(
+        labels, "doc_id long, quality int, toxic int, lang string")
+    got = {r["doc_id"]: r for r in op.query(docs, marked).collect()}
+    langs = {i: lang for i, _, lang in rows}
+    trusted = {r["doc_id"] for r in op.trusted_ids(marked).collect()}
+    for lang in ("en", "de", "fr"):
+        own = [r for i, r in got.items() if langs[i] == lang]
+        assert len({r["high"] for r in own}) == 1 and own[0]["high"] is not None
+        bad = [r for r in own if r["doc_id"] % 7 == 0]
+        assert bad and not any(r["kept"] for r in bad)
+        assert all(r["kept"] for r in own if r["doc_id"] in trusted)
+    # The bound is a score that one of the trusted texts has, not one further out than all of them.
+    fold = [r["doc_id"] for r in op.trusted_ids(marked).where("fold = 0").collect()]
+    held = {lang: max(got[i]["bits_per_byte"] for i in fold if langs[i] == lang) for lang in ("en", "de")}
+    assert all(got[0 if lang == "en" else 121]["high"] < 1.25 * held[lang] for lang in held)

@@ -9,14 +9,15 @@ n-gram of the corpus, 2-log, by language.
 Documents are then dealt into blocks, compressed, by one shuffle. Each block asks the shards for its distinct
 n-grams once, gets their surprises back, and adds them up per document. A document's score is its mean surprise
 in bits per byte; a few bytes at the language's mean are added, so that short texts are not judged on noise.
-Trusted documents kept out of training give a low and a high quantile per language; scores outside are rejected. Few
-such texts say little about a tail, so a bound moves away from the median by a share that fades as they grow.
+Trusted documents kept out of training give a low and a high quantile per language; scores outside are rejected. A
+language with few trusted texts takes its quantiles from all of them, each scored by a model that has not seen it. A
+language with hardly any is judged by a pooled model of all trusted texts and by its quantiles.
 
-Trusted are documents that the labels call good (all their rows, if several). The split between training and
-calibration follows a hash of the id.
+Trusted are documents that the labels call good and none calls toxic (all their rows, if several). The folds, of
+which the first is kept out of training, follow a hash of the id.
 
 Defined cases: a null or empty text has no bytes, the score of its language's mean, and stays; a null language
-is a language of its own; a language without calibration text rejects nothing; repeated rows are scored alike;
+is a language of its own; without any trusted text nothing is rejected; repeated rows are scored alike;
 null ids have no label; empty tables give empty results; extra columns of both tables are never read.
 """
 
@@ -34,9 +35,11 @@ from .common import free_name, settle, slices
 
 ORDER = 4  # bytes of the longest n-gram; 7 at most
 LOW, HIGH = 0.0, 0.995  # quantiles of the calibration texts between which a score passes; 0: no lower bound
-WIDEN = 20  # with n calibration texts a bound lies 1 + WIDEN / n times as far from the median as its quantile
 PRIOR_BYTES = 64  # bytes at the language's mean that are added to each text
-CALIBRATE = 5  # every fifth trusted document is kept for the quantiles
+CALIBRATE = 5  # folds of the trusted documents; the first is kept for the quantiles
+FEW = 1000  # a model with fewer trusted texts takes its quantiles from all folds, not from the first alone
+OWN = 20  # a language with fewer trusted texts is judged by the pooled model
+POOL = "p"  # key of the pooled model; no language has it
 BLOCK_BYTES = 16 << 20  # text of a block
 SHARDS = 64  # shards per 64 blocks or fewer
 SMALL_LABELS = 2_000_000  # up to so many trusted ids (32 MB) are broadcast; beyond, labels and texts are joined
@@ -283,26 +286,81 @@ def score(rows: DataFrame, bits: DataFrame, order: int = ORDER, block_bytes: int
     return packed.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(total, SCORES)
 
 
-def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality") -> DataFrame:
-    """(doc_id, train): ids that every label calls good, most for training, the rest for the quantiles."""
-    good = (labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(quality).alias("q"))
-            .where("doc_id IS NOT NULL AND q IS NOT NULL").groupBy("doc_id").agg(F.min("q").alias("q")).where("q = 1"))
-    return good.select("doc_id", (F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE)) != 0).alias("train"))
+def trusted_ids(labels: DataFrame, doc_id: str = "doc_id", quality: str = "quality", toxic: str = "toxic") -> DataFrame:
+    """(doc_id, fold, train): ids that every label calls good and none toxic; all folds but the first train."""
+    harm = F.coalesce(F.col(toxic).cast("int"), F.lit(0)) if toxic in labels.columns else F.lit(0)
+    rows = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(quality).alias("q"), harm.alias("harm"))
+    good = (rows.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("q").alias("q"), F.max("harm").alias("harm"))
+            .where("q = 1 AND harm = 0"))
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATE)).cast("int")
+    return good.select("doc_id", fold.alias("fold"), (fold != 0).alias("train"))
+
+
+def apart(known: DataFrame, own: DataFrame, sizes: list[tuple[str, int]]) -> DataFrame | None:
+    """(doc_id, mark, lang, text, train, held) of trusted rows under the keys of further models, or None.
+
+    The pooled model needs the trusted rows of languages that have their own; a model with few trusted texts needs
+    one more model per further fold, under a key of its own. `held` rows give scores for the quantiles.
+    known: rows with `fold` and, in `lang`, the key of the model that judges them; sizes: trusted texts per key.
+    """
+    counts = dict(sizes)
+    pooled = POOL in counts
+    parts, columns = [], ("doc_id", "mark", "lang", "text", "train", "held")
+    trusted = known.where(F.col("fold").isNotNull() & (F.octet_length("text") > 0))
+    everything = trusted.withColumn("lang", F.lit(POOL))
+    if pooled:
+        parts.append(everything.where(known["lang"] != POOL).withColumn("train", F.col("fold") != 0)
+                     .withColumn("held", F.col("fold") == 0).select(*columns))
+    folds = F.explode(F.sequence(F.lit(1), F.lit(CALIBRATE - 1)))
+
+    def crossed(rows: DataFrame) -> DataFrame:
+        return (rows.withColumn("out", folds).withColumn("train", F.col("fold") != F.col("out"))
+                .withColumn("held", F.col("fold") == F.col("out"))
+                .withColumn("lang", F.concat(F.col("out").cast("string"), F.lit(":"), "lang")).select(*columns))
+
+    if any(0 < n < FEW for key, n in sizes if key != POOL):
+        parts.append(crossed(trusted.join(F.broadcast(own.where(F.col("trusted") < FEW).select("lang")), "lang")))
+    if pooled and 0 < sum(counts.values()) < FEW:
+        parts.append(crossed(everything))
+    if not parts:
+        return None
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str = "lang",
              order: int = ORDER, low: float = LOW, high: float = HIGH) -> DataFrame:
     """(doc_id, mark, n_bytes, bits, low, high, kept) of each document; `mark` hashes its language and text."""
     trusted = settle(trusted_ids(labels))
+    few = trusted.select("doc_id", "fold")
+    few = F.broadcast(few) if few.count() <= SMALL_LABELS else few
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), mark_of(lang, text).alias("mark"),
                        language_key(lang).alias("lang"),
                        F.coalesce(F.col(text).cast("string"), F.lit("")).cast("binary").alias("text"))
-    few = trusted.where("train")
-    few = F.broadcast(few) if few.count() <= SMALL_LABELS else few
-    flagged = rows.join(few, "doc_id", "left").withColumn("train", F.coalesce("train", F.lit(False)))
-    bits = surprises(settle(count_grams(flagged, order)), order)
+    own = settle(rows.select("doc_id", "lang", F.octet_length("text").alias("n")).join(few, "doc_id", "left")
+                 .groupBy("lang").agg(F.count(F.when(F.col("fold").isNotNull() & (F.col("n") > 0), 1)).alias("trusted")))
+    # Per model: the trusted texts of a language, or under POOL those of all languages that have too few.
+    key = F.when(F.col("trusted") >= OWN, F.col("lang")).otherwise(F.lit(POOL))
+    sizes = [tuple(r) for r in own.groupBy(key.alias("key")).agg(F.sum("trusted")).collect()]
+    own = own.where(F.col("trusted") >= OWN)
+    rows = (rows.join(F.broadcast(own.select("lang", F.col("lang").alias("key"))), "lang", "left")
+            .select("doc_id", "mark", F.coalesce("key", F.lit(POOL)).alias("lang"), "text"))
+    known = rows.join(few, "doc_id", "left")
+    further = apart(known, own, sizes)
+    flagged = known.withColumn("train", F.coalesce(F.col("fold") != 0, F.lit(False))).select("lang", "text", "train")
+    if further is not None:
+        further = settle(further)
+        flagged = flagged.unionByName(further.select("lang", "text", "train"))
+    bits = settle(surprises(settle(count_grams(flagged, order)), order))
+    keys = F.col("lang").rlike("^[0-9]:") | (F.col("lang") == POOL)
     scored = settle(score(rows, bits, order))
     calibration = scored.join(trusted.where("NOT train"), "doc_id", "left_semi").where("n_bytes > 0")
+    if further is not None:
+        held = further.where("held").select("doc_id", "mark", "lang", "text")
+        calibration = settle(calibration.unionByName(score(held, bits.where(keys), order).withColumn(
+            "lang", F.regexp_replace("lang", "^[0-9]:", ""))))
     means = calibration.groupBy("lang").agg((F.sum("total") / F.sum("n_bytes")).alias("mean"))
     smooth = (F.col("total") + PRIOR_BYTES * F.coalesce(F.col("mean"), F.lit(0.0))) / F.greatest(
         F.lit(1), F.col("n_bytes") + F.when(F.col("mean").isNull(), 0).otherwise(PRIOR_BYTES))
@@ -313,11 +371,7 @@ def classify(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: s
     every = F.sum("n").over(Window.partitionBy("lang"))
     bounds = steps.select("lang", "step", upto.alias("upto"), every.alias("every")).groupBy("lang").agg(
         F.min(F.when(F.col("upto") >= low * F.col("every"), F.col("step"))).alias("low"),
-        F.min(F.when(F.col("upto") >= high * F.col("every"), F.col("step"))).alias("high"),
-        F.min(F.when(F.col("upto") >= 0.5 * F.col("every"), F.col("step"))).alias("mid"),
-        (1 + WIDEN / F.first("every")).alias("wide"))
-    bounds = bounds.select("lang", *[(F.col("mid") + F.col("wide") * (F.col(c) - F.col("mid"))).alias(c)
-                                     for c in ("low", "high")])
+        F.min(F.when(F.col("upto") >= high * F.col("every"), F.col("step"))).alias("high"))
     # One row per language, met in one join instead of two.
     known = means.join(bounds, "lang")
     judged = scored.join(known, "lang", "left").withColumn("step", step)
