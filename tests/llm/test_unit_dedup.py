@@ -80,3 +80,40 @@ def test_passages_inside_lines(spark):
 
 def test_empty(no_docs):
     assert op.dedup(no_docs).collect() == []
+
+
+def test_short_lines_and_runs_of_one_document(spark):
+    short = "Share this page with a friend\n"
+    clauses = [f"clause {i} has seven words in it," for i in range(8)]
+    rows = [(1, short + "first text of its own"), (2, short + "second text of its own"), (3, "third text\n\n" + short),
+            (10, " ".join(clauses[:4]) + " left behind"), (11, "of its own: " + " ".join(clauses[4:])),
+            # Four units in a row, but from two documents: 14 words of each.
+            (12, "starts: " + " ".join(clauses[2:6]) + " and ends"),
+            # Units that stand in a row in one document, 28 words.
+            (13, "begins: " + " ".join(clauses[:4]) + " and stops"),
+            (14, "a line that holds: Share this page with a friend")]
+    got = {i: text for i, text, _ in found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), op.MIN_WORDS)}
+    want = dict(rows) | {2: "second text of its own", 3: "third text\n\n", 13: "begins: and stops"}
+    assert got == want
+
+
+def test_windows_cover_each_long_enough_run(spark):
+    """A unit goes if and only if it lies in a run of enough words that one earlier place holds."""
+    r = random.Random(4)
+    rows = [(i, " ".join(" ".join([r.choice("abc")] * r.randint(1, 3)) + "," for _ in range(r.randint(1, 14)))) for i in range(60)]
+    need = 7
+    places, want = [], {}
+    for i, text in rows:
+        own = [w for w, _ in units(text)]
+        gone = set()
+        for a in range(len(own)):
+            for b in range(a + 1, len(own) + 1):
+                run = own[a:b]
+                if sum(map(len, run)) >= need and (any(run == e[k:k + b - a] for e in places for k in range(len(e)))
+                                                  or any(run == own[k:k + b - a] for k in range(a))):
+                    gone |= set(range(a, b))
+        # Each document is one line, which goes whole if an earlier document is the same.
+        want[i] = len(own) if own in places else len(gone)
+        places.append(own)
+    got = op.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), min_words=need).collect()
+    assert {r["doc_id"]: r["n_repeated"] for r in got} == want and any(want.values())

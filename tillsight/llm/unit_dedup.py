@@ -2,13 +2,16 @@
 
 Units are lines, cut further behind the punctuation that ends a clause or sentence, because repeated passages
 often stand inside a line: a line hash alone would miss them. A unit is normalised (A-Z as a-z, words apart by
-one gap whatever stood between them) and hashed to 96 bits. Digests are grouped over all documents; the
-occurrence with the smallest rank (document id, then place) stays. Repeated units that follow one another form
-a run. Runs of at least `min_words` words are cut out of the text; shorter ones are ordinary language and stay.
-Cut spans are reported in characters of the original text.
+one gap whatever stood between them) and hashed to 96 bits.
 
-Grouping is a map-side aggregate and a join on the digest, so a line that a third of all documents hold is
-neither gathered nor sent anywhere as a group.
+Two kinds of pieces go where an earlier piece equals them: whole lines, however short (a repeated paragraph is
+repeated lines), and windows, which are units in a row that together reach `min_words` words, no more of them than
+that takes from their first unit on or back from their last. So a passage of that many words goes exactly if all of
+it stood in a row in one earlier place; short clauses that only happen to stand in different documents stay.
+The occurrence with the smallest rank (document id, then place) stays. Cut spans are in characters of the original text.
+
+Pieces are ranked per digest after one shuffle. What equals an earlier piece of its own batch is known to be later
+and is spread over the tasks, so a line that a third of all documents hold is sent to one task about once per batch.
 
 Defined cases: a null or empty text has no units and comes back empty; ranks put null ids last; rows with equal
 id and text are one document, what is cut from one is cut from each; ties cannot occur otherwise; an empty table
@@ -21,12 +24,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import free_name, settle, slices
-from .shingles import Shingler, mix
+from .shingles import _BACK, _BASE, Shingler, _powers, mix
 
 MIN_WORDS = 20
 CHUNK = 4 << 20
@@ -34,21 +37,23 @@ CUTS = np.zeros(256, bool)
 CUTS[[ord(c) for c in ".,;:!?"]] = True
 LAST = (1 << 63) - 1  # rank of a null id
 
-UNITS = "d1 long, d2 int, doc long, unit int"
+PIECES = "d1 long, d2 int, doc long, unit int, spread int"
 
 
 def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, ...]]:
-    """(d1, d2, start byte, words) of the units of each text."""
+    """(d1, d2, start byte, words, whether a line begins) of the units of each text."""
     raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
     hashes, starts, ends = shingler.words_of(raw)
     limits = np.cumsum([len(t) + 1 for t in texts])
     upto = np.searchsorted(starts, limits)
     if not len(starts):
-        return [tuple(np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int64)) for _ in texts]
+        return [tuple(np.zeros(0, k) for k in (np.int64, np.int32, np.int64, np.int64, bool)) for _ in texts]
     # A unit begins at the first word, after a line break, and after a word that ends in punctuation.
     breaks = np.concatenate([[0], np.cumsum(raw == 10)])
-    head = np.ones(len(starts), bool)
-    head[1:] = (breaks[starts[1:]] > breaks[ends[:-1]]) | CUTS[raw[ends[:-1] - 1]]
+    line = np.ones(len(starts), bool)
+    line[1:] = breaks[starts[1:]] > breaks[ends[:-1]]
+    head = line.copy()
+    head[1:] |= CUTS[raw[ends[:-1] - 1]]
     first = np.flatnonzero(head)
     sizes = np.diff(np.append(first, len(starts)))
     place = (np.arange(len(starts)) - np.repeat(first, sizes)).astype(np.uint64)
@@ -57,56 +62,83 @@ def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, .
     out, low = [], 0
     for i, high in enumerate(np.searchsorted(first, upto)):
         base = limits[i] - len(texts[i]) - 1
-        out.append((d1[low:high], d2[low:high], starts[first[low:high]] - base, sizes[low:high]))
+        out.append((d1[low:high], d2[low:high], starts[first[low:high]] - base, sizes[low:high],
+                    line[first[low:high]]))
         low = high
     return out
 
 
+def pieces_of(found: tuple[np.ndarray, ...], min_words: int) -> tuple[np.ndarray, ...]:
+    """(d1, d2, first unit, unit behind the last) of the lines and windows of a text's units."""
+    d1, d2, _, words, line = found
+    n = len(d1)
+    upto = np.concatenate([[0], np.cumsum(words)])
+    begin = np.flatnonzero(line)
+    behind = np.append(begin[1:], n)
+    short = upto[behind] - upto[begin] < min_words  # longer lines are windows
+    ahead = np.searchsorted(upto, upto[:-1] + min_words)
+    back = np.searchsorted(upto, upto[1:] - min_words, side="right") - 1
+    last = np.flatnonzero(back >= 0)
+    last = last[ahead[back[last]] != last + 1]  # the others are known from their first unit
+    first = np.flatnonzero(ahead <= n)
+    kind = np.repeat(np.array([1, 2], np.uint64), [int(short.sum()), len(first) + len(last)])
+    a = np.concatenate([begin[short], first, back[last]])
+    b = np.concatenate([behind[short], ahead[first], last + 1])
+    up, down = _powers(_BASE, n), _powers(_BACK, n)
+    own = d1.view(np.uint64), mix(d1.view(np.uint64) + d2.astype(np.uint64), 43)
+    sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x * up, dtype=np.uint64)]) for x in own]
+    size = (b - a).astype(np.uint64) * np.uint64(4) + kind
+    one, two = (mix((x[b] - x[a]) * down[a] + size, 51 + i) for i, x in enumerate(sums))
+    return one.view(np.int64), (two >> np.uint64(32)).astype(np.uint32).view(np.int32), a, b
+
+
 def _rank(doc_id: str):
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
 
 
-def units(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(d1, d2, doc, unit) of every unit."""
+def pieces(docs: DataFrame, doc_id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
+    """(d1, d2, doc, unit, spread) of every piece; `unit` is its first. `spread` is 0, or a positive number where
+    the same batch holds an earlier equal."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(1)
         for batch in slices(batches, "text", CHUNK):
-            found = units_of([t.as_buffer().to_pybytes() for t in batch.column("text")], shingler)
-            n = [len(f[0]) for f in found]
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate([f[0] for f in found])), pa.array(np.concatenate([f[1] for f in found])),
-                pa.array(np.repeat(batch.column("doc").to_numpy(), n)),
-                pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in n]))], ["d1", "d2", "doc", "unit"])
+            found = [pieces_of(f, min_words) for f in
+                     units_of([t.as_buffer().to_pybytes() for t in batch.column("text")], shingler)]
+            d1, d2, unit = (np.concatenate([f[i] for f in found]) for i in range(3))
+            doc = np.repeat(batch.column("doc").to_numpy(), [len(f[0]) for f in found])
+            order = np.lexsort((unit, doc, d2, d1))
+            d1, d2, doc, unit = d1[order], d2[order], doc[order], unit[order]
+            head = np.ones(len(d1), bool)
+            head[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
+            at = np.flatnonzero(head)[np.cumsum(head) - 1]
+            known = (doc != doc[at]) | (unit != unit[at])
+            spread = np.where(known, 1 + np.arange(len(d1)) % 65_536, 0).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), pa.array(doc), pa.array(unit.astype(np.int32)),
+                                              pa.array(spread)], ["d1", "d2", "doc", "unit", "spread"])
 
     slim = docs.select(_rank(doc_id).alias("doc"), F.col(text).cast("string").cast("binary").alias("text"))
-    return slim.where(F.octet_length("text") > 0).mapInArrow(run, UNITS)
+    return slim.where(F.octet_length("text") > 0).mapInArrow(run, PIECES)
 
 
-def later_units(found: DataFrame) -> DataFrame:
-    """(doc, unit, d1) of the units that an earlier one equals."""
-    first = found.groupBy("d1", "d2").agg(F.min(F.struct("doc", "unit")).alias("first"),
-                                          F.max(F.struct("doc", "unit")).alias("last")).where("first <> last")
-    slim = first.select("d1", "d2", "first")
-    return (found.join(slim, ["d1", "d2"]).where(F.struct("doc", "unit") > F.col("first"))
-            .select("doc", "unit", "d1"))
+def later_pieces(found: DataFrame) -> DataFrame:
+    """(doc, unit, d1) of the pieces that an earlier one equals. Rows of one place share their rank."""
+    place = Window.partitionBy("d1", "d2", "spread").orderBy("doc", "unit")
+    return (found.withColumn("nth", F.rank().over(place)).where("spread > 0 OR nth > 1").select("doc", "unit", "d1"))
 
 
-def cut_spans(text: bytes, found: tuple[np.ndarray, ...], repeated: np.ndarray, min_words: int) -> list[tuple[int, int]]:
-    """Byte spans of the runs of repeated units with at least `min_words` words."""
-    _, _, starts, words = found
+def cut_spans(text: bytes, found: tuple[np.ndarray, ...], repeated: np.ndarray) -> list[tuple[int, int]]:
+    """Byte spans of the runs of repeated units."""
+    starts = found[2]
     edge = np.diff(np.concatenate([[0], repeated.astype(np.int8), [0]]))
-    out = []
-    for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)):
-        if words[a:b].sum() >= min_words:
-            out.append((int(starts[a]), int(starts[b]) if b < len(starts) else len(text)))
-    return out
+    return [(int(starts[a]), int(starts[b]) if b < len(starts) else len(text))
+            for a, b in zip(np.flatnonzero(edge == 1), np.flatnonzero(edge == -1))]
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents with repeated passages cut out of `text`, and columns n_units, n_repeated (units with an
-    earlier equal), cut_spans (start_char, end_char in the original text) and cut_chars."""
+    """The documents with repeated passages cut out of `text`, and columns n_units, n_repeated (units of
+    repeated lines and passages), cut_spans (start_char, end_char in the original text) and cut_chars."""
     rank, marks = (free_name(docs.columns, c) for c in ("rank_key", "mark_rows"))
-    later = settle(later_units(units(docs, doc_id, text)))
+    later = settle(later_pieces(pieces(docs, doc_id, text, min_words)))
     listed = later.groupBy(F.col("doc").alias(rank)).agg(F.collect_list(F.struct("unit", "d1")).alias(marks))
     whole = docs.withColumn(rank, _rank(doc_id)).join(listed, rank, "left")
     added = [free_name(docs.columns, c) for c in ("n_units", "n_repeated", "cut_spans", "cut_chars")]
@@ -125,11 +157,13 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
             for raw, found, listed_ in zip(texts, units_of(texts, shingler), batch.column(marks).to_pylist()):
                 n = len(found[0])
                 repeated = np.zeros(n, bool)
-                for m in listed_ or ():
-                    # Another row with this id may have other units: the digest decides.
-                    if m["unit"] < n and found[0][m["unit"]] == m["d1"]:
-                        repeated[m["unit"]] = True
-                spans = cut_spans(raw, found, repeated, min_words)
+                if listed_:
+                    # Another row with this id may have other pieces: the digest decides.
+                    d1, _, first, behind = pieces_of(found, min_words)
+                    ends = dict(zip(zip(first.tolist(), d1.tolist()), behind.tolist()))
+                    for m in listed_:
+                        repeated[m["unit"]:ends.get((m["unit"], m["d1"]), 0)] = True
+                spans = cut_spans(raw, found, repeated)
                 kept, low, chars = [], 0, []
                 at_char = 0
                 for a, b in spans:
