@@ -12,9 +12,10 @@ import uuid
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillsight.llm import curriculum_mix, exact_dedup, jaccard_join, kneser_ney, retrieval_packing
-from tillsight.llm.common import read, settle
+from tillsight.llm.common import free_name, read, settle
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -39,9 +40,28 @@ def mixed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     return curriculum_mix.mixture(docs)
 
 
+def in_order(docs: DataFrame, name: str) -> DataFrame:
+    """The documents with their place: by file and row where they come from files, as the mixture writes them."""
+    if not docs.inputFiles():
+        return docs.withColumn(name, F.monotonically_increasing_id())
+    part = F.regexp_extract("file", r"part-(\d+)", 1).cast("long")
+    file, row = free_name(docs.columns, "file"), free_name(docs.columns, "row")
+    rows = docs.select("*", F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row))
+    counts = rows.select(F.col(file).alias("file")).groupBy("file").count().orderBy(part, "file").collect()
+    # One row per file.
+    starts, done = [], 0
+    for r in counts:
+        starts.append((r["file"], done))
+        done += r["count"]
+    known = docs.sparkSession.createDataFrame(starts, f"`{file}` string, `{name}` long")
+    placed = rows.join(F.broadcast(known), file)
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(name) + F.col(row)).alias(name))
+
+
 def packed(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Pieces of documents in sequences."""
-    return retrieval_packing.query(docs, public_tokenizers.path(TOKENIZER))
+    """Pieces of documents in sequences, whose ids grow in training order."""
+    place = free_name(docs.columns, "place")
+    return retrieval_packing.query(in_order(docs, place), public_tokenizers.path(TOKENIZER), order=place)
 
 
 STAGES = [("quality classifier", good_documents), ("exact dedup", without_copies),

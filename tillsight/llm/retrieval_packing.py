@@ -7,6 +7,9 @@ BM25 query with all the seed's tokens ranks the shard's unused documents, and th
 order. The one that does not fit is cut; its rest seeds the next window. Every window but a shard's last is
 full. The last one is cut at powers of two into shorter sequences, so nothing is padded.
 
+Where the documents come with an order, each shard takes its seeds in that order, and `sequence_id` grows over the
+whole table with the place of the seed; without one, it tells sequences apart and nothing else.
+
 Defined cases: a null or empty text is its end token alone; repeated rows are documents of their own, told
 apart by `doc_no`; ties of the ranking go to the document earlier in the shard, which is ordered by id and
 content; an empty table gives an empty result; extra columns are never read. A document longer than a shard
@@ -15,6 +18,7 @@ makes its shard longer; nothing else does.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,6 +34,7 @@ WINDOW = 2048
 SHARD_TOKENS = 1 << 18
 END_ID = 1
 K1, B = 1.2, 0.75
+SEED_BITS = 20  # bits of a sequence's number among those of its seed; the seed's place stands above them
 
 TOKENS = "doc_id long, n long, ids binary"
 PIECES = ("doc_id long, doc_no long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
@@ -37,8 +42,8 @@ PIECES = ("doc_id long, doc_no long, start long, length long, ids binary, doc_to
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
-                     end: int = END_ID) -> DataFrame:
-    """(doc_id, n, ids): compressed 16-bit ids with the end token."""
+                     end: int = END_ID, order: str | None = None) -> DataFrame:
+    """(doc_id, n, ids), and with `order` also (place): compressed 16-bit ids with the end token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer = shared(path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -49,11 +54,13 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
                     ids = np.append(encoder.encode(value.as_py() or ""), np.uint16(end))
                     sizes.append(len(ids))
                     blobs.append(packer.compress(ids.tobytes()))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()),
-                                                  pa.array(blobs, pa.binary())], ["doc_id", "n", "ids"])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), pa.array(sizes, pa.int64()), pa.array(blobs, pa.binary()), *part.columns[2:]],
+                    ["doc_id", "n", "ids", *part.schema.names[2:]])
 
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return slim.mapInArrow(run, TOKENS)
+    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
+                       *([F.col(order).cast("long").alias("place")] if order else []))
+    return slim.mapInArrow(run, TOKENS + (", place long" if order else ""))
 
 
 def _ids(blob: bytes) -> np.ndarray:
@@ -173,7 +180,11 @@ def cut(pieces: list[tuple[int, int, int]], lengths: list[int]) -> list[list[tup
 
 
 def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
-    """Pieces of documents with their little-endian 32-bit ids. `tokens` is settled, as it is read three times."""
+    """Pieces of documents with their little-endian 32-bit ids. `tokens` is settled, as it is read three times.
+
+    A column `place`, distinct numbers from 0 to less than 2^43, orders seeds and sequences.
+    """
+    ordered = "place" in tokens.columns
     n_docs, total = tokens.agg(F.count(F.lit(1)), F.sum("n")).first()
     df = document_frequencies(tokens)
     mean = max(1.0, (total or 0) / max(1, n_docs))
@@ -181,8 +192,9 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
     sent = tokens.sparkSession.sparkContext.broadcast(df)  # 64 Ki numbers whatever the input
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table["doc_id"].to_pylist(), table["ids"].to_pylist()),
-                      key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+        places = table["place"].to_pylist() if ordered else [0] * table.num_rows
+        rows = sorted(zip(table["doc_id"].to_pylist(), table["ids"].to_pylist(), places),
+                      key=lambda r: (r[2], r[0] is not None, r[0] or 0, r[1]))
         shard = table["shard"][0].as_py()
         docs = [_ids(r[1]) for r in rows]
         windows = fill([len(d) for d in docs], Index(docs, sent.value, n_docs, mean), window)
@@ -190,22 +202,25 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
         if last < window:
             windows[-1:] = cut(windows[-1], powers(last))
         out = {c: [] for c in ("doc_id", "doc_no", "start", "length", "ids", "doc_tokens", "sequence_id", "offset")}
+        seeded: Counter[int] = Counter()
         for number, pieces in enumerate(windows):
-            offset = 0
+            offset, seed = 0, pieces[0][0]
+            sequence = (rows[seed][2] << SEED_BITS) + seeded[seed] if ordered else (shard << 32) + number
+            seeded[seed] += 1
             for d, start, length in pieces:
                 values = (rows[d][0], (shard << 32) + d, start, length,
                           docs[d][start:start + length].astype("<u4").tobytes(), len(docs[d]),
-                          (shard << 32) + number, offset)
+                          sequence, offset)
                 for column, value in zip(out.values(), values):
                     column.append(value)
                 offset += length
         return pa.table({c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()})
 
     dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("long"))
-    return dealt.select("shard", "doc_id", "ids").groupBy("shard").applyInArrow(run, PIECES)
+    return dealt.select("shard", "doc_id", "ids", *(["place"] if ordered else [])).groupBy("shard").applyInArrow(run, PIECES)
 
 
-def query(docs: DataFrame, path: str) -> DataFrame:
-    pieces = pack(settle(encode_documents(docs, path)))
+def query(docs: DataFrame, path: str, order: str | None = None) -> DataFrame:
+    pieces = pack(settle(encode_documents(docs, path, order=order)))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
                          "offset", "doc_no")
