@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import (block_search, chat_format, curriculum_mix, exact_dedup, jaccard_join, kneser_ney, line_dedup,
-               merkle_manifest, retrieval_packing, token_counts, unit_dedup)
+from . import (block_search, chat_format, curriculum_mix, embedding_whitening, exact_dedup, jaccard_join, kneser_ney,
+               line_dedup, merkle_manifest, pii_boosting, retrieval_packing, token_counts, unit_dedup)
 from .common import read
 
 BYTE_RANKS = "byte_bpe_50k.tiktoken"
@@ -57,16 +57,25 @@ def op10_kneser_ney(spark: SparkSession, folder: str) -> DataFrame:
     return kneser_ney.query(read(spark, folder, "documents"), read(spark, folder, "labels"))
 
 
+def op11_pii_boosting(spark: SparkSession, folder: str) -> DataFrame:
+    return pii_boosting.query(read(spark, folder, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
     return merkle_manifest.query(read(spark, folder, "documents"))
 
 
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_whitening.query(read(spark, folder, "embeddings"))
+
+
 QUERIES = {q.__name__: q for q in (
     op1_jaccard_join, op2_chat_format, op3_unit_dedup, op4_curriculum_mix, op5_exact_dedup, op6_token_counts,
-    op7_retrieval_packing, op8_line_dedup, op9_block_search, op10_kneser_ney, op12_merkle_manifest)}
+    op7_retrieval_packing, op8_line_dedup, op9_block_search, op10_kneser_ney, op11_pii_boosting,
+    op12_merkle_manifest, op13_embedding_whitening)}
 QUERIES["pipeline"] = corpus_pipeline.run
 
-# Mixing, packing, token counts, passages and perplexities have no SQL form; tests hold them against brute force.
+# Mixing, packing, token counts, passages, perplexities and eigenvectors have no SQL form; tests hold them against brute force.
 ORACLES = {"op1_jaccard_join": jaccard_join.ORACLE, "op2_chat_format": chat_format.ORACLE,
            "op5_exact_dedup": exact_dedup.ORACLE, "op8_line_dedup": line_dedup.ORACLE,
            "op9_block_search": block_search.ORACLE, "op12_merkle_manifest": merkle_manifest.ORACLE}
