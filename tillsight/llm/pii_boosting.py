@@ -173,7 +173,8 @@ def spans(found: DataFrame) -> DataFrame:
     # Sure spans of a kind do not overlap: only the last one that starts before, or the next one, can meet a candidate.
     known, begun = F.when(F.col("sure"), F.col("end")), F.when(F.col("sure"), F.col("start"))
     before = Window.orderBy("start").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    after = Window.orderBy("start").rangeBetween(Window.currentRow, Window.unboundedFollowing)
+    # Backwards from the end: a frame that grows is summed as it goes, one that shrinks would be summed anew per row.
+    after = Window.orderBy(F.desc("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
 
     def meets(*by: str) -> Column:
         last, following = F.max(known).over(before.partitionBy(*by)), F.min(begun).over(after.partitionBy(*by))
