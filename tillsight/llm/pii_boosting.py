@@ -180,7 +180,11 @@ def spans(found: DataFrame) -> DataFrame:
         last, following = F.max(known).over(before.partitionBy(*by)), F.min(begun).over(after.partitionBy(*by))
         return F.coalesce(last > F.col("start"), F.lit(False)) | F.coalesce(following < F.col("end"), F.lit(False))
 
-    marked = held.withColumn("label", meets("doc_no", "kind")).withColumn("covered", meets("doc_no"))
+    # The rules of email, ip and phone insist on marks that these candidates have in another form.
+    other = ((F.col("kind") == 0) & ~F.col("hit").contains("@")) | ((F.col("kind") == 1) & F.col("hit").rlike("[^0-9.]")) | (
+        (F.col("kind") == 3) & ~F.col("hit").startswith("+") & (F.col("hit").startswith("(") | F.col("before").rlike(CUES[1])))
+    own = meets("doc_no", "kind")
+    marked = held.withColumn("label", F.when(own | ~other, own)).withColumn("covered", meets("doc_no"))
     fold = F.pmod(F.xxhash64(F.lit("fold"), "id_of_doc"), F.lit(FOLDS)).cast("int").alias("fold")
     return marked.select("doc_no", fold, "kind", "sure", "start", "end", "label", "covered", *[
         F.when(~F.col("sure"), v).alias(f"f_{f}") for f, v in features({c: F.col(c) for c in ("kind", "hit", "before", "after")}).items()])
@@ -204,8 +208,8 @@ def score(trees: list[Tree], start: float, value) -> Column:
 
 
 def table(rows: DataFrame) -> DataFrame:
-    """Distinct feature rows of all candidates, by fold, with the number of candidates and of positive ones."""
-    seen = rows.where("NOT sure").select("fold", *[F.col(f"f_{f}").alias(f) for f in FEATURES], "label")
+    """Distinct feature rows of all examples, by fold, with the number of examples and of positive ones."""
+    seen = rows.where("NOT sure AND label IS NOT NULL").select("fold", *[F.col(f"f_{f}").alias(f) for f in FEATURES], "label")
     return seen.groupBy("fold", *FEATURES).agg(F.count(F.lit(1)).alias("n"), F.count_if("label").alias("pos"))
 
 
