@@ -55,3 +55,17 @@ def test_keep_one(odd_docs, odd_rows):
 
 def test_empty(no_docs):
     assert op.query(no_docs).collect() == [] and op.keep_one(no_docs).collect() == []
+
+
+def test_large_ids_beside_null_ones(spark):
+    from pyspark.sql import functions as F
+
+    big = 1 << 53
+    rows = [(big + 1, "a"), (None, "b"), (big + 3, "c"), (big + 5, "d"), (None, "c"), (big + 7, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted([(big + 1, big + 7, False), (None, None, True), (big + 3, big + 3, True), (big + 5, big + 5, True),
+                   (None, big + 3, False), (big + 7, big + 7, True)], key=repr)
+    digests = op.digests(docs)
+    for history in (F.lit(True), F.lit(False), F.col("doc_id") > big + 3, F.col("doc_id").isNull()):
+        got = op.dedup(digests, history).select("doc_id", "keep_id", "kept").collect()
+        assert sorted(map(tuple, got), key=repr) == want

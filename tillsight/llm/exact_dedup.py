@@ -25,7 +25,7 @@ BUCKET = 4  # mean number of digests that share a displacement
 TRIES = 64  # displacements tried at once
 
 INDEX = "shard int, n int, displacements binary, digests binary, ids binary, has_id binary, tags binary, counts binary"
-GROUPS = "digest binary, keep_id long, keep_tag long, group_size long"
+GROUPS = "digest binary, keep_id long, has_id boolean, keep_tag long, group_size long"
 
 
 def digests(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -41,6 +41,11 @@ def grouped(rows: DataFrame) -> DataFrame:
             .select("digest", F.col("w.doc_id").alias("keep_id"), F.col("w.tag").alias("keep_tag"), "group_size"))
 
 
+def _whole_ids(groups: DataFrame) -> DataFrame:
+    """Null ids as zero beside a flag: a column with nulls would reach Python as floating point."""
+    return groups.withColumn("has_id", F.col("keep_id").isNotNull()).withColumn("keep_id", F.coalesce("keep_id", F.lit(0)))
+
+
 def _shard(shards: int):
     return (F.conv(F.hex(F.substring("digest", 1, 4)), 16, 10).cast("long") % shards).cast("int")
 
@@ -104,15 +109,14 @@ def build_index(history: DataFrame, shards: int) -> DataFrame:
         at, _ = look_up(keys, displacements, keys)
         place = np.empty_like(at)
         place[at] = np.arange(len(at))
-        ids = rows["keep_id"].iloc[place]
         return pd.DataFrame([{
             "shard": int(rows["shard"].iloc[0]), "n": len(keys), "displacements": displacements.tobytes(),
-            "digests": keys[place].tobytes(), "ids": ids.fillna(0).to_numpy(np.int64).tobytes(),
-            "has_id": ids.notna().to_numpy(np.uint8).tobytes(),
+            "digests": keys[place].tobytes(), "ids": rows["keep_id"].iloc[place].to_numpy(np.int64).tobytes(),
+            "has_id": rows["has_id"].iloc[place].to_numpy(np.uint8).tobytes(),
             "tags": rows["keep_tag"].iloc[place].to_numpy(np.int64).tobytes(),
             "counts": rows["group_size"].iloc[place].to_numpy(np.int64).tobytes()}])
 
-    return history.withColumn("shard", _shard(shards)).groupBy("shard").applyInPandas(build, INDEX)
+    return _whole_ids(history).withColumn("shard", _shard(shards)).groupBy("shard").applyInPandas(build, INDEX)
 
 
 def merge(index: DataFrame, arrivals: DataFrame, shards: int) -> DataFrame:
@@ -122,8 +126,7 @@ def merge(index: DataFrame, arrivals: DataFrame, shards: int) -> DataFrame:
     """
     def join(slots: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
         keys = _matrix(new["digest"])
-        ids = new["keep_id"]
-        ids, has = ids.fillna(0).to_numpy(np.int64), ids.notna().to_numpy()
+        ids, has = new["keep_id"].to_numpy(np.int64), new["has_id"].to_numpy(bool)
         tags, counts = new["keep_tag"].to_numpy(np.int64), new["group_size"].to_numpy(np.int64)
         if len(slots):
             row = slots.iloc[0]
@@ -140,13 +143,13 @@ def merge(index: DataFrame, arrivals: DataFrame, shards: int) -> DataFrame:
             keys, ids, has = np.concatenate([stored, keys[rest]]), np.concatenate([s_ids, ids[rest]]), np.concatenate(
                 [s_has, has[rest]])
             tags, counts = np.concatenate([s_tags, tags[rest]]), np.concatenate([s_counts, counts[rest]])
-        return pd.DataFrame({"digest": [k.tobytes() for k in keys], "keep_id": pd.array(ids, "Int64").copy(),
-                             "keep_tag": tags, "group_size": counts}).assign(
-            keep_id=lambda f: f["keep_id"].where(has, None))
+        return pd.DataFrame({"digest": [k.tobytes() for k in keys], "keep_id": ids, "has_id": has,
+                             "keep_tag": tags, "group_size": counts})
 
     left = index.groupBy("shard")
-    right = arrivals.withColumn("shard", _shard(shards)).groupBy("shard")
-    return left.cogroup(right).applyInPandas(join, GROUPS)
+    right = _whole_ids(arrivals).withColumn("shard", _shard(shards)).groupBy("shard")
+    return left.cogroup(right).applyInPandas(join, GROUPS).select(
+        "digest", F.when(F.col("has_id"), F.col("keep_id")).alias("keep_id"), "keep_tag", "group_size")
 
 
 def dedup(rows: DataFrame, is_history) -> DataFrame:
