@@ -8,16 +8,19 @@ the place (to meet lines that differ there), and one key of itself. Each member
 only: no pairs among a key's members are made, and the earliest is all that "keep the earliest" needs. Each match
 is verified by its edit distance.
 
-Only keys that can meet another line are emitted: with one edit, the first or the second half of the shorter
-length stays as it is. A line whose halves no other line has emits none, and one that shares a half emits keys for
-places in the other half. That screen loses nothing.
+Only keys that can meet another line are emitted, found by two screens that lose nothing. With one edit, the first or
+the second half of the shorter length stays as it is: a line whose halves no other line has emits none. What passes is
+cut into PIECES pieces: an edit inside a piece leaves what stands before and behind that piece as it is, so a line
+emits keys for the places of a piece only if another line has the same text around that piece.
 
 A line goes when an earlier line equals it, or lies within one edit while both have `min_chars` characters at
 least: below that, one edit makes another word. What is kept or not never depends on other removals.
 
-Defined cases: blank lines stay and a null text has none; null ids rank last; rows repeated with one id are one
-document; an empty table gives an empty result; extra columns are never read. A line of n characters that passes
-the screen emits 2n+1 keys as rows of their own; its keys are never held together.
+A document is an id with a text, and its rank is the id, then a hash of the text. So different rows under one id, or
+with null ids, are documents of their own, and only their own lines are cut; rows repeated with id and text are one.
+
+Defined cases: blank lines stay and a null text has none; null ids rank last; an empty table gives an empty result;
+extra columns are never read. Keys are rows of their own and never held together.
 """
 
 from __future__ import annotations
@@ -25,18 +28,25 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import settle
+from .common import free_name, settle
 
 MIN_CHARS = 12
 LAST = (1 << 63) - 1  # rank of a null id
-SMALL = 1_000_000  # lines (40 MB) up to which the lines that emit keys are picked by broadcast; beyond, by a join
+SMALL = 1_000_000  # lines (up to 80 MB) that are broadcast; beyond, all but the most frequent are joined
+PIECES = 8
+
+
+def _rank(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
+    return [F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LAST)).alias("doc"), F.xxhash64(F.col(f"`{text}`")).alias("part")]
 
 
 def lines(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(doc, line, norm) of every line that is not blank."""
-    rank = F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST)).alias("doc")
-    every = docs.select(rank, F.posexplode(F.split(F.col(text), "\n", -1)).alias("line", "raw"))
-    return every.select("doc", "line", F.lower(F.trim(F.col("raw"), F.lit(" \t\r"))).alias("norm")).where("norm <> ''")
+    """(doc, part, line, norm) of every line that is not blank."""
+    every = docs.select(*_rank(docs, doc_id, text), F.posexplode(F.split(F.col(f"`{text}`"), "\n", -1)).alias("line", "raw"))
+    return every.select("doc", "part", "line", F.lower(F.trim(F.col("raw"), F.lit(" \t\r"))).alias("norm")).where("norm <> ''")
+
+
+PLACE = ("doc", "part", "line")
 
 
 def _digest(norm: str) -> Column:
@@ -44,7 +54,7 @@ def _digest(norm: str) -> Column:
 
 
 def distinct_lines(every: DataFrame) -> DataFrame:
-    """(key, short, doc, line, n, chars, halves): one row per distinct line with its earliest place."""
+    """(key, short, doc, part, line, n, chars, halves): one row per distinct line with its earliest place."""
     chars = F.length("norm")
 
     def half(size: Column, end: str) -> Column:
@@ -52,14 +62,14 @@ def distinct_lines(every: DataFrame) -> DataFrame:
         part = F.left("norm", m) if end == "first" else F.right("norm", m)
         return F.xxhash64(F.lit(end), size, part)
 
-    keyed = every.select("doc", "line", _digest("norm").alias("key"), chars.alias("chars"), *[
+    keyed = every.select(*PLACE, _digest("norm").alias("key"), chars.alias("chars"), *[
         half(size, end).alias(name) for name, size, end in (
             ("own_first", chars, "first"), ("own_second", chars, "second"),
             ("less_first", chars - 1, "first"), ("less_second", chars - 1, "second"))])
     names = ("chars", "own_first", "own_second", "less_first", "less_second")
-    grouped = keyed.groupBy("key").agg(F.min(F.struct("doc", "line")).alias("at"), F.count(F.lit(1)).alias("n"),
+    grouped = keyed.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("at"), F.count(F.lit(1)).alias("n"),
                                        *[F.first(c).alias(c) for c in names])
-    return grouped.select("key", _short("key"), "at.doc", "at.line", "n", *names)
+    return grouped.select("key", _short("key"), "at.*", "n", *names)
 
 
 def _short(key: str) -> Column:
@@ -67,14 +77,22 @@ def _short(key: str) -> Column:
     return F.conv(F.substring(F.hex(F.col(key)), 1, 15), 16, 10).cast("long").alias("short")
 
 
-NEEDS = ("place_second", "place_first", "less_second", "less_first", "whole")
+NEEDS = ("own_second", "own_first", "less_second", "less_first")
+
+
+def _shared(entries: DataFrame, by: str) -> DataFrame:
+    """The entries that can meet: of one size with another, or of one size with those one longer."""
+    counts = entries.groupBy(by).agg(
+        F.count(F.when(F.col("own"), 1)).alias("size"), F.count(F.when(~F.col("own"), 1)).alias("longer")
+    ).where("size > 1 OR (size = 1 AND longer > 0)")
+    return entries.join(counts, by)
 
 
 def candidates(distinct: DataFrame, min_chars: int) -> DataFrame:
-    """(short, needs): the lines that share half a line with another, and which keys can meet that other.
+    """(short, needs): the lines that share half a line with another, and in which half the edit can lie.
 
-    If the first halves agree, the edit lies in the second, and the other way round. Lines of one size meet by
-    place; of two sizes that differ by one, the longer sends shortened forms and the shorter its whole.
+    If the first halves agree, the edit lies in the second, and the other way round. A line stands for itself (own) and
+    as the longer partner of lines one shorter (less).
     """
     def entry(column: str, own: bool, edit: str) -> Column:
         return F.struct(F.col(column).alias("half"), F.lit(own).alias("own"), F.lit(edit).alias("edit"))
@@ -82,14 +100,34 @@ def candidates(distinct: DataFrame, min_chars: int) -> DataFrame:
     halves = distinct.where(F.col("chars") >= min_chars).select("short", F.explode(F.array(
         entry("own_first", True, "second"), entry("own_second", True, "first"),
         entry("less_first", False, "second"), entry("less_second", False, "first"))).alias("e")).select("short", "e.*")
-    shared = halves.groupBy("half").agg(
-        F.count(F.when(F.col("own"), 1)).alias("size"), F.count(F.when(~F.col("own"), 1)).alias("longer")
-    ).where("size > 1 OR (size = 1 AND longer > 0)")
-    met = halves.join(shared, "half")
-    own, edit = F.col("own"), F.col("edit")
-    needs = {**{f"place_{e}": own & (F.col("size") > 1) & (edit == e) for e in ("second", "first")},
-             **{f"less_{e}": ~own & (edit == e) for e in ("second", "first")}, "whole": own & (F.col("longer") > 0)}
-    return met.groupBy("short").agg(*[F.max(needs[n]).alias(n) for n in NEEDS])
+    met = _shared(halves, "half")
+    return met.groupBy("short").agg(*[F.max((F.col("own") == own) & (F.col("edit") == edit)).alias(f"{name}_{edit}")
+                                      for name, own in (("own", True), ("less", False)) for edit in ("second", "first")])
+
+
+def refined(texts: DataFrame) -> DataFrame:
+    """(key, by_place, by_size, whole): the pieces, as bits, in which a line can differ from one of its size or from one
+    that is shorter, and whether a longer one can differ from it."""
+    j, size = F.col("j"), F.length("norm")
+
+    def around(n: Column, more: int) -> Column:
+        start, end = F.expr("1"), F.floor(n * (j + 1) / PIECES).cast("int") + more
+        before = F.substring("norm", start, F.floor(n * j / PIECES).cast("int"))
+        return F.xxhash64(n, j, before, F.substring("norm", end + 1, size))
+
+    def wanted(i: Column) -> Column:
+        half = F.pmod(i, F.lit(PIECES)) >= PIECES // 2
+        return F.when(i < PIECES, F.when(half, F.col("own_second")).otherwise(F.col("own_first"))).otherwise(
+            F.when(half, F.col("less_second")).otherwise(F.col("less_first")))
+
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(2 * PIECES - 1)), wanted)
+    spread = texts.select("key", "norm", F.explode(numbers).alias("e")).select(
+        "key", "norm", (F.col("e") % PIECES).alias("j"), (F.col("e") < PIECES).alias("own"))
+    entries = spread.select("key", "own", "j", F.when(F.col("own"), around(size, 0)).otherwise(around(size - 1, 1)).alias("rest"))
+    met, bit = _shared(entries, "rest"), F.call_function("shiftleft", F.lit(1), j)
+    return met.groupBy("key").agg(F.bit_or(F.when(F.col("own") & (F.col("size") > 1), bit).otherwise(0)).alias("by_place"),
+                                  F.bit_or(F.when(~F.col("own"), bit).otherwise(0)).alias("by_size"),
+                                  F.max(F.col("own") & (F.col("longer") > 0)).alias("whole"))
 
 
 def neighbours(texts: DataFrame) -> DataFrame:
@@ -98,21 +136,23 @@ def neighbours(texts: DataFrame) -> DataFrame:
     The lines that share a key differ in one character at one place, or are one line and its shortened forms, so
     the alphabet and the line's length bound their number.
     """
-    i, size, place = F.col("i"), F.length("norm"), F.struct("doc", "line", "short")
+    i, size, place = F.col("i"), F.length("norm"), F.struct(*PLACE, "short")
 
-    def within(need: str, whole_size: Column) -> Column:
-        m = F.floor(whole_size / 2)
-        return (F.col(need + "_second") & (i > m)) | (F.col(need + "_first") & (i <= size - m))
+    def within(bits: str, n: Column, at: Column) -> Column:
+        """Whether a place, from 1, lies in one of the pieces."""
+        piece = F.least(F.floor((at * PIECES - 1) / n).cast("int"), F.lit(PIECES - 1))
+        return F.col(bits).bitwiseAND(F.call_function("shiftleft", F.lit(1), piece)) > 0
 
     less = F.concat(F.substring("norm", F.lit(1), i - 1), F.substring("norm", i + 1, size))
-    spread = (texts.withColumn("i", F.explode(F.sequence(F.lit(1), size)))
-              .withColumn("by_place", within("place", size)).withColumn("by_size", within("less", size - 1)))
-    shortened = spread.where("by_place OR by_size").select("doc", "line", "short", "i", "by_place", "by_size", less.alias("less"))
-    keys = shortened.select("doc", "line", "short", F.explode(F.array_compact(F.array(
-        F.when(F.col("by_place"), F.struct(F.xxhash64(F.lit("place"), "i", "less").alias("h"), F.lit(0).alias("kind"))),
-        F.when(F.col("by_size"), F.struct(F.xxhash64(F.lit("less"), "less").alias("h"), F.lit(1).alias("kind")))))).alias("e")
-    ).select("doc", "line", "short", "e.h", "e.kind").union(texts.where("whole").select(
-        "doc", "line", "short", F.xxhash64(F.lit("less"), "norm").alias("h"), F.lit(2).alias("kind")))
+    places = F.filter(F.sequence(F.lit(1), size), lambda at: within("by_place", size, at) | within("by_size", size - 1, at))
+    spread = texts.select(*PLACE, "short", "norm", "by_place", "by_size", F.explode(places).alias("i"))
+    shortened = spread.select(*PLACE, "short", "i", within("by_place", size, i).alias("to_place"),
+                              within("by_size", size - 1, i).alias("to_size"), less.alias("less"))
+    keys = shortened.select(*PLACE, "short", F.explode(F.array_compact(F.array(
+        F.when(F.col("to_place"), F.struct(F.xxhash64(F.lit("place"), "i", "less").alias("h"), F.lit(0).alias("kind"))),
+        F.when(F.col("to_size"), F.struct(F.xxhash64(F.lit("less"), "less").alias("h"), F.lit(1).alias("kind")))))).alias("e")
+    ).select(*PLACE, "short", "e.h", "e.kind").union(texts.where("whole").select(
+        *PLACE, "short", F.xxhash64(F.lit("less"), "norm").alias("h"), F.lit(2).alias("kind")))
     group = Window.partitionBy("h")
     best = keys.select("*", F.min(F.when(F.col("kind") < 2, place)).over(group).alias("shortened"),
                        F.min(F.when(F.col("kind") == 2, place)).over(group).alias("entire"))
@@ -123,46 +163,60 @@ def neighbours(texts: DataFrame) -> DataFrame:
     left = sides.select(F.col("p").alias("late"), "key", F.col("norm").alias("x"))
     right = sides.select(F.col("p").alias("early"), F.col("norm").alias("y"))
     near = pairs.join(left, "late").join(right, "early").where(F.levenshtein("x", "y", 1).between(0, 1))
-    return near.groupBy("key").agg(F.min(F.struct("early.doc", "early.line")).alias("near"))
+    return near.groupBy("key").agg(F.min(F.struct(*[f"early.{c}" for c in PLACE])).alias("near"))
 
 
-def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, line, keep_doc_id, keep_line, edits) of every line that goes: its place, and the earliest line that
-    stands for it, equal (edits 0) if there is one before it, else one edit away."""
+def _with_verdicts(every: DataFrame, verdicts: DataFrame, total: int) -> DataFrame:
+    """The lines that have a verdict. Verdicts have a row per distinct line; a frequent line meets a broadcast one."""
+    if verdicts.count() <= SMALL:
+        return every.join(F.broadcast(verdicts), "key")
+    # No more than SMALL lines can have this many rows each.
+    frequent = F.col("n") * SMALL >= total
+    return every.join(F.broadcast(verdicts.where(frequent)), "key").unionByName(every.join(verdicts.where(~frequent), "key"))
+
+
+def gone_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc, part, line, keep, edits) of every line that goes."""
     every = lines(docs, doc_id, text)
     distinct = settle(distinct_lines(every))
     wanted = settle(candidates(distinct, min_chars))
     few = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
-    first = distinct.where(F.col("chars") >= min_chars).select("key", "doc", "line")
+    first = distinct.where(F.col("chars") >= min_chars).select("key", *PLACE)
     texts = settle(every.select(_digest("norm").alias("key"), "norm").withColumn("short", _short("key")).join(few, "short")
                    .dropDuplicates(["key"]).join(first, "key"))
-    verdicts = distinct.select("key", F.struct("doc", "line").alias("first"), "n").join(neighbours(texts), "key", "left").where(
-        "n > 1 OR near IS NOT NULL")
-    placed = every.select("doc", "line", _digest("norm").alias("key")).join(verdicts, "key")
-    here = F.struct("doc", "line")
-    gone = placed.where((here != F.col("first")) | F.col("near").isNotNull())
-    equal = here != F.col("first")
-    keep = F.when(equal, F.col("first")).otherwise(F.col("near"))
+    finer = texts.drop(*NEEDS).join(refined(texts), "key")
+    verdicts = settle(distinct.select("key", F.struct(*PLACE).alias("first"), "n").join(
+        neighbours(settle(finer)), "key", "left").where("n > 1 OR near IS NOT NULL"))
+    total = distinct.agg(F.sum("n")).first()[0] or 0
+    placed = _with_verdicts(every.select(*PLACE, _digest("norm").alias("key")), verdicts, total)
+    equal = F.struct(*PLACE) != F.col("first")
+    return placed.where(equal | F.col("near").isNotNull()).select(
+        *PLACE, F.when(equal, F.col("first")).otherwise(F.col("near")).alias("keep"),
+        F.when(equal, 0).otherwise(1).alias("edits"))
+
 
+def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
+    """(doc_id, line, keep_doc_id, keep_line, edits) of every line that goes: its place, and the earliest line that
+    stands for it, equal (edits 0) if there is one before it, else one edit away."""
     def id_of(c: Column) -> Column:
         return F.when(c != LAST, c)
 
-    return gone.select(id_of(F.col("doc")).alias("doc_id"), "line", id_of(keep["doc"]).alias("keep_doc_id"),
-                       keep["line"].alias("keep_line"), F.when(equal, 0).otherwise(1).alias("edits"))
+    return gone_lines(docs, doc_id, text, min_chars).select(
+        id_of(F.col("doc")).alias("doc_id"), "line", id_of(F.col("keep.doc")).alias("keep_doc_id"),
+        F.col("keep.line").alias("keep_line"), "edits")
 
 
 def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
     """The documents without the lines that go, with all columns."""
-    gone = repeated_lines(docs, doc_id, text, min_chars)
-    names = [c for c in docs.columns]
-    key, places = "line_dedup_key", "line_dedup_places"
-    while {key.lower(), places.lower()} & {c.lower() for c in names}:
-        key, places = "_" + key, "_" + places
-    listed = gone.groupBy(F.coalesce("doc_id", F.lit(LAST)).alias(key)).agg(F.collect_set("line").alias(places))
-    whole = docs.withColumn(key, F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))).join(listed, key, "left")
-    kept = F.concat_ws("\n", F.filter(F.split(F.col(text), "\n", -1),
+    key, part, places = (free_name(docs.columns, c) for c in ("line_dedup_key", "line_dedup_part", "line_dedup_places"))
+    listed = gone_lines(docs, doc_id, text, min_chars).groupBy(F.col("doc").alias(key), F.col("part").alias(part)).agg(
+        F.collect_set("line").alias(places))
+    doc, own = _rank(docs, doc_id, text)
+    whole = docs.withColumns({key: doc, part: own}).join(listed, [key, part], "left")
+    kept = F.concat_ws("\n", F.filter(F.split(F.col(f"`{text}`"), "\n", -1),
                                       lambda x, i: ~F.array_contains(F.col(places), i)))
-    return whole.withColumn(text, F.when(F.col(places).isNull(), F.col(text)).otherwise(kept)).select(*names)
+    out = F.when(F.col(places).isNull(), F.col(f"`{text}`")).otherwise(kept)
+    return whole.select(*[out.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:
