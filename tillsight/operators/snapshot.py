@@ -45,6 +45,16 @@ class SnapshotTable:
             raise RuntimeError(f"{base} holds runs but no commit file; nothing is read or overwritten")
         return int(last or 0)
 
+    def last_mark(self, kind: str) -> int | None:
+        """Number of the newest ``kind-<number>`` mark of a committed run; runs without such a mark are passed over."""
+        base, last = self._path("commits"), self.last_run()
+        for run in reversed(self.wh.folders(base, "run")):
+            if int(run) <= last:
+                for name in self.wh.files(f"{base}/run={run}"):
+                    if name.startswith(f"_{kind}-"):
+                        return int(name.rpartition("-")[2])
+        return None
+
     def exists(self) -> bool:
         return self.last_run() > 0
 
@@ -89,11 +99,13 @@ class SnapshotTable:
 
     # --- writing -----------------------------------------------------------------------------
 
-    def run(self, source: DataFrame, run_ts: str, prune: bool = False) -> dict[str, int]:
+    def run(self, source: DataFrame, run_ts: str, prune: bool = False, held: set[str] | None = None,
+            mark: str | None = None) -> dict[str, int]:
         """Compare the source with the open rows and store the outcome. Returns what it did.
 
         The key must determine the row's month. ``prune`` first looks up which months the source
-        holds and reads only those, which pays for a small source such as a micro-batch.
+        holds and reads only those, which pays for a small source such as a micro-batch; ``held`` names
+        months beyond which the source has no rows. ``mark`` names what the run has taken in.
         """
         last = self.last_run()
         now = last + 1
@@ -103,8 +115,9 @@ class SnapshotTable:
         source = source.withColumn(MONTH, F.date_format(F.col(self.month_of), "yyyy-MM"))
         if months:
             known = months
-            if prune:
+            if prune and held is None:
                 held = {r[MONTH] for r in source.select(MONTH).distinct().collect()}  # calendar months
+            if held is not None:
                 known = {m: r for m, r in months.items() if m in held}
             stats = self._write_changes(source, known, now, run_ts)
         else:
@@ -113,6 +126,8 @@ class SnapshotTable:
         schema = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("written_by", T.IntegerType())])
         (self.spark.createDataFrame(sorted(months.items()), schema).coalesce(1)
          .write.mode("overwrite").parquet(self._path("commits", _run(now))))
+        if mark is not None:
+            self.wh.mark(self._path("commits", _run(now), f"_{mark}"))
         self.wh.commit(self._path("commits", _run(now)))
         return {"opened": sum(r.n for r in stats), "replaced": sum(r.c for r in stats),
                 "months_rewritten": len(stats)}

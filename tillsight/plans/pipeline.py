@@ -19,7 +19,7 @@ from ..session import tune
 from ..sources.csv_files import with_audit
 from ..sources.landing import LandingZone
 from ..sources.warehouse import Warehouse
-from . import departments, economy, holiday, markdowns, marts, seasons, storetypes
+from . import affected, departments, economy, holiday, markdowns, marts, seasons, storetypes
 
 log = logging.getLogger(__name__)
 
@@ -91,16 +91,20 @@ class Pipeline:
                 out = dims.upsert(self.wh.table(STORE_DIM), fresh, ["store_id", "dept_id"])
             self.wh.write(out, STORE_DIM)
 
-    def snapshot_source(self, run_ts: str | None = None, delivered: DataFrame | None = None) -> DataFrame:
-        """Source rows of the versioned table, of all landed department rows or of those ``delivered``."""
+    def snapshot_source(self, run_ts: str | None = None, delivered: DataFrame | None = None,
+                        touched: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+        """Source rows of the versioned table, of all landed department rows or of those ``delivered``, and of
+        these all or those that ``touched`` picks."""
         departments = self.landing.settled("department_raw", DEPARTMENT_KEY) if delivered is None else delivered
-        joined = facts.enriched(facts.sales(departments), facts.economics(self.landing.table("fact_raw")),
+        sold = facts.sales(departments)
+        joined = facts.enriched(sold if touched is None else touched(sold), facts.economics(self.landing.table("fact_raw")),
                                 self.wh.table(DATE_DIM), self.wh.table(STORE_DIM))
         return with_audit(joined, run_ts)
 
     def run_snapshot(self, run_ts: str) -> dict[str, int]:
+        """Version what the deliveries since the last run can have changed."""
         with self._step("fact_snapshot"):
-            return self.snapshot.run(self.snapshot_source(run_ts), run_ts)
+            return affected.version(self, run_ts)
 
     def build_marts(self, run_ts: str | None = None) -> None:
         """Six marts and the holiday figures. Five start from one stored store-week aggregate."""

@@ -122,6 +122,13 @@ class LandingZone:
                   .agg(F.max_by(F.struct(*columns), order).alias("row")).select("row.*"))
         return lines.join(touched, key, "left_anti").select(*columns).unionByName(newest)
 
+    def stream_lines(self, table: str) -> DataFrame:
+        """Stream of the table's delivered columns over all landed files, of whatever load or generation."""
+        base = self._base(table)
+        self.wh.make_folder(f"{base}/v={self._current(table)}")
+        return (self.spark.readStream.schema(LANDINGS[table].schema).option("ignoreMissingFiles", "true")
+                .option("recursiveFileLookup", "true").parquet(f"{base}/v=*"))
+
     def quarantine(self, table: str) -> DataFrame:
         """Malformed lines set aside, with the file they came from."""
         return self._lines(table).where("bad").select(CORRUPT, *SOURCE_COLUMNS, "insert_date")

@@ -61,6 +61,10 @@ class Warehouse:
         names = [s.getPath().getName() for s in fs.listStatus(target) if s.isDirectory()]
         return sorted(n[len(prefix) + 1:] for n in names if n.startswith(prefix + "="))
 
+    def make_folder(self, path: str) -> None:
+        fs, target = self._hadoop(path)
+        fs.mkdirs(target)
+
     def drop_folder(self, path: str) -> None:
         fs, target = self._hadoop(path)
         fs.delete(target, True)
