@@ -1,0 +1,94 @@
+"""Marts kept by month equal marts built anew, and read only the months that changed."""
+
+import random
+
+from conftest import rows
+from pyspark.sql import functions as F
+from test_pipeline import T1, T2, pipe  # noqa: F401
+
+from tillsight.operators import dims
+from tillsight.plans import marts
+from tillsight.plans.pipeline import DATE_DIM, DEPT_MONTH, STORE_DIM, STORE_WEEK, Pipeline
+
+
+def anew(pipe):  # noqa: F811
+    """The six marts straight from all open rows."""
+    open_rows = marts.row_measures(pipe.snapshot.current())
+    weeks, dates, stores = marts.store_week(open_rows), pipe.wh.table(DATE_DIM), pipe.wh.table(STORE_DIM)
+    return {"sales_by_dept": marts.sales_by_dept(open_rows), "sales_by_store": marts.sales_by_store(weeks, stores, dates),
+            "sales_by_date_parts": marts.sales_by_date_parts(weeks, dates),
+            "sales_by_storetype_month": marts.sales_by_storetype_month(weeks, stores),
+            "markdown_by_year_store": marts.markdown_by_year_store(weeks, stores), "economic_factors": marts.economic_factors(weeks)}
+
+
+def same(pipe):  # noqa: F811
+    for name, want in anew(pipe).items():
+        assert rows(pipe.mart(name).drop("insert_date", "update_date")) == rows(want), name
+
+
+def source(spark, sold):
+    typed = spark.createDataFrame([(f"{s}-{d}-{w}", s, d, 1, f"2010-{w:02d}-05", "A", 10, v, e) for (s, d, w), (v, e) in sold.items()],
+                                  "snapshot_key string, store_id int, dept_id int, date_id long, store_date string, store_type string, "
+                                  "store_size int, store_weekly_sales int, fuel int")
+    md = [F.col("fuel").cast("decimal(18,2)").alias(f"markdown{i}") for i in range(1, 6)]
+    return typed.select("snapshot_key", "store_id", "dept_id", "date_id", F.col("store_date").cast("date"), "store_type", "store_size",
+                        F.col("store_weekly_sales").cast("decimal(18,2)"), F.col("fuel").cast("decimal(10,4)").alias("fuel_price"),
+                        *[F.col("fuel").cast(t).alias(c) for c, t in (("temperature", "decimal(10,4)"), ("cpi", "decimal(18,4)"),
+                                                                       ("unemployment", "decimal(10,4)"))], *md)
+
+
+def test_twenty_random_deliveries(spark, tmp_path):
+    pipe = Pipeline(spark, str(tmp_path / "wh"))  # noqa: F811
+    r = random.Random(5)
+    raw = spark.createDataFrame([(str(s), str(d), f"2010-{w:02d}-05", "1", str(w % 3 == 0)) for s in range(1, 4) for d in range(1, 4) for w in range(1, 7)],
+                                "store_id string, dept_id string, store_date string, weekly_sales string, isholiday string")
+    pipe.wh.write(dims.date_dim(raw), DATE_DIM)
+    pipe.wh.write(dims.store_dim(raw, spark.createDataFrame([(str(s), "AB"[s % 2], "10") for s in range(1, 4)], "store_id string, store_type string, store_size string")), STORE_DIM)
+    sold = {}
+    read = []
+    open_rows = pipe.snapshot.open_rows
+    pipe.snapshot.open_rows = lambda months: read.append(set(months)) or open_rows(months)
+    for n in range(20):
+        months = r.sample(range(1, 7), r.randint(0, 2)) if n else [1, 2, 3]
+        for w in months:
+            sold[r.randint(1, 3), r.randint(1, 3), w] = r.choice([None, r.randint(-5, 99)]), r.choice([None, n])
+        read.clear()
+        ts = f"2026-01-{n + 1:02d} 00:00:00"
+        pipe.snapshot.run(source(spark, sold), ts)
+        anew_rows = marts.row_measures(pipe.snapshot.current())
+        for name, plan in ((STORE_WEEK, marts.store_week), (DEPT_MONTH, marts.dept_month)):
+            kept = pipe._monthly(name, plan)
+            want = plan(anew_rows) if name == STORE_WEEK else plan(anew_rows.withColumn("m", F.trunc("store_date", "month")), "m").drop("m")
+            assert rows(kept.select(*want.columns)) == rows(want)
+        assert all(m <= {f"2010-{w:02d}" for w in months} for m in read) and len(read) in (0, 2)
+    pipe.build_marts(ts)
+    same(pipe)
+
+
+def test_a_lost_aggregate_is_made_good(pipe, delivery):  # noqa: F811
+    pipe.run(str(delivery), T1)
+    same(pipe)
+    for name in (STORE_WEEK, DEPT_MONTH):
+        pipe.wh.drop_folder(pipe.wh.path(name, "sales_month=2010-02"))
+    pipe.landing.correct("department_raw", "dept_id = '2'", {"weekly_sales": "7.00"})
+    pipe.run(str(delivery), T2)
+    same(pipe)
+
+
+def test_as_of_prunes_closed_months(pipe, delivery):  # noqa: F811
+    pipe.load(str(delivery), run_ts=T1)
+    pipe.build_dims(T1)
+    times = ["2026-01-10 00:00:00", "2026-02-10 00:00:00", "2026-03-10 00:00:00", "2026-03-11 00:00:00"]
+    for n, ts in enumerate(times):
+        pipe.landing.correct("department_raw", "dept_id = '1'", {"weekly_sales": f"{n}.00"})
+        pipe.run_snapshot(ts)
+    assert pipe.snapshot.closed().count() == 3 * 4
+    first = pipe.snapshot.as_of("2026-01-20 00:00:00").where("dept_id = 1")
+    assert {str(v) for (v,) in rows(first, "store_weekly_sales")} == {"0.00"}
+    late = pipe.snapshot.as_of("2026-03-10 12:00:00")
+    assert {str(v) for (v,) in rows(late.where("dept_id = 1"), "store_weekly_sales")} == {"2.00"} and late.count() == 7
+    assert len([f for f in late.inputFiles() if "/closed/" in f]) <= len([f for f in pipe.snapshot.closed().inputFiles()]) // 2 + 1
+    plan = pipe.snapshot.closed(after="2026-03-10 12:00:00")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "ended" in plan.split("PartitionFilters")[1][:300]
+    assert rows(late.drop("insert_date")) == rows(pipe.snapshot.history().where(
+        "dbt_valid_from <= '2026-03-10 12:00:00' AND (dbt_valid_to IS NULL OR dbt_valid_to > '2026-03-10 12:00:00')").drop("insert_date"))

@@ -2,7 +2,7 @@
 
 Layout under ``<root>/silver/fact_snapshot``
 ``current/run=<n>/sales_month=<yyyy-MM>``  open rows; a run rewrites only the months it changes
-``closed/run=<n>``                         rows closed by that run; never rewritten
+``closed/ended=<yyyy-MM>/run=<n>``         rows closed by that run, in the month of its time; never rewritten
 ``changes/run=<n>``                        the run's new and changed source rows
 ``commits/run=<n>``                        one row per month: the run that last wrote it
 
@@ -19,9 +19,9 @@ from pyspark.sql import types as T
 from ..schemas import CHECK_COLUMNS, VersionColumns
 from ..sources.warehouse import Warehouse
 from .facts import KEY
-from .versions import NAMES, differences, open_version, reject_duplicates
+from .versions import NAMES, as_of, differences, open_version, reject_duplicates
 
-MONTH = "sales_month"
+MONTH, ENDED = "sales_month", "ended"
 
 
 class SnapshotTable:
@@ -83,15 +83,32 @@ class SnapshotTable:
             return open_version(none.drop("is_new", MONTH), self.key, F.lit(None).cast("timestamp"), self.names)
         return self._read_months(months).drop(MONTH)
 
-    def closed(self) -> DataFrame:
-        last = self.last_run()
-        base = self._path("closed")
-        runs = [r for r in self.wh.folders(base, "run") if int(r) <= last]  # a committed run's folders are whole
+    def closed(self, after: str | None = None) -> DataFrame:
+        """Closed rows, or those that ended after a time: Spark prunes the months before it and the runs that do not
+        count from the folders' names."""
+        last, base = self.last_run(), self._path("closed")
         template = self.current()
-        if not runs:
+        months = self.wh.folders(base, ENDED)
+        if not months:
             return template.limit(0)
-        return (self.spark.read.schema(template.schema)
-                .parquet(*[f"{base}/run={r}" for r in runs]))
+        schema = T.StructType([*template.schema.fields, T.StructField(ENDED, T.StringType()), T.StructField("run", T.IntegerType())])
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(base).where(F.col("run") <= last)
+        if after is not None:
+            at = F.lit(after).cast("timestamp")
+            rows = rows.where((F.col(ENDED) >= F.date_format(at, "yyyy-MM")) & (F.col(self.names.valid_to) > at))
+        return rows.drop(ENDED, "run")
+
+    def as_of(self, ts: str) -> DataFrame:
+        """Rows as they stood at a point in time; of the closed ones only those that ended later are read."""
+        return as_of(self.current(), ts, self.names).unionByName(as_of(self.closed(after=ts), ts, self.names))
+
+    def months(self) -> dict[str, int]:
+        """Month to the run that last wrote its open rows."""
+        return self._months(self.last_run())
+
+    def open_rows(self, months: dict[str, int]) -> DataFrame:
+        """Open rows of some months, with the month."""
+        return self._read_months(months)
 
     def history(self) -> DataFrame:
         """All versions."""
@@ -109,8 +126,8 @@ class SnapshotTable:
         """
         last = self.last_run()
         now = last + 1
-        for part in ("changes", "closed", "current"):  # what a failed attempt at this run left
-            self.wh.drop_folder(self._path(part, _run(now)))
+        for part in ("changes", "current", *(f"closed/{ENDED}={m}" for m in self.wh.folders(self._path("closed"), ENDED))):
+            self.wh.drop_folder(self._path(part, _run(now)))  # what a failed attempt at this run left
         months = self._months(last)
         source = source.withColumn(MONTH, F.date_format(F.col(self.month_of), "yyyy-MM"))
         if months:
@@ -168,7 +185,7 @@ class SnapshotTable:
             if any(r.c for r in stats):
                 ended = (before.join(keys, self.key, "left_semi")
                          .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
-                ended.drop(MONTH).write.mode("overwrite").parquet(self._path("closed", _run(now)))
+                ended.drop(MONTH).write.mode("overwrite").parquet(self._path("closed", f"{ENDED}={run_ts[:7]}", _run(now)))
             fresh = before.join(keys, self.key, "left_anti").unionByName(fresh.select(*before.columns))
         self._store(fresh, now)
         return stats

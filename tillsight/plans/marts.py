@@ -2,7 +2,9 @@
 
 All measures are sums, counts, minima and maxima, so each mart can be built from sales rows
 (``row_measures``) or from their store-week aggregate (``store_week``): both carry the same
-columns. The ordered run stores the store-week aggregate once and feeds five marts from it.
+columns. The ordered run stores the store-week aggregate, and one per store, department and month
+(``dept_month``), month by month, and feeds all marts from these; only months whose sales changed
+are aggregated anew.
 
 Two marts join the store dimension, one row per (store, department), on the store alone, which
 repeats every sale once per department. The result is kept, without the repetition: sales are
@@ -28,7 +30,7 @@ WEIGHT = "decimal(10,0)"
 def row_measures(facts: DataFrame) -> DataFrame:
     """Sales rows as aggregates of one row each."""
     measures = [m for m in CHECK_COLUMNS if m in facts.columns]
-    keys = [c for c in ("store_id", "dept_id", "store_date") if c in facts.columns]
+    keys = [c for c in ("store_id", "dept_id", "store_date", "sales_month") if c in facts.columns]
     return facts.select(
         *keys,
         F.when(F.col("store_id").isNotNull(), 1).otherwise(0).cast("bigint").alias("rows"),
@@ -44,10 +46,19 @@ def _merge(df: DataFrame, keys: list[str | Column], measures: list[str]) -> Data
         *[F.sum(f"{m}_n").alias(f"{m}_n") for m in measures])
 
 
-def store_week(rows: DataFrame) -> DataFrame:
-    """Measures per store and date."""
+def store_week(rows: DataFrame, *by: str) -> DataFrame:
+    """Measures per store and date; ``by`` are columns that the date determines."""
     measures = [m for m in CHECK_COLUMNS if f"{m}_sum" in rows.columns]
-    return _merge(rows, ["store_id", "store_date"], measures)
+    return _merge(rows, [*by, "store_id", "store_date"], measures)
+
+
+def dept_month(rows: DataFrame, *by: str) -> DataFrame:
+    """Measures per store and department, with the number of dates, for each value of ``by``. Where a date has one such
+    value, as its month is, the numbers of dates add up over them as the measures do."""
+    return rows.groupBy(*by, "store_id", "dept_id").agg(
+        F.count_distinct("store_date").alias("weeks"),
+        F.sum(f"{SALES}_sum").alias(f"{SALES}_sum"), F.sum(f"{SALES}_n").alias(f"{SALES}_n"),
+        F.max("sales_max").alias("sales_max"), F.min("sales_min").alias("sales_min"))
 
 
 def week_measures(sold: DataFrame, econ: DataFrame) -> DataFrame:
@@ -90,8 +101,13 @@ def store_weights(stores: DataFrame, attributes: list[str], fan_out: bool = True
 
 def sales_by_dept(rows: DataFrame) -> DataFrame:
     """Weeks, mean, total, maximum and minimum per store and department."""
-    merged = rows.groupBy("store_id", "dept_id").agg(
-        F.count_distinct("store_date").alias("weeks_of_data"),
+    return dept_month(rows).select("store_id", "dept_id", F.col("weeks").alias("weeks_of_data"), *_sales_figures())
+
+
+def sales_by_dept_of_months(months: DataFrame) -> DataFrame:
+    """The same from the measures of months."""
+    merged = months.groupBy("store_id", "dept_id").agg(
+        F.sum("weeks").alias("weeks_of_data"),
         F.sum(f"{SALES}_sum").alias(f"{SALES}_sum"), F.sum(f"{SALES}_n").alias(f"{SALES}_n"),
         F.max("sales_max").alias("sales_max"), F.min("sales_min").alias("sales_min"))
     return merged.select("store_id", "dept_id", "weeks_of_data", *_sales_figures())
