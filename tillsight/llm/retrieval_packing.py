@@ -1,7 +1,7 @@
 """Packing documents into fixed windows, each filled with the nearest unused documents of its seed.
 
 Documents are encoded once and written down. Document frequencies of all tokens are counted over the whole
-table; the vocabulary bounds their number. Documents are then dealt by hash into shards of about SHARD_TOKENS
+table; the vocabulary bounds their number. Documents are then dealt by a hash of their row into shards of about SHARD_TOKENS
 tokens; each shard is an inverted index of its documents with BM25 weights. A window starts with its seed, a
 BM25 query with all the seed's tokens ranks the shard's unused documents, and these fill the window in that
 order. The one that does not fit is cut; its rest seeds the next window. Every window but a shard's last is
@@ -12,14 +12,15 @@ whole table with the place of the seed; without one, it tells sequences apart an
 
 Defined cases: a null or empty text is its end token alone; repeated rows are documents of their own, told
 apart by `doc_no`; ties of the ranking go to the document earlier in the shard, which is ordered by id and
-content; an empty table gives an empty result; extra columns are never read. A document longer than a shard
-makes its shard longer; nothing else does.
+content; an empty table gives an empty result; extra columns are never read. Rows are dealt by a number of their own,
+so repeated rows spread over the shards like any others; only a document longer than a shard makes its shard longer.
 """
 
 from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,14 +37,14 @@ END_ID = 1
 K1, B = 1.2, 0.75
 SEED_BITS = 20  # bits of a sequence's number among those of its seed; the seed's place stands above them
 
-TOKENS = "doc_id long, n long, ids binary"
+TOKENS = "doc_id long, n long, ids binary, row_no long"
 PIECES = ("doc_id long, doc_no long, start long, length long, ids binary, doc_tokens long, sequence_id long, "
           "offset long")
 
 
 def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
                      end: int = END_ID, order: str | None = None) -> DataFrame:
-    """(doc_id, n, ids), and with `order` also (place): compressed 16-bit ids with the end token."""
+    """(doc_id, n, ids, row_no), and with `order` also (place): compressed 16-bit ids with the end token."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, packer = shared(path), zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -59,12 +60,17 @@ def encode_documents(docs: DataFrame, path: str, doc_id: str = "doc_id", text: s
                     ["doc_id", "n", "ids", *part.schema.names[2:]])
 
     slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"),
-                       *([F.col(order).cast("long").alias("place")] if order else []))
+                       F.monotonically_increasing_id().alias("row_no"), *([F.col(order).cast("long").alias("place")] if order else []))
     return slim.mapInArrow(run, TOKENS + (", place long" if order else ""))
 
 
+@lru_cache(maxsize=1)
+def _unpacker() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def _ids(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint16)
+    return np.frombuffer(_unpacker().decompress(blob), np.uint16)
 
 
 def document_frequencies(tokens: DataFrame) -> np.ndarray:
@@ -216,7 +222,7 @@ def pack(tokens: DataFrame, window: int = WINDOW, shard_tokens: int = SHARD_TOKE
                 offset += length
         return pa.table({c: pa.array(v, pa.binary() if c == "ids" else pa.int64()) for c, v in out.items()})
 
-    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("doc_id", "ids"), F.lit(shards)).cast("long"))
+    dealt = tokens.withColumn("shard", F.pmod(F.xxhash64("row_no"), F.lit(shards)).cast("long"))
     return dealt.select("shard", "doc_id", "ids", *(["place"] if ordered else [])).groupBy("shard").applyInArrow(run, PIECES)
 
 

@@ -1,9 +1,9 @@
 """Token ids of a lower-casing word BPE file (`word_bpe_49k.json`), with a bounded memory of words.
 
-A text's ids are those of its pieces in a row, and most pieces come again: each worker remembers those it
-has met. Texts of plain Latin letters, digits, ASCII signs and common separators are cut into pieces by the file's
-own pattern, and new pieces go through the same merges in a faster encoder; its end-of-word mark is a zero byte,
-which such texts cannot hold. All other texts are taken word by word where white space is beyond doubt, and
+A text's ids are those of its words in a row, and most words come again: each worker remembers those it
+has met. Texts of plain Latin letters, digits, ASCII signs and common separators are cut at white space, which no piece
+crosses; a new word is cut into pieces by the file's own pattern, and new pieces go through the same merges in a faster
+encoder; its end-of-word mark is a zero byte, which such texts cannot hold. All other texts are taken word by word where white space is beyond doubt, and
 words with other signs, like texts with separators on which libraries disagree, go to the file's own tokenizer.
 """
 
@@ -17,7 +17,7 @@ from functools import lru_cache
 
 import numpy as np
 
-REMEMBERED = 500_000  # pieces that a Python worker keeps, over all its tasks, before it starts anew
+REMEMBERED = 500_000  # words and pieces that a Python worker keeps, over all its tasks, before it starts anew
 
 # Fixed values of the file format: the pieces that its pre-tokenizer finds in a lower-cased word.
 PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
@@ -40,7 +40,7 @@ def shared(path: str) -> WordBpe:
 
 
 class WordBpe(dict):
-    """Maps a piece to its number; `encode` gives ids. Ids must fit into 16 bits."""
+    """Maps a word to its number; `encode` gives ids. Ids must fit into 16 bits."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
         super().__init__()
@@ -69,27 +69,33 @@ class WordBpe(dict):
         self.clear()
         self.ids, self.ends = array("H"), array("q", [0])
 
-    def __missing__(self, piece: str) -> int:
-        # Pieces are in lower case; whole words that the plain way cannot cut come with a mark in front.
-        ids = (self.whole.encode(piece[1:], add_special_tokens=False).ids if piece[0] == "\0"
-               else self.fast.encode_ordinary(piece + "\0"))
+    def __missing__(self, word: str) -> int:
+        # Words are in lower case; those that the plain way cannot cut come with a mark in front.
+        if word[0] == "\0":
+            ids = self.whole.encode(word[1:], add_special_tokens=False).ids
+        else:
+            pieces = PIECES.findall(word)
+            if len(pieces) == 1:
+                ids = self.fast.encode_ordinary(word + "\0")
+            else:
+                ids = array("H")
+                for n in map(self.__getitem__, pieces):
+                    ids += self.ids[self.ends[n]:self.ends[n + 1]]
         self.ids.extend(ids)
         self.ends.append(len(self.ids))
-        number = self[piece] = len(self.ends) - 2
+        number = self[word] = len(self.ends) - 2
         return number
 
     def encode(self, text: str) -> np.ndarray:
         if PLAIN.fullmatch(text):
-            pieces = PIECES.findall(text.lower())
+            words = text.lower().split()
         elif UNSURE.search(text):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint16)
         else:
-            pieces = []
-            for word in text.split():
-                pieces += PIECES.findall(word.lower()) if PLAIN.fullmatch(word) else ["\0" + word]
+            words = [word.lower() if PLAIN.fullmatch(word) else "\0" + word for word in text.split()]
         if len(self) > self.remembered:
             self._forget()
-        at = np.fromiter(map(self.__getitem__, pieces), np.int64, len(pieces))
+        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
         ends = np.frombuffer(self.ends, np.int64)
         starts = ends[at]
         sizes = ends[at + 1] - starts
