@@ -15,13 +15,14 @@ SAMPLE = ["null_tokens", "fact_enriched", "store_dim", "sales_by_dept", "sales_b
           "sales_by_date_parts", "markdown_by_year_store_dedup", "economic_factors", "share_by_store_type",
           "store_holiday_split", "markdown_by_year", "storetype_month_table", "yoy_week_num", "trend_line",
           "scd2_snapshot", "date_dim_incremental", "scd1_merge_composite", "dq_report", "dept_share", "to_timestamp",
-          "markdown_in_year", "storetype_size_totals", "current_sales_by_store", "current_dq_report"]
+          "markdown_in_year", "storetype_size_totals", "current_sales_by_store", "current_dq_report",
+          "kept_sales_by_dept", "kept_sales_by_store", "kept_markdown_by_year_store", "kept_dq_report", "kept_snapshot", "kept_as_of"]
 
 pytestmark = pytest.mark.skipif(not Path(SMALL).exists(), reason="needs the generated tables")
 
 
 def test_every_query_has_sql():
-    assert set(ORACLES) == set(QUERIES) and len(QUERIES) >= 97
+    assert set(ORACLES) == set(QUERIES) and len(QUERIES) >= 107
 
 
 @pytest.mark.parametrize("name", SAMPLE)

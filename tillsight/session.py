@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. All may be set on a live session, so they also apply to one we did not build.
@@ -38,3 +40,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: s
     )
     spark.sparkContext.setLogLevel("ERROR")
     return tune(spark)
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share, for tables that a query stores on its way.
+
+    The checkpoint folder of the session. Only where none is set and all runs on one machine, a temporary one is taken.
+    """
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="run-")
+    return folder.rstrip("/")
