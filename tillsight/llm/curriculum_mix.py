@@ -155,5 +155,5 @@ def query(docs: DataFrame) -> DataFrame:
     rows = assign(docs)
     out = rows.select("doc_id", "size", "source_size", "target", "taken", F.size("passes").alias("passes"),
                       F.get("passes", F.lit(0))["position"].alias("position"))
-    return out.repartitionByRange(F.col("position").asc_nulls_last()).sortWithinPartitions(
-        F.col("position").asc_nulls_last(), "doc_id")
+    order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc()]  # the many without a position spread by id
+    return out.repartitionByRange(*order).sortWithinPartitions(*order)
