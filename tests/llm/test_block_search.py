@@ -61,3 +61,25 @@ def test_bounds_hold():
 def test_few_and_none(spark):
     assert found(op.query(frame(spark, [(0, [1.0]), (7, [2.0])]))) == [(0, 1, 7, 2.0)]
     assert found(op.query(frame(spark, [(0, [1.0])]))) == [] and found(op.query(frame(spark, []))) == []
+
+
+def test_a_table_united_with_itself(spark):
+    r = np.random.default_rng(7)
+    rows = [(int(i), r.normal(size=8).tolist()) for i in range(100)]
+    twice = frame(spark, rows).union(frame(spark, rows))
+    for block in (16, op.BLOCK):
+        usable = op.usable(twice)
+        got = found(op.nearest(usable.where("id % 20 = 0"), usable, 20, block))
+        want = [(q, n, i, s) for q, first, i, s in brute(rows, 10) for n in (2 * first - 1, 2 * first)]
+        assert got == sorted(want)
+
+
+def test_different_vectors_under_one_query_id(spark):
+    rows = [(20, [1.0, 0.0]), (20, [0.0, 1.0]), (1, [5.0, 1.0]), (2, [1.0, 7.0])]
+    assert found(op.query(frame(spark, rows))) == [(20, 1, 1, 5.0), (20, 1, 2, 7.0), (20, 2, 1, 1.0), (20, 2, 2, 1.0)]
+
+
+def test_candidates_are_not_dealt_by_length(spark):
+    usable = op.usable(frame(spark, [(i, [float(i + 1), 1.0]) for i in range(50)]))
+    plan = op.nearest(usable, usable)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(dim" not in plan

@@ -12,7 +12,8 @@ query block and one candidate block at a time, whatever the table's size.
 
 Defined cases: vectors that are null, empty, zero, or hold null or non-finite components take no part; vectors
 of different length are not compared; the query's own id is no candidate; ties go to the smaller id; rows
-repeated with one id are separate candidates; null ids take no part; an empty table gives an empty result;
+repeated with one id are separate candidates, but a repeated query asks once, and different vectors under one query id
+are ranked each for itself; null ids take no part; an empty table gives an empty result;
 extra columns are never read.
 """
 
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 from .common import settle
 
 BLOCK = 2048  # vectors of a block
+FEW = 1_000_000  # query blocks (two numbers each) whose list goes to every task; beyond, candidates meet it by a join
 LANES = 8  # tasks among which the candidate blocks of one query block are split, at least
 
 BLOCKS = ("dim int, block long, n int, ids binary, codes binary, scales binary, errors binary, norms binary, "
@@ -58,7 +60,7 @@ def blocks(rows: DataFrame, size: int = BLOCK) -> DataFrame:
         def pack(dim: int, ids: list, vs: list) -> pa.RecordBatch:
             x = np.array(vs, np.float64).reshape(len(ids), dim)
             codes, scale, error, norm = quantise(x)
-            # A block's name comes from its rows, so that a task that runs again makes the same one.
+            # Only spreads candidate blocks over tasks; query blocks get numbers of their own.
             name = hash((dim, len(ids), ids[0], ids[-1])) & (2**62 - 1)
             return pa.RecordBatch.from_pydict({
                 "dim": pa.array([dim], pa.int32()), "block": pa.array([name], pa.int64()),
@@ -130,7 +132,8 @@ def search_tile(q: Block, c: Block, best: list[list], k: int) -> None:
 
 def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int = BLOCK) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k largest inner products; inputs as `usable` gives them."""
-    q = settle(blocks(queries, block))
+    # A query row that is repeated asks once.
+    q = settle(blocks(queries.dropDuplicates(["id", "v"]), block).withColumn("block", F.monotonically_increasing_id()))
     c = blocks(candidates, block)
     names = BLOCKS.replace(",", "").split()[::2]
     asks = q.select([F.col(n).alias("q_" + n) for n in names])
@@ -138,7 +141,8 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int =
     lane = F.pmod(F.col("block"), F.lit(LANES))
     sides = asks.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(LANES - 1))))
     targets = q.select(F.col("dim").alias("t_dim"), F.col("block").alias("t_block"))
-    sent = c.join(targets, F.col("dim") == F.col("t_dim")).drop("t_dim").withColumn("lane", lane.cast("int"))
+    few = F.broadcast(targets) if q.count() <= FEW else targets
+    sent = c.join(few, F.col("dim") == F.col("t_dim")).drop("t_dim").withColumn("lane", lane.cast("int"))
     pairs = sent.join(sides, (F.col("t_block") == F.col("q_block")) & (sent["lane"] == sides["lane"])).select(
         *names, *["q_" + n for n in names])
 
@@ -156,19 +160,20 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 20, block: int =
                 search_tile(held[key][0], Block(row), held[key][1], k)
         yield from _flush(held)
 
-    found = pairs.mapInArrow(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = pairs.mapInArrow(run, "query_id long, ask_block long, ask_row int, vec_id long, score double")
+    order = Window.partitionBy("query_id", "ask_block", "ask_row").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
 
 def _flush(held: dict) -> Iterator[pa.RecordBatch]:
-    for asked, best in held.values():
-        out = [(i, -v, s) for i, heap in zip(asked.ids, best) for s, v in heap]
+    for (_, block), (asked, best) in held.items():
+        out = [(i, n, -v, s) for n, (i, heap) in enumerate(zip(asked.ids, best)) for s, v in heap]
         if out:
-            a, b, s = zip(*out)
-            yield pa.RecordBatch.from_pydict({"query_id": pa.array(a, pa.int64()), "vec_id": pa.array(b, pa.int64()),
-                                              "score": pa.array(s, pa.float64())})
+            a, n, b, s = zip(*out)
+            yield pa.RecordBatch.from_pydict({
+                "query_id": pa.array(a, pa.int64()), "ask_block": pa.array([block] * len(a), pa.int64()),
+                "ask_row": pa.array(n, pa.int32()), "vec_id": pa.array(b, pa.int64()), "score": pa.array(s, pa.float64())})
     held.clear()
 
 
