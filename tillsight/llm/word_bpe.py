@@ -39,11 +39,10 @@ def shared(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-class WordBpe(dict):
-    """Maps a word to its number; `encode` gives ids. Ids must fit into 16 bits."""
+class WordBpe:
+    """Keeps the ids of words it has met, as bytes; `encode` joins them. Ids must fit into 16 bits."""
 
     def __init__(self, path: str, remembered: int = REMEMBERED):
-        super().__init__()
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         import tiktoken
         from tokenizers import Tokenizer
@@ -59,32 +58,32 @@ class WordBpe(dict):
             if all(c in symbols for c in stem) and not token.startswith("<|"):
                 ranks[bytes(symbols[c] for c in stem) + mark] = i
         self.fast = tiktoken.Encoding("words", pat_str=r"[^\x00]+\x00", mergeable_ranks=ranks, special_tokens={})
+        self.last = np.zeros(1 << 16, bool)
+        self.last[[i for token, i in ranks.items() if token.endswith(b"\0")]] = True
         self.size = self.whole.get_vocab_size()
         if self.size > 1 << 16:
             raise ValueError("ids do not fit into 16 bits")
         self.remembered = remembered
-        self._forget()
-
-    def _forget(self) -> None:
-        self.clear()
-        self.ids, self.ends = array("H"), array("q", [0])
-
-    def __missing__(self, word: str) -> int:
-        # Words are in lower case; those that the plain way cannot cut come with a mark in front.
-        if word[0] == "\0":
-            ids = self.whole.encode(word[1:], add_special_tokens=False).ids
-        else:
-            pieces = PIECES.findall(word)
-            if len(pieces) == 1:
-                ids = self.fast.encode_ordinary(word + "\0")
+        self.known: dict[str, bytes] = {}
+
+    def _learn(self, words: list[str]) -> None:
+        """Words are in lower case; those that the plain way cannot cut come with a mark in front."""
+        known, cut = self.known, {}
+        for word in words:
+            if word[0] == "\0":
+                known[word] = array("H", self.whole.encode(word[1:], add_special_tokens=False).ids).tobytes()
             else:
-                ids = array("H")
-                for n in map(self.__getitem__, pieces):
-                    ids += self.ids[self.ends[n]:self.ends[n + 1]]
-        self.ids.extend(ids)
-        self.ends.append(len(self.ids))
-        number = self[word] = len(self.ends) - 2
-        return number
+                cut[word] = PIECES.findall(word)
+        fresh = list({p for pieces in cut.values() for p in pieces}.difference(known))
+        # All new pieces at once; the token that ends in the end-of-word mark is the last of its piece.
+        ids = np.array(self.fast.encode_ordinary("".join([p + "\0" for p in fresh])), np.uint16)
+        blob, start = ids.tobytes(), 0
+        for piece, end in zip(fresh, (np.flatnonzero(self.last[ids]) + 1).tolist(), strict=True):
+            known[piece] = blob[2 * start:2 * end]
+            start = end
+        for word, pieces in cut.items():
+            if len(pieces) > 1:
+                known[word] = b"".join(map(known.__getitem__, pieces))
 
     def encode(self, text: str) -> np.ndarray:
         if PLAIN.fullmatch(text):
@@ -93,14 +92,11 @@ class WordBpe(dict):
             return np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint16)
         else:
             words = [word.lower() if PLAIN.fullmatch(word) else "\0" + word for word in text.split()]
-        if len(self) > self.remembered:
-            self._forget()
-        at = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
-        ends = np.frombuffer(self.ends, np.int64)
-        starts = ends[at]
-        sizes = ends[at + 1] - starts
-        total = int(sizes.sum())
-        if not total:
-            return np.zeros(0, np.uint16)
-        before = np.cumsum(sizes) - sizes
-        return np.frombuffer(self.ids, np.uint16)[np.repeat(starts - before, sizes) + np.arange(total)]
+        if len(self.known) > self.remembered:
+            self.known.clear()
+        try:
+            joined = b"".join(map(self.known.__getitem__, words))
+        except KeyError:
+            self._learn(list(set(words).difference(self.known)))
+            joined = b"".join(map(self.known.__getitem__, words))
+        return np.frombuffer(joined, np.uint16)
