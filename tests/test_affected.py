@@ -34,7 +34,7 @@ def test_an_unchanged_run_reads_no_source(pipe, delivery, monkeypatch):  # noqa:
     silver(pipe, delivery, T1)
     monkeypatch.setattr(Pipeline, "snapshot_source", lambda *a, **k: pytest.fail("the source was read"))
     assert pipe.run_snapshot(T2) == {"opened": 0, "replaced": 0, "months_rewritten": 0}
-    assert pipe.snapshot.last_run() == 1
+    assert pipe.snapshot.last_run() == 2 and pipe.snapshot.current().count() == 7
 
 
 def test_only_months_of_the_keys_are_read(pipe, delivery):  # noqa: F811

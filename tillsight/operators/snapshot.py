@@ -126,8 +126,7 @@ class SnapshotTable:
         """
         last = self.last_run()
         now = last + 1
-        for part in ("changes", "current", *(f"closed/{ENDED}={m}" for m in self.wh.folders(self._path("closed"), ENDED))):
-            self.wh.drop_folder(self._path(part, _run(now)))  # what a failed attempt at this run left
+        self._drop_leftovers(now)
         months = self._months(last)
         source = source.withColumn(MONTH, F.date_format(F.col(self.month_of), "yyyy-MM"))
         if months:
@@ -140,14 +139,28 @@ class SnapshotTable:
         else:
             stats = self._write_first(source, now, run_ts)
         months.update({r[MONTH]: now for r in stats})
+        self._commit(months, now, mark)
+        return {"opened": sum(r.n for r in stats), "replaced": sum(r.c for r in stats),
+                "months_rewritten": len(stats)}
+
+    def unchanged(self, mark: str | None = None) -> dict[str, int]:
+        """Commit a run that had nothing to compare. The table holds rows."""
+        self._drop_leftovers(self.last_run() + 1)
+        self._commit(self.months(), self.last_run() + 1, mark)
+        return {"opened": 0, "replaced": 0, "months_rewritten": 0}
+
+    def _drop_leftovers(self, now: int) -> None:
+        """Drop what a failed attempt at this run left."""
+        for part in ("changes", "current", *(f"closed/{ENDED}={m}" for m in self.wh.folders(self._path("closed"), ENDED))):
+            self.wh.drop_folder(self._path(part, _run(now)))
+
+    def _commit(self, months: dict[str, int], now: int, mark: str | None) -> None:
         schema = T.StructType([T.StructField(MONTH, T.StringType()), T.StructField("written_by", T.IntegerType())])
         (self.spark.createDataFrame(sorted(months.items()), schema).coalesce(1)
          .write.mode("overwrite").parquet(self._path("commits", _run(now))))
         if mark is not None:
             self.wh.mark(self._path("commits", _run(now), f"_{mark}"))
         self.wh.commit(self._path("commits", _run(now)))
-        return {"opened": sum(r.n for r in stats), "replaced": sum(r.c for r in stats),
-                "months_rewritten": len(stats)}
 
     def _store(self, rows: DataFrame, now: int) -> None:
         """Few files per month; a month too big for one task is split over several."""

@@ -84,6 +84,8 @@ def version(pipe: Pipeline, run_ts: str) -> dict[str, int]:
         query.awaitTermination()
     except PySparkException:
         raise failure[0] if failure else query.exception()
-    if whole and not stats:
-        stats.append(table.run(pipe.snapshot_source(run_ts), run_ts, mark=None if done is None else f"batch-{done}"))
+    if not stats:  # nothing new has landed
+        mark = None if done is None else f"batch-{done}"
+        whole = whole or not table.months()
+        stats.append(table.run(pipe.snapshot_source(run_ts), run_ts, mark=mark) if whole else table.unchanged(mark))
     return {k: sum(s[k] for s in stats) for k in ("opened", "replaced", "months_rewritten")}
