@@ -3,6 +3,8 @@ from __future__ import annotations
 import random
 import re
 
+import xxhash
+
 from tillsight.llm import unit_dedup as op
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -19,19 +21,24 @@ def units(text):
     return [(tuple(w), s) for w, s in out]
 
 
+def rank(i, t):
+    """Place of a document: by id, null last, then by the signed 64-bit hash of its text."""
+    h = xxhash.xxh64_intdigest((t or "").encode(), seed=42)
+    return op.LAST if i is None else i, h - (1 << 64) if h >> 63 else h
+
+
 def brute(rows, min_words):
     """Text and spans of each (id, text) after cutting; rows equal in both are one document."""
-    documents = sorted({(op.LAST if i is None else i, t or "") for i, t in rows})
     first = {}
-    for i, t in documents:
-        for n, (w, _) in enumerate(units(t)):
-            first[w] = min(first.get(w, (i, n)), (i, n))
+    for i, t in rows:
+        for n, (w, _) in enumerate(units(t or "")):
+            first[w] = min(first.get(w, (rank(i, t), n)), (rank(i, t), n))
     out = []
     for i, t in rows:
         t, spans, run = t or "", [], []
         found = units(t)
         for n, (w, s) in enumerate([*found, ((), len(t))]):
-            again = n < len(found) and first[w] < (op.LAST if i is None else i, n)
+            again = n < len(found) and first[w] < (rank(i, t), n)
             if again:
                 run.append((s, len(w)))
             else:
@@ -117,3 +124,32 @@ def test_windows_cover_each_long_enough_run(spark):
         places.append(own)
     got = op.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), min_words=need).collect()
     assert {r["doc_id"]: r["n_repeated"] for r in got} == want and any(want.values())
+
+
+def test_different_rows_of_one_id(spark):
+    """Of equal lines at one place of rows with one id, or without one, one stays; other lines all stay."""
+    line = "a line that stands in both rows"
+    for key in (7, None):
+        rows = [(key, f"{line}\nalpha only"), (key, f"{line}\nbeta only"), (key, "gamma only\ndelta only")]
+        got = found(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), op.MIN_WORDS)
+        first = min(rows[:2], key=lambda r: rank(*r))
+        assert sorted(t for _, t, _ in got) == sorted(t if (i, t) == first else t.replace(line + "\n", "") for i, t in rows)
+
+
+def test_common_lines_across_batches(spark):
+    """A line in every row stays once, whatever the order in which a task meets the rows, and few copies are ranked."""
+    r = random.Random(5)
+    ids = r.sample(range(1000), 600)
+    rows = [(i, f"the line of every row\nown words {i}") for i in ids] + [(3000, "the line of every row")] * 500
+    frame = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20")
+    try:
+        ranked = op.pieces(frame, "doc_id", "text").groupBy("d1", "d2").agg({"spread": "count"}).count()
+        few = op.pieces(frame, "doc_id", "text").where("spread = 0").groupBy("d1", "d2").count()
+        assert ranked == 601 and few.agg({"count": "max"}).first()[0] < 30
+        got = {i: (t, n) for i, t, n in op.dedup(frame).select("doc_id", "text", "n_repeated").distinct().collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    least = min(ids)
+    assert got == {i: (f"own words {i}", 1) for i in ids if i != least} | {
+        least: (f"the line of every row\nown words {least}", 0), 3000: ("", 1)}

@@ -8,14 +8,17 @@ Two kinds of pieces go where an earlier piece equals them: whole lines, however
 repeated lines), and windows, which are units in a row that together reach `min_words` words, no more of them than
 that takes from their first unit on or back from their last. So a passage of that many words goes exactly if all of
 it stood in a row in one earlier place; short clauses that only happen to stand in different documents stay.
-The occurrence with the smallest rank (document id, then place) stays. Cut spans are in characters of the original text.
+The occurrence with the smallest rank (document id, then a hash of the text, then place) stays. Cut spans are in
+characters of the original text.
 
-Pieces are ranked per digest after one shuffle. What equals an earlier piece of its own batch is known to be later
-and is spread over the tasks, so a line that a third of all documents hold is sent to one task about once per batch.
+Pieces are ranked per digest after one shuffle. What equals an earlier piece of its own task is known to be later
+and is spread over the tasks, so a line that a third of all documents hold is sent to one task a few times per task
+that reads documents.
 
-Defined cases: a null or empty text has no units and comes back empty; ranks put null ids last; rows with equal
-id and text are one document, what is cut from one is cut from each; ties cannot occur otherwise; an empty table
-gives an empty result; extra columns travel along unread, and new columns get names of their own where names clash.
+Defined cases: a null or empty text has no units and comes back empty; ranks put null ids last; different texts under
+one id, or without one, are documents of their own, ranked by a hash of their text; rows with equal id and text are one
+document, what is cut from one is cut from each; an empty table gives an empty result; extra columns travel along
+unread, and new columns get names of their own where names clash.
 """
 
 from __future__ import annotations
@@ -36,8 +39,9 @@ CHUNK = 4 << 20
 CUTS = np.zeros(256, bool)
 CUTS[[ord(c) for c in ".,;:!?"]] = True
 LAST = (1 << 63) - 1  # rank of a null id
+COMMON = 1 << 16  # repeated digests a task remembers; more only means that more rows are ranked after the shuffle
 
-PIECES = "d1 long, d2 int, doc long, unit int, spread int"
+PIECES = "d1 long, d2 int, doc long, own long, unit int, spread int"
 
 
 def units_of(texts: list[bytes], shingler: Shingler) -> list[tuple[np.ndarray, ...]]:
@@ -96,34 +100,58 @@ def _rank(doc_id: str):
     return F.coalesce(F.col(doc_id).cast("long"), F.lit(LAST))
 
 
+def _own(text: str):
+    """Tells documents of one id apart."""
+    return F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit("")))
+
+
 def pieces(docs: DataFrame, doc_id: str, text: str, min_words: int = MIN_WORDS) -> DataFrame:
-    """(d1, d2, doc, unit, spread) of every piece; `unit` is its first. `spread` is 0, or a positive number where
-    the same batch holds an earlier equal."""
+    """(d1, d2, doc, own, unit, spread) of every piece; `unit` is its first. `spread` is 0, or a positive number where
+    the task knows an earlier equal."""
+    names = ["d1", "d2", "doc", "own", "unit", "spread"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(1)
+        common: dict[tuple[int, int], tuple[int, int, int]] = {}  # first place of digests that a batch repeats
         for batch in slices(batches, "text", CHUNK):
             found = [pieces_of(f, min_words) for f in
                      units_of([t.as_buffer().to_pybytes() for t in batch.column("text")], shingler)]
             d1, d2, unit = (np.concatenate([f[i] for f in found]) for i in range(3))
-            doc = np.repeat(batch.column("doc").to_numpy(), [len(f[0]) for f in found])
-            order = np.lexsort((unit, doc, d2, d1))
-            d1, d2, doc, unit = d1[order], d2[order], doc[order], unit[order]
+            sizes = [len(f[0]) for f in found]
+            doc, own = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("doc", "own"))
+            order = np.lexsort((unit, own, doc, d2, d1))
+            d1, d2, doc, own, unit = d1[order], d2[order], doc[order], own[order], unit[order]
             head = np.ones(len(d1), bool)
             head[1:] = (d1[1:] != d1[:-1]) | (d2[1:] != d2[:-1])
-            at = np.flatnonzero(head)[np.cumsum(head) - 1]
-            known = (doc != doc[at]) | (unit != unit[at])
-            spread = np.where(known, 1 + np.arange(len(d1)) % 65_536, 0).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(d1), pa.array(d2), pa.array(doc), pa.array(unit.astype(np.int32)),
-                                              pa.array(spread)], ["d1", "d2", "doc", "unit", "spread"])
-
-    slim = docs.select(_rank(doc_id).alias("doc"), F.col(text).cast("string").cast("binary").alias("text"))
+            heads = np.flatnonzero(head)
+            at = heads[np.cumsum(head) - 1]
+            later = (doc != doc[at]) | (own != own[at]) | (unit != unit[at])
+            several = np.diff(np.append(heads, len(d1))) > 1
+            held = np.isin(d1[heads], np.fromiter((k[0] for k in common), np.int64, len(common)))
+            for i in heads[several | held].tolist():
+                key, place = (int(d1[i]), int(d2[i])), (int(doc[i]), int(own[i]), int(unit[i]))
+                first = common.get(key)
+                if first is not None and first < place:
+                    j = i
+                    while j < len(d1) and at[j] == i and not later[j]:  # rows of the first place
+                        later[j] = True
+                        j += 1
+                elif first is not None or len(common) < COMMON:
+                    common[key] = place
+            spread = np.where(later, 1 + np.arange(len(d1)) % 65_536, 0).astype(np.int32)
+            columns = (d1, d2, doc, own, unit.astype(np.int32), spread)
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    slim = docs.select(_rank(doc_id).alias("doc"), _own(text).alias("own"),
+                       F.col(text).cast("string").cast("binary").alias("text"))
     return slim.where(F.octet_length("text") > 0).mapInArrow(run, PIECES)
 
 
 def later_pieces(found: DataFrame) -> DataFrame:
-    """(doc, unit, d1) of the pieces that an earlier one equals. Rows of one place share their rank."""
-    place = Window.partitionBy("d1", "d2", "spread").orderBy("doc", "unit")
-    return (found.withColumn("nth", F.rank().over(place)).where("spread > 0 OR nth > 1").select("doc", "unit", "d1"))
+    """(doc, own, unit, d1) of the pieces that an earlier one equals. Rows of one place share their rank."""
+    place = Window.partitionBy("d1", "d2", "spread").orderBy("doc", "own", "unit")
+    return (found.withColumn("nth", F.rank().over(place)).where("spread > 0 OR nth > 1")
+            .select("doc", "own", "unit", "d1"))
 
 
 def cut_spans(text: bytes, found: tuple[np.ndarray, ...], repeated: np.ndarray) -> list[tuple[int, int]]:
@@ -137,10 +165,12 @@ def cut_spans(text: bytes, found: tuple[np.ndarray, ...], repeated: np.ndarray)
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
     """The documents with repeated passages cut out of `text`, and columns n_units, n_repeated (units of
     repeated lines and passages), cut_spans (start_char, end_char in the original text) and cut_chars."""
-    rank, marks = (free_name(docs.columns, c) for c in ("rank_key", "mark_rows"))
+    rank, own, marks = (free_name(docs.columns, c) for c in ("rank_key", "text_key", "mark_rows"))
     later = settle(later_pieces(pieces(docs, doc_id, text, min_words)))
-    listed = later.groupBy(F.col("doc").alias(rank)).agg(F.collect_list(F.struct("unit", "d1")).alias(marks))
-    whole = docs.withColumn(rank, _rank(doc_id)).join(listed, rank, "left")
+    # A set, as rows with equal id and text bring the same marks.
+    listed = later.groupBy(F.col("doc").alias(rank), F.col("own").alias(own)).agg(
+        F.collect_set(F.struct("unit", "d1")).alias(marks))
+    whole = docs.withColumns({rank: _rank(doc_id), own: _own(text)}).join(listed, [rank, own], "left")
     added = [free_name(docs.columns, c) for c in ("n_units", "n_repeated", "cut_spans", "cut_chars")]
     schema = T.StructType([*docs.schema.fields, T.StructField(added[0], T.LongType()), T.StructField(added[1], T.LongType()),
                            T.StructField(added[2], T.ArrayType(T.StructType([
@@ -158,7 +188,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
                 n = len(found[0])
                 repeated = np.zeros(n, bool)
                 if listed_:
-                    # Another row with this id may have other pieces: the digest decides.
+                    # A line and a window may begin with one unit: the digest tells them apart.
                     d1, _, first, behind = pieces_of(found, min_words)
                     ends = dict(zip(zip(first.tolist(), d1.tolist()), behind.tolist()))
                     for m in listed_:
@@ -178,11 +208,11 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_words
                                                  sum(c["end_char"] - c["start_char"] for c in chars))):
                     column.append(value)
             columns = [pa.array(out, pa.string()) if i == at else batch.column(i) for i, c in enumerate(names)
-                       if c not in (rank, marks)]
+                       if c != marks]
             span = pa.list_(pa.struct([("start_char", pa.int64()), ("end_char", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*columns, pa.array(extra[0], pa.int64()), pa.array(extra[1], pa.int64()),
                                               pa.array(extra[2], span), pa.array(extra[3], pa.int64())],
-                                             [*[c for c in names if c not in (rank, marks)], *added])
+                                             [*[c for c in names if c != marks], *added])
 
     return whole.select(*[F.col(f"`{c}`") for c in docs.columns], marks).mapInArrow(run, schema)
 
