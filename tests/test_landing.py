@@ -6,6 +6,7 @@ from conftest import DEPARTMENTS, rows
 from pyspark.sql import functions as F
 
 from tillsight.schemas import LANDINGS
+from tillsight.sources import landing
 from tillsight.sources.csv_files import read_csv, split_bad
 from tillsight.sources.landing import LandingZone
 from tillsight.sources.warehouse import Warehouse
@@ -147,3 +148,29 @@ def test_warehouse_keeps_old_version_until_new_one_is_complete(spark, tmp_path):
     wh.prune("t", keep=1)
     assert wh.versions("t") == [4] and wh.table("t").count() == 1
     assert spark.sql("SELECT count(*) FROM t").first()[0] == 1
+
+
+def test_changed_opens_changed_files_only(spark, tmp_path, monkeypatch):
+    """Several loads of at most the named number of files; the scan of each opens its files and no others."""
+    inbox, zone = tmp_path / "in", LandingZone(Warehouse(spark, str(tmp_path / "wh")))
+    inbox.mkdir()
+    for i in range(12):
+        (inbox / f"department_{i:02d}.csv").write_text(f"h,h,h,h,h\n{i},1,2010-02-05,1.00,FALSE\n")
+    assert zone.load("department_raw", str(inbox)) == 12
+    for i in range(0, 12, 3):
+        (inbox / f"department_{i:02d}.csv").write_text(f"h,h,h,h,h\n{i},1,2010-02-05,1.00,FALSE\n{i},2,2010-02-05,2.00,FALSE\n")
+    opened = []
+    store = zone.store
+
+    def seen(lines, *args, **kwargs):
+        lines.collect()
+        scan = lines._jdf.queryExecution().executedPlan().collectLeaves().head()
+        opened.append(scan.metrics().apply("numFiles").value())
+        store(lines, *args, **kwargs)
+
+    monkeypatch.setattr(zone, "store", seen)
+    monkeypatch.setattr(landing, "FILES_A_LOAD", 3)
+    assert zone.load("department_raw", str(inbox), "changed") == 8
+    assert opened == [3, 1]
+    assert zone.table("department_raw").count() == 16
+    assert zone.load("department_raw", str(inbox), "changed") == 0

@@ -152,6 +152,28 @@ def test_streams(pipe, delivery):
     assert pipe.landing.table("fact_raw").count() == 4
 
 
+def test_key_delivered_twice_in_a_stream_batch(pipe, delivery, tmp_path):
+    """A repeated line, two values in one file and a late correction in one batch: one open version each."""
+    silver(pipe, delivery, T1)
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    older, newer = inbox / "department_a.csv", inbox / "department_b.csv"
+    head = "h,h,h,h,h\n"
+    older.write_text(head + "9,1,2010-02-05,5.00,FALSE\n" * 2 + "1,1,2010-02-05,7.00,FALSE\n8,1,2010-02-05,3.00,FALSE\n"
+                     + "8,1,2010-02-05,4.00,FALSE\n")
+    newer.write_text(head + "1,1,2010-02-05,6.00,FALSE\n")
+    os.utime(older, (1_700_000_000, 1_700_000_000))
+    os.utime(newer, (1_700_000_100, 1_700_000_100))
+    feed.start_snapshot(pipe, str(inbox), lambda b: T2, available_now=True).awaitTermination()
+    assert pipe.landing.table("department_raw").count() == 13
+    assert [r[0] for r in versions_of_first(pipe)] == ["24924.50", "6.00"]
+    opened = pipe.snapshot.current().where("store_id IN (8, 9)").selectExpr("store_id", "cast(store_weekly_sales AS string)")
+    assert rows(opened) == [(8, "4.00"), (9, "5.00")]
+    # The batch run that follows agrees with the stream.
+    pipe.build_dims(T3)
+    assert pipe.run_snapshot(T3) == {"opened": 0, "replaced": 0, "months_rewritten": 0}
+
+
 def test_rewritten_file_adds_its_new_weeks(pipe, delivery):
     """The documented replacement: the same file with four rows more."""
     silver(pipe, delivery, T1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,6 +50,11 @@ def read_csv(spark: SparkSession, path: str | list[str], landing: Landing) -> Da
     return _with_source(reader.csv(path))
 
 
+def only_files(lines: DataFrame, names: Sequence[str]) -> DataFrame:
+    """The lines of the named files. The names reach Spark as literals on the file path, so it opens only these."""
+    return lines.where(F.col("source_file").isin(list(names)))
+
+
 def stream_csv(spark: SparkSession, path: str, landing: Landing,
                max_files: int | None = None) -> DataFrame:
     """The same as a stream over files not seen before."""

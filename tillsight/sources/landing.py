@@ -19,13 +19,14 @@ Load modes
 from __future__ import annotations
 
 import logging
+from itertools import batched
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import AUDIT_COLUMNS, LANDINGS, Landing
-from .csv_files import CORRUPT, SOURCE_COLUMNS, clean, list_files, read_csv, stream_csv, with_audit
+from .csv_files import CORRUPT, SOURCE_COLUMNS, clean, list_files, only_files, read_csv, stream_csv, with_audit
 from .warehouse import Warehouse
 
 log = logging.getLogger(__name__)
@@ -36,6 +37,8 @@ FILES = T.StructType([
     T.StructField("bad_rows", T.LongType()), T.StructField("replaces", T.ArrayType(T.StringType())),
     T.StructField("load", T.StringType())])
 
+FILES_A_LOAD = 1000
+
 MODES = ("once", "changed", "force_append", "replace")
 
 
@@ -115,13 +118,18 @@ class LandingZone:
         columns = [*LANDINGS[table].columns, *AUDIT_COLUMNS]
         if not any(i.startswith("upsert-") for i in loads):
             return lines.select(*columns)
-        streamed = F.col("load").startswith("upsert-")
-        touched = lines.where(streamed).select(*key).distinct()
-        order = F.struct("insert_date", streamed.cast("int"), "load")
-        newest = (lines.join(touched, key, "left_semi").groupBy(*key)
-                  .agg(F.max_by(F.struct(*columns), order).alias("row")).select("row.*"))
+        touched = lines.where(F.col("load").startswith("upsert-")).select(*key).distinct()
+        newest = self._newest(lines.join(touched, key, "left_semi"), table, key)
         return lines.join(touched, key, "left_anti").select(*columns).unionByName(newest)
 
+    def _newest(self, lines: DataFrame, table: str, key: list[str]) -> DataFrame:
+        """One row per key: of the newest load, in it of the newest file, in that the greatest as text."""
+        columns = LANDINGS[table].columns
+        order = F.struct("insert_date", F.col("load").startswith("upsert-"), "load", "source_modified", "source_file",
+                         *columns)
+        return (lines.groupBy(*key).agg(F.max_by(F.struct(*columns, *AUDIT_COLUMNS), order).alias("row"))
+                .select("row.*"))
+
     def stream_lines(self, table: str) -> DataFrame:
         """Stream of the table's delivered columns over all landed files, of whatever load or generation."""
         base = self._base(table)
@@ -133,9 +141,12 @@ class LandingZone:
         """Malformed lines set aside, with the file they came from."""
         return self._lines(table).where("bad").select(CORRUPT, *SOURCE_COLUMNS, "insert_date")
 
-    def load_rows(self, table: str, load: str) -> DataFrame:
-        """Good rows of one load."""
-        return self._lines(table, [load]).where(~F.col("bad")).select(*LANDINGS[table].columns, *AUDIT_COLUMNS)
+    def load_rows(self, table: str, load: str, key: list[str]) -> DataFrame:
+        """Good rows of one load, of each key the one that ``settled`` takes; rows without a whole key all stay."""
+        lines = self._lines(table, [load]).where(~F.col("bad"))
+        whole = ~F.exists(F.array(*key), lambda part: part.isNull())
+        return (lines.where(~whole).select(*LANDINGS[table].columns, *AUDIT_COLUMNS)
+                .unionByName(self._newest(lines.where(whole), table, key)))
 
     def loaded_files(self, table: str, streamed: bool = True, without: str | None = None) -> DataFrame:
         """File states already loaded, by other loads than the one named."""
@@ -199,8 +210,9 @@ class LandingZone:
         return added
 
     def _load_listed(self, table: str, folder: str, mode: str, run_ts: str | None) -> None:
-        """Read the folder's files again: all of them, or those whose state is new. The reader lists the folder;
-        which of its lines to take is a join on the file's state, so no list of files passes the driver."""
+        """Read the folder's files again: all of them, or those whose state is new. The latter are named to the scan
+        in literal predicates on the file path, so that it opens no other file; each predicate names at most
+        ``FILES_A_LOAD`` and makes a load of its own, so the driver never holds more names than that."""
         landing = LANDINGS[table]
         files = list_files(self.spark, folder, landing)
         if mode == "force_append":
@@ -214,9 +226,10 @@ class LandingZone:
         live = self._files(table).select("source_file", "load").join(
             self._replaced(table), ["load", "source_file"], "left_anti")
         older = live.groupBy("source_file").agg(F.sort_array(F.collect_set("load")).alias("replaces"))
-        wanted = files.select("source_file")
-        self.store(read_csv(self.spark, folder, landing).join(wanted, "source_file", "left_semi"), table,
-                   self._next_load(table, self._current(table), "changed"), run_ts, replaces=older)
+        names = (r["source_file"] for r in files.select("source_file").orderBy("source_file").toLocalIterator())
+        for chosen in batched(names, FILES_A_LOAD):
+            self.store(only_files(read_csv(self.spark, folder, landing), chosen), table,
+                       self._next_load(table, self._current(table), "changed"), run_ts, replaces=older)
 
     def _load_new(self, table: str, folder: str, run_ts: str | None) -> None:
         query = (self.stream_writer(table, folder, run_ts)

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-from ..plans.pipeline import Pipeline
+from ..plans.pipeline import DEPARTMENT_KEY, Pipeline
 from ..schemas import LANDINGS
 from ..sources.csv_files import SOURCE_COLUMNS, stream_csv
 
@@ -28,8 +28,9 @@ def start_snapshot(pipeline: Pipeline, folder: str, run_ts_of, available_now: bo
     upsert the dimensions from its rows, then version its sales.
 
     ``run_ts_of(batch_id)`` gives the run time. A streamed row stands for earlier landed rows of its key, so a
-    batch run that follows finds nothing changed. A key delivered twice in one batch fails the batch before its
-    sales are versioned; a batch that is retried lands under the same name and finds nothing changed.
+    batch run that follows finds nothing changed. Of a key delivered several times in one batch, by a repeated line or
+    a correction behind it, the row of the newest file is versioned, and in one file the greatest as text; all of
+    them are landed. A batch that is retried lands under the same name and finds nothing changed.
     """
     table = "department_raw"
     landing = LANDINGS[table]
@@ -38,7 +39,7 @@ def start_snapshot(pipeline: Pipeline, folder: str, run_ts_of, available_now: bo
         run_ts, load = run_ts_of(batch_id), f"upsert-{batch_id:06d}"
         known = pipeline.landing.loaded_files(table, without=load)
         pipeline.landing.store(batch.join(known, SOURCE_COLUMNS, "left_anti"), table, load, run_ts)
-        rows = pipeline.landing.load_rows(table, load)
+        rows = pipeline.landing.load_rows(table, load, DEPARTMENT_KEY)
         if rows.isEmpty():  # every line malformed, or every file landed before
             return
         pipeline.build_dims(run_ts, delivered=rows)
