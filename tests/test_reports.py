@@ -90,6 +90,25 @@ def test_storetype_reports(spark):
     assert rows(storetypes.month_pivot(df)) == rows(storetypes.month_totals(df).where("sales_month < 99"))
 
 
+def test_storetypes_that_occur(spark):
+    """Columns follow the types found, names never clash, and the long form holds the same figures."""
+    from decimal import Decimal as D
+    df = spark.createDataFrame([("A", 1, D(1)), ("a", 1, D(2)), ("Other", 2, D(4)), ("D", 1, D(8)), (None, 2, D(16))],
+                               "store_type string, sales_month int, total_sales decimal(38,2)")
+    types = storetypes.store_types(df)
+    assert types == ["A", "D", "Other", "a"]
+    wide = storetypes.month_totals(df, types)
+    assert wide.columns[2:] == ["type_a", "type_d", "type_other_2", "type_a_2", "type_other"]
+    assert rows(wide) == [(1, "Jan", D(1), D(8), None, D(2), None), (2, "Feb", None, None, D(4), None, D(16)),
+                          (99, "TOTAL", D(1), D(8), D(4), D(2), D(16))]
+    long = {(t, m): v for t, m, _, v in rows(storetypes.month_long(df))}
+    assert long == {("A", 1): D(1), ("D", 1): D(8), ("a", 1): D(2), ("Other", 2): D(4), (None, 2): D(16),
+                    ("A", 99): D(1), ("D", 99): D(8), ("a", 99): D(2), ("Other", 99): D(4), (None, 99): D(16)}
+    with pytest.raises(ValueError, match="month_long"):
+        storetypes.store_types(df, most=3)
+    assert storetypes.store_types(df.limit(0)) == [] and storetypes.month_totals(df.limit(0), []).columns[2:] == ["type_other"]
+
+
 def test_trends(spark):
     df = spark.createDataFrame([(float(x), 3.0 * x + 2) for x in range(5)] + [(None, 1.0)],
                                "avg_fuel_price double, avg_weekly_sales double")

@@ -367,3 +367,19 @@ def storetype_month_totals(r: Retail) -> DataFrame:
     + f" FROM ({_TOTALS})")
 def storetype_month_table(r: Retail) -> DataFrame:
     return storetypes.month_table(r.by_type)
+
+
+_LONG = "SELECT store_type, {} AS sales_month, {} AS month_name, " + _TYPE_SUM.format("true") + " AS total_sales FROM by_type GROUP BY {}"
+
+
+@query("storetype_month_found", f"SELECT sales_month, {_MONTH_NAME}, {', '.join(_OF_TYPE)} FROM ({_PIVOT})")
+def storetype_month_found(r: Retail) -> DataFrame:
+    """The pivot with a column for each type that occurs."""
+    return storetypes.month_pivot(r.by_type, storetypes.store_types(r.by_type))
+
+
+@query("storetype_month_long",
+       _LONG.format("sales_month", _MONTH_NAME.removesuffix(" AS month_name"), "store_type, sales_month")
+       + " UNION ALL " + _LONG.format("99", "'TOTAL'", "store_type"))
+def storetype_month_long(r: Retail) -> DataFrame:
+    return storetypes.month_long(r.by_type)
