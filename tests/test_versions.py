@@ -106,3 +106,39 @@ def test_any_sequence_of_batches(spark, batches):
     got = rows(h.select("key", "a", F.date_format("dbt_valid_from", "yyyy-MM-dd HH:mm:ss"),
                         F.date_format("dbt_valid_to", "yyyy-MM-dd HH:mm:ss")))
     assert got == replay(batches)
+
+
+def delivered(spark, *items):
+    return spark.createDataFrame(list(items), "store int, dept int, at string, a int, b int").withColumn(
+        "at", F.col("at").cast("timestamp"))
+
+
+def test_deliveries_in_one_pass_open_the_same_versions(spark):
+    """Keys may be null in part; 'gone' stays open, 'back' is compared with the version before it was missing."""
+    items = [(1, 1, T[0], 1, None), (1, 1, T[2], 1, None), (1, 1, T[4], 2, None),
+             (None, 2, T[0], 5, 5), (None, 2, T[2], None, 5), (3, None, T[0], 7, 7),
+             (4, 4, T[0], 8, 8), (4, 4, T[4], 8, 9), (5, 5, T[2], 0, 0)]
+    both = delivered(spark, *items).withColumn("key", F.concat_ws("-", F.coalesce("store", F.lit(0)), F.coalesce("dept", F.lit(0))))
+    runs = [both.where(F.col("at") == F.lit(t).cast("timestamp")).drop("at") for t in (T[0], T[2], T[4])]
+    h = v.open_version(runs[0], "key", T[0])
+    for src, t in zip(runs[1:], (T[2], T[4]), strict=True):
+        h = v.apply_versions(h, src, "key", CHECK, t)
+    out = v.with_version_id(v.versions_of_deliveries(both, ["store", "dept"], CHECK, "at"), "key")
+    assert rows(out, *h.columns) == rows(h) and out.count() == 8
+
+
+def test_deliveries_refuse_a_key_twice_in_one(spark):
+    out = v.versions_of_deliveries(delivered(spark, (1, None, T[0], 1, 1), (1, None, T[0], 1, 1)), ["store", "dept"], CHECK, "at")
+    with pytest.raises(Exception, match="duplicate key in the source"):
+        out.collect()
+
+
+def test_two_deliveries_read_the_lines_as_often_as_one(spark, tmp_path):
+    """One pass for both deliveries' sales, one for the economics, one for the calendar."""
+    from tillsight import fixtures
+    from tillsight.registry import QUERIES
+
+    for name, schema in (("lineitem", fixtures.LINEITEM), ("part", fixtures.PART), ("supplier", fixtures.SUPPLIER)):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    plan = QUERIES["scd2_snapshot"](spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("Relation" in line and "l_shipdate" in line for line in plan.splitlines()) == 3

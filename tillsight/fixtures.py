@@ -69,19 +69,27 @@ def stores_raw(spark: SparkSession, folder: str) -> DataFrame:
 
 def department_raw(spark: SparkSession, folder: str, net: bool = True) -> DataFrame:
     """Weekly sales per store and department; returned lines count negative unless ``net`` is off."""
+    return _departments(spark, folder, {"weekly_sales": net})
+
+
+def department_both(spark: SparkSession, folder: str) -> DataFrame:
+    """``department_raw`` with the gross amounts as ``gross_sales`` beside the net ones, from one pass over the lines."""
+    return _departments(spark, folder, {"weekly_sales": True, "gross_sales": False})
+
+
+def _departments(spark: SparkSession, folder: str, amounts: dict[str, bool]) -> DataFrame:
     part = _read(spark, folder, "part", PART).select(
         F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("dept_id"))
-    amount = F.col("amount")
-    if net:
-        amount = F.when(F.col("l_returnflag") == "R", -amount).otherwise(amount)
-    grouped = (lines(spark, folder).join(part, "l_partkey")
-               .groupBy("store_id", "dept_id", "store_date").agg(F.sum(amount).alias("amount")))
+    gross = F.col("amount")
+    less_returns = F.when(F.col("l_returnflag") == "R", -gross).otherwise(gross)
+    grouped = (lines(spark, folder).join(part, "l_partkey").groupBy("store_id", "dept_id", "store_date")
+               .agg(*[F.sum(less_returns if net else gross).alias(name) for name, net in amounts.items()]))
     missing = (F.col("store_id") * 7 + F.col("dept_id")) % 97 == 0
     holiday = F.weekofyear("store_date").isin(HOLIDAY_WEEKS)
     return grouped.select(
         F.col("store_id").cast("string").alias("store_id"), F.col("dept_id").cast("string").alias("dept_id"),
         F.col("store_date").cast("string").alias("store_date"),
-        F.when(missing, F.lit("NA")).otherwise(_text(F.col("amount"))).alias("weekly_sales"),
+        *[F.when(missing, F.lit("NA")).otherwise(_text(F.col(name))).alias(name) for name in amounts],
         F.when(holiday, F.lit("TRUE")).otherwise(F.lit("FALSE")).alias("isholiday"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -16,14 +18,14 @@ def calendar_source(department_raw: DataFrame) -> DataFrame:
             .distinct())
 
 
-def number_dates(dates: DataFrame, start: int = 0) -> DataFrame:
-    """Dense ids in date order.
+def number_dates(dates: DataFrame, start: int = 0, per: Sequence[str] = ()) -> DataFrame:
+    """Dense ids in date order, for each value of ``per`` where it is given.
 
     One task sorts the whole input, which is the set of distinct calendar dates and so cannot grow
     past the calendar, whatever the number of sales behind it.
     """
-    order = W.orderBy("store_date", "isholiday")
-    return dates.select((F.row_number().over(order) + F.lit(start)).cast("bigint").alias("date_id"),
+    order = W.partitionBy(*per).orderBy("store_date", "isholiday")
+    return dates.select(*per, (F.row_number().over(order) + F.lit(start)).cast("bigint").alias("date_id"),
                         "store_date", "isholiday")
 
 

@@ -16,13 +16,14 @@ ENRICHED_COLUMNS = [KEY, "store_id", "dept_id", "date_id", "store_date", "store_
                     *CHECK_COLUMNS]
 
 
-def sales(department_raw: DataFrame) -> DataFrame:
-    """Typed weekly sales per store, department and date."""
+def sales(department_raw: DataFrame, *amounts: str) -> DataFrame:
+    """Typed weekly sales per store, department and date; ``amounts`` are further columns typed alike."""
     return department_raw.where(F.col("store_date").isNotNull()).select(
         to_int("store_id").alias("store_id"),
         to_int("dept_id").alias("dept_id"),
         parse_date("store_date").alias("store_date"),
-        try_decimal("weekly_sales", 18, 2).alias("store_weekly_sales"))
+        try_decimal("weekly_sales", 18, 2).alias("store_weekly_sales"),
+        *[try_decimal(a, 18, 2).alias(a) for a in amounts])
 
 
 def economics(fact_raw: DataFrame) -> DataFrame:

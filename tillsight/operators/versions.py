@@ -83,6 +83,31 @@ def apply_versions(history: DataFrame, source: DataFrame, key: str, check_cols:
     return closed.unionByName(joined.select(F.inline(rows)).select(*columns))
 
 
+def versions_of_deliveries(rows: DataFrame, match: list[str], check_cols: list[str], delivered: str,
+                           names: VersionColumns = NAMES) -> DataFrame:
+    """Every version that a sequence of deliveries opens, in one pass.
+
+    The rows are those of ``open_version`` on the first delivery and ``apply_versions`` on each later one: a key opens
+    a version where it comes first or differs from its delivery before, and the next version ends it. ``match`` are the
+    columns behind the key, nulls equal; ``delivered`` is the timestamp of a row's delivery. Rows that an earlier step
+    has dealt by some of ``match`` are not dealt again. A key twice in one delivery aborts the job. ``scd_id`` is left
+    to ``with_version_id``, so that no hash is carried through the sort.
+    """
+    history = W.partitionBy(*match).orderBy(delivered)
+    checked = F.struct(*[F.col(c) for c in check_cols])
+    placed = rows.withColumns({"_last": F.lag(delivered).over(history), "_was": F.lag(checked).over(history)})
+    twice = F.concat(F.lit("duplicate key in the source: "), F.to_json(F.struct(*match)))
+    opens = (F.when(F.col("_last") == F.col(delivered), F.raise_error(twice).cast("boolean"))
+             .otherwise(F.col("_last").isNull() | ~checked.eqNullSafe(F.col("_was"))))
+    return placed.where(opens).drop("_last", "_was").withColumns({
+        names.updated_at: F.col(delivered), names.valid_from: F.col(delivered),
+        names.valid_to: F.lead(delivered).over(history)})
+
+
+def with_version_id(history: DataFrame, key: str, names: VersionColumns = NAMES) -> DataFrame:
+    return history.withColumn(names.scd_id, version_id(key, F.col(names.valid_from)))
+
+
 # --- reading ---------------------------------------------------------------------------------
 
 def current_rows(history: DataFrame, names: VersionColumns = NAMES) -> DataFrame:
@@ -96,9 +121,10 @@ def as_of(history: DataFrame, ts: str, names: VersionColumns = NAMES) -> DataFra
     return history.where((F.col(names.valid_from) <= at) & (ends.isNull() | (ends > at)))
 
 
-def version_history(history: DataFrame, key: str, names: VersionColumns = NAMES) -> DataFrame:
-    """Every version with its place in the key's history; a key has at most one version per run."""
-    order = W.partitionBy(key).orderBy(names.valid_from)
+def version_history(history: DataFrame, *key: str, names: VersionColumns = NAMES) -> DataFrame:
+    """Every version with its place in the history of its key, or of the columns behind the key; a key has at most one
+    version per run."""
+    order = W.partitionBy(*key).orderBy(names.valid_from)
     return history.withColumn("version_no", F.row_number().over(order).cast("bigint"))
 
 

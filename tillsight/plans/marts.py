@@ -115,7 +115,8 @@ def sales_by_dept_of_months(months: DataFrame) -> DataFrame:
 
 def sales_by_store(rows: DataFrame, stores: DataFrame, dates: DataFrame, fan_out: bool = True) -> DataFrame:
     """Figures per store, type, size and holiday flag."""
-    flagged = rows.join(dates.select("store_date", "isholiday"), "store_date")
+    # A calendar is bounded whatever the sales; unhinted, store-weeks are dealt by date before it is measured.
+    flagged = rows.join(F.broadcast(dates.select("store_date", "isholiday")), "store_date")
     merged = flagged.groupBy("store_id", "isholiday").agg(
         F.count_distinct("store_date").alias("weeks_of_data"),
         F.sum(f"{SALES}_sum").alias(f"{SALES}_sum"), F.sum(f"{SALES}_n").alias(f"{SALES}_n"),
