@@ -12,10 +12,13 @@ the run before, and a repeated run overwrites its own leftovers.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.keys import version_id
 from ..schemas import CHECK_COLUMNS, VersionColumns
 from ..sources.warehouse import Warehouse
 from .facts import KEY
@@ -163,9 +166,15 @@ class SnapshotTable:
         self.wh.commit(self._path("commits", _run(now)))
 
     def _store(self, rows: DataFrame, now: int) -> None:
-        """Few files per month; a month too big for one task is split over several."""
-        (rows.hint("rebalance", MONTH).write.mode("overwrite").partitionBy(MONTH)
-         .parquet(self._path("current", _run(now))))
+        """Few files per month; a month too big for one task is split over several. Version ids are hashes that hardly
+        compress, so they are made after rows are dealt, and files are written with zstd."""
+        id_ = self.names.scd_id
+        dealt = (rows.drop(id_).hint("rebalance", MONTH)
+                 .withColumn(id_, version_id(self.key, F.col(self.names.updated_at))).select(*rows.columns))
+        self._write(dealt, "current", _run(now), by=[MONTH])
+
+    def _write(self, rows: DataFrame, *parts: str, by: Sequence[str] = ()) -> None:
+        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(self._path(*parts))
 
     def _write_first(self, source: DataFrame, now: int, run_ts: str) -> list:
         """No open rows yet: every source row is new, so it is written once."""
@@ -183,7 +192,7 @@ class SnapshotTable:
         """Write down what changed, then rewrite the months it touches from that small table."""
         known = self._read_months(months) if months else self.spark.createDataFrame([], source.schema)
         delta = differences(known, source, self.key, self.check_cols)
-        delta.write.mode("overwrite").parquet(self._path("changes", _run(now)))
+        self._write(delta, "changes", _run(now))
         delta = self.spark.read.parquet(self._path("changes", _run(now)))
         stats = delta.groupBy(MONTH).agg(F.count_if("is_new").alias("n"),
                                          F.count_if(~F.col("is_new")).alias("c")).collect()
@@ -198,7 +207,7 @@ class SnapshotTable:
             if any(r.c for r in stats):
                 ended = (before.join(keys, self.key, "left_semi")
                          .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
-                ended.drop(MONTH).write.mode("overwrite").parquet(self._path("closed", f"{ENDED}={run_ts[:7]}", _run(now)))
+                self._write(ended.drop(MONTH), "closed", f"{ENDED}={run_ts[:7]}", _run(now))
             fresh = before.join(keys, self.key, "left_anti").unionByName(fresh.select(*before.columns))
         self._store(fresh, now)
         return stats

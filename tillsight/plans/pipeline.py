@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, field
@@ -130,13 +130,17 @@ class Pipeline:
         log.info("%s: %d of %d months aggregated", name, len(stale), len(months))
         return self.spark.read.parquet(path).drop(MONTH, "written_by")
 
-    def build_marts(self, run_ts: str | None = None) -> None:
-        """Six marts and the holiday figures, from two stored aggregates that follow the versioned table by month."""
+    def build_marts(self, run_ts: str | None = None, only: Sequence[str] = MARTS) -> None:
+        """Six marts and the holiday figures, or ``only`` some of them, from two stored aggregates that follow the
+        versioned table by month."""
         dates, stores = self.wh.table(DATE_DIM), self.wh.table(STORE_DIM)
-        with self._step("store_week"):
-            weeks = self._monthly(STORE_WEEK, marts.store_week)
-        with self._step("dept_month"):
-            depts = self._monthly(DEPT_MONTH, marts.dept_month)
+        weeks = depts = None
+        if set(only) - {"sales_by_dept"}:
+            with self._step("store_week"):
+                weeks = self._monthly(STORE_WEEK, marts.store_week)
+        if "sales_by_dept" in only:
+            with self._step("dept_month"):
+                depts = self._monthly(DEPT_MONTH, marts.dept_month)
         plans = {
             "sales_by_dept": lambda: marts.sales_by_dept_of_months(depts),
             "sales_by_store": lambda: marts.sales_by_store(weeks, stores, dates),
@@ -145,8 +149,9 @@ class Pipeline:
             "markdown_by_year_store": lambda: marts.markdown_by_year_store(weeks, stores),
             "economic_factors": lambda: marts.economic_factors(weeks),
         }
-        self._together({name: partial(self._build_mart, name, plan, run_ts) for name, plan in plans.items()})
-        self._build_mart("holiday_impact", lambda: holiday.summary(self.mart("sales_by_store")), run_ts)
+        self._together({name: partial(self._build_mart, name, plan, run_ts) for name, plan in plans.items() if name in only})
+        if "holiday_impact" in only:
+            self._build_mart("holiday_impact", lambda: holiday.summary(self.mart("sales_by_store")), run_ts)
 
     def _build_mart(self, name: str, plan: Callable[[], DataFrame], run_ts: str | None) -> None:
         with self._step(name):
