@@ -82,6 +82,59 @@ def test_long_lines(spark):
         (2, 1, 1), (3, 1, 1)]
 
 
+def up_to_one(a, b):
+    """Whether one edit at most leads from one text to the other, as a distance; quick for long texts."""
+    short, long = sorted((a, b), key=len)
+    at = next((i for i, (x, y) in enumerate(zip(short, long)) if x != y), len(short))
+    return 0 if a == b else 1 if long[at + 1:] == short[at + (len(short) == len(long)):] else 2
+
+
+def generated_rows(frame):
+    """Rows that the frame's generators made, once it has run."""
+    frame.collect()
+
+    def count(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return count(node.executedPlan())
+        if "QueryStage" in name:
+            return count(node.plan())
+        children = node.children()
+        own = node.metrics().apply("numOutputRows").value() if name == "Generate" else 0
+        return own + sum(count(children.apply(i)) for i in range(children.size()))
+
+    return count(frame._jdf.queryExecution().executedPlan())
+
+
+def test_keys_for_the_places_that_differ_only(spark, monkeypatch):
+    r = random.Random(5)
+    head, tail = ("".join(r.choice("abcdefgh ") for _ in range(n)) for n in (300, 500))
+    rows = [(i, f"x{head}{i:03d}{tail}x") for i in range(200)]
+    made, neighbours = [], op.neighbours
+    monkeypatch.setitem(globals(), "distance", up_to_one)
+    monkeypatch.setattr(op, "neighbours", lambda texts: made.append(neighbours(texts)) or made[0])
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert found(frame) == brute(spark, rows)
+    # Lines of 805 characters that differ in three: a few places each, not an eighth of the line.
+    assert 0 < generated_rows(made[0]) < 200 * 2 * 805 / 24
+
+
+def test_lengths_around_the_number_of_pieces(spark, monkeypatch):
+    r = random.Random(8)
+    monkeypatch.setitem(globals(), "distance", up_to_one)
+    rows = []
+    for n in (*range(12, 20), 31, 32, 33, 62, 63, 64, 65, 66, 127, 128, 129, 200):
+        base = "".join(r.choice("abcdefgh") for _ in range(n))
+        lines = [base]
+        for at in sorted({0, 1, n // 2 - 1, n // 2, n // 2 + 1, n - 2, n - 1, *(r.randrange(n) for _ in range(4))}):
+            lines += [base[:at] + "#" + base[at + 1:], base[:at] + base[at + 1:], base[:at] + "%" + base[at:]]
+        lines += [base + "$", base[::-1]]
+        r.shuffle(lines)
+        rows += [(len(rows) + k, line) for k, line in enumerate(lines)]
+    r.shuffle(rows)
+    assert found(spark.createDataFrame(rows, "doc_id long, text string")) == brute(spark, rows)
+
+
 def test_removal(spark, odd_docs, no_docs):
     rows = [(1, "keep this line here\nother"), (2, "x\nkeep this line herE \n\nend"), (3, None), (4, "keep this line hare")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")

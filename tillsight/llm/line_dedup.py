@@ -8,10 +8,12 @@ the place (to meet lines that differ there), and one key of itself. Each member
 only: no pairs among a key's members are made, and the earliest is all that "keep the earliest" needs. Each match
 is verified by its edit distance.
 
-Only keys that can meet another line are emitted, found by two screens that lose nothing. With one edit, the first or
+Only keys that can meet another line are emitted, found by three screens that lose nothing. With one edit, the first or
 the second half of the shorter length stays as it is: a line whose halves no other line has emits none. What passes is
-cut into PIECES pieces: an edit inside a piece leaves what stands before and behind that piece as it is, so a line
-emits keys for the places of a piece only if another line has the same text around that piece.
+cut into PIECES pieces: an edit inside a piece leaves what stands before and behind that piece as it is, so only
+pieces count around which another line has the same text. These are cut into PIECES pieces each and held to the same
+test, and a line emits keys for the places of those that pass: a group of long lines that differ within a few characters
+emits keys for these, not for an eighth of each line.
 
 A line goes when an earlier line equals it, or lies within one edit while both have `min_chars` characters at
 least: below that, one edit makes another word. What is kept or not never depends on other removals.
@@ -25,6 +27,8 @@ extra columns are never read. Keys are rows of their own and never held together
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,7 +37,7 @@ from .common import free_name, settle
 MIN_CHARS = 12
 LAST = (1 << 63) - 1  # rank of a null id
 SMALL = 1_000_000  # lines (up to 80 MB) that are broadcast; beyond, all but the most frequent are joined
-PIECES = 8
+PIECES = 8  # of a line, and again of each piece that passes
 
 
 def _rank(docs: DataFrame, doc_id: str, text: str) -> list[Column]:
@@ -105,29 +109,59 @@ def candidates(distinct: DataFrame, min_chars: int) -> DataFrame:
                                       for name, own in (("own", True), ("less", False)) for edit in ("second", "first")])
 
 
-def refined(texts: DataFrame) -> DataFrame:
-    """(key, by_place, by_size, whole): the pieces, as bits, in which a line can differ from one of its size or from one
-    that is shorter, and whether a longer one can differ from it."""
+def _bit(j: Column) -> Column:
+    return F.call_function("shiftleft", F.lit(1).cast("long"), j)
+
+
+def refined(texts: DataFrame, pieces: int, wanted: Callable[[Column, Column], Column]) -> DataFrame:
+    """(key, own_bits, less_bits, by_place, whole): the pieces, as bits, around which another line has the same text, of
+    the line itself (own) and of its forms one shorter (less); those of its own in which a line of its size can differ, and
+    whether a longer one can differ from it. `wanted` says of a piece, and of whether it is an own one, if it is looked at."""
     j, size = F.col("j"), F.length("norm")
 
+    def before(n: Column, at: Column) -> Column:
+        """Number of characters before a piece."""
+        return F.floor(n.cast("long") * at / pieces).cast("int")
+
     def around(n: Column, more: int) -> Column:
-        start, end = F.expr("1"), F.floor(n * (j + 1) / PIECES).cast("int") + more
-        before = F.substring("norm", start, F.floor(n * j / PIECES).cast("int"))
-        return F.xxhash64(n, j, before, F.substring("norm", end + 1, size))
+        rest = F.substring("norm", before(n, j + 1) + (more + 1), size)
+        return F.xxhash64(n, j, F.substring("norm", F.lit(1), before(n, j)), rest)
 
-    def wanted(i: Column) -> Column:
-        half = F.pmod(i, F.lit(PIECES)) >= PIECES // 2
-        return F.when(i < PIECES, F.when(half, F.col("own_second")).otherwise(F.col("own_first"))).otherwise(
-            F.when(half, F.col("less_second")).otherwise(F.col("less_first")))
+    def looked_at(i: Column) -> Column:
+        at, own = F.pmod(i, F.lit(pieces)), i < pieces
+        n = F.when(own, size).otherwise(size - 1)
+        return (before(n, at) < before(n, at + 1)) & wanted(at, own)  # an empty piece holds no place
 
-    numbers = F.filter(F.sequence(F.lit(0), F.lit(2 * PIECES - 1)), wanted)
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(2 * pieces - 1)), looked_at)
     spread = texts.select("key", "norm", F.explode(numbers).alias("e")).select(
-        "key", "norm", (F.col("e") % PIECES).alias("j"), (F.col("e") < PIECES).alias("own"))
+        "key", "norm", (F.col("e") % pieces).alias("j"), (F.col("e") < pieces).alias("own"))
     entries = spread.select("key", "own", "j", F.when(F.col("own"), around(size, 0)).otherwise(around(size - 1, 1)).alias("rest"))
-    met, bit = _shared(entries, "rest"), F.call_function("shiftleft", F.lit(1), j)
-    return met.groupBy("key").agg(F.bit_or(F.when(F.col("own") & (F.col("size") > 1), bit).otherwise(0)).alias("by_place"),
-                                  F.bit_or(F.when(~F.col("own"), bit).otherwise(0)).alias("by_size"),
-                                  F.max(F.col("own") & (F.col("longer") > 0)).alias("whole"))
+
+    def bits(which: Column) -> Column:
+        return F.bit_or(F.when(which, _bit(j)).otherwise(0))
+
+    return _shared(entries, "rest").groupBy("key").agg(
+        bits(F.col("own")).alias("own_bits"), bits(~F.col("own")).alias("less_bits"),
+        bits(F.col("own") & (F.col("size") > 1)).alias("by_place"),
+        F.max(F.col("own") & (F.col("longer") > 0)).alias("whole"))
+
+
+def _by_half(j: Column, own: Column) -> Column:
+    second = j >= PIECES // 2
+    return F.when(own, F.when(second, F.col("own_second")).otherwise(F.col("own_first"))).otherwise(
+        F.when(second, F.col("less_second")).otherwise(F.col("less_first")))
+
+
+def _by_piece(j: Column, own: Column) -> Column:
+    bits = F.when(own, F.col("own_bits")).otherwise(F.col("less_bits"))
+    return bits.bitwiseAND(_bit(F.floor(j / PIECES).cast("int"))) != 0
+
+
+def sifted(texts: DataFrame) -> DataFrame:
+    """The lines that pass both cuts into pieces, with the bits of the second."""
+    coarse = settle(texts.join(refined(texts, PIECES, _by_half), "key").drop(*NEEDS, "by_place", "whole"))
+    fine = refined(coarse, PIECES * PIECES, _by_piece).withColumnRenamed("less_bits", "by_size").drop("own_bits")
+    return settle(coarse.drop("own_bits", "less_bits").join(fine, "key"))
 
 
 def neighbours(texts: DataFrame) -> DataFrame:
@@ -140,8 +174,9 @@ def neighbours(texts: DataFrame) -> DataFrame:
 
     def within(bits: str, n: Column, at: Column) -> Column:
         """Whether a place, from 1, lies in one of the pieces."""
-        piece = F.least(F.floor((at * PIECES - 1) / n).cast("int"), F.lit(PIECES - 1))
-        return F.col(bits).bitwiseAND(F.call_function("shiftleft", F.lit(1), piece)) > 0
+        pieces = PIECES * PIECES
+        piece = F.least(F.floor((at.cast("long") * pieces - 1) / n).cast("int"), F.lit(pieces - 1))
+        return F.col(bits).bitwiseAND(_bit(piece)) != 0
 
     less = F.concat(F.substring("norm", F.lit(1), i - 1), F.substring("norm", i + 1, size))
     places = F.filter(F.sequence(F.lit(1), size), lambda at: within("by_place", size, at) | within("by_size", size - 1, at))
@@ -184,9 +219,8 @@ def gone_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     first = distinct.where(F.col("chars") >= min_chars).select("key", *PLACE)
     texts = settle(every.select(_digest("norm").alias("key"), "norm").withColumn("short", _short("key")).join(few, "short")
                    .dropDuplicates(["key"]).join(first, "key"))
-    finer = texts.drop(*NEEDS).join(refined(texts), "key")
     verdicts = settle(distinct.select("key", F.struct(*PLACE).alias("first"), "n").join(
-        neighbours(settle(finer)), "key", "left").where("n > 1 OR near IS NOT NULL"))
+        neighbours(sifted(texts)), "key", "left").where("n > 1 OR near IS NOT NULL"))
     total = distinct.agg(F.sum("n")).first()[0] or 0
     placed = _with_verdicts(every.select(*PLACE, _digest("norm").alias("key")), verdicts, total)
     equal = F.struct(*PLACE) != F.col("first")
