@@ -10,7 +10,7 @@ ones. The product of all factors is the R of a QR decomposition of the centred r
 values and right vectors give the covariance's eigenvalues and components without squaring the condition number.
 
 Where directions hold no variance (fewer vectors than dimensions, constant or repeated ones), the rows are rotated out
-of them before the plain passes; such directions have no component.
+of them before the plain passes, unless rounding has filled them; either way such directions have no component.
 
 Defined cases: a vector that is null, empty, or holds null, non-finite entries or entries of 2^50 and more takes no
 part; so do vectors of another length than most have (the longer length where two are as frequent). Null and repeated
@@ -37,6 +37,7 @@ COMPONENTS = 8
 BLOCK = 1 << 20  # numbers that a task multiplies at once
 UNIT = np.finfo(np.float64).eps / 2
 ROUNDS = 3  # shifted passes at most
+NOISE = 8  # units of rounding a dimension, below which a direction of equally long dimensions counts as empty
 FULL = 1e-6  # smallest eigenvalue of a Gram matrix, against its largest, from which plain passes follow
 
 
@@ -180,6 +181,14 @@ def upper(matrix: np.ndarray) -> np.ndarray:
     return np.linalg.cholesky(matrix).T
 
 
+def rank(triangle: np.ndarray, norms: np.ndarray) -> int:
+    """Number of directions with variance. The shifted passes also raise what rounding left where there is none; per
+    dimension that is some units in the last place of its norm, so it is told apart once all norms are one."""
+    scaled = triangle[:, norms > 0] / norms[norms > 0]
+    singular = np.linalg.svd(scaled, compute_uv=False)
+    return int((singular > NOISE * scaled.shape[1] * UNIT * singular[0]).sum())
+
+
 def fit(points: DataFrame, d: int, components: int = COMPONENTS) -> Whitening | None:
     """None where no direction has variance."""
     middle = centre(points, d)
@@ -206,8 +215,9 @@ def fit(points: DataFrame, d: int, components: int = COMPONENTS) -> Whitening |
         g = kept.T @ g @ kept
     factors.steps.append(("solve", upper(g)))
     factors.steps.append(("solve", upper(passed())))
-    _, singular, right = np.linalg.svd(factors.triangle(d), full_matrices=False)
-    k = min(components, int((singular > 0).sum()))
+    triangle = factors.triangle(d)
+    _, singular, right = np.linalg.svd(triangle, full_matrices=False)
+    k = min(components, rank(triangle, np.sqrt(np.diag(first))))
     chosen = right[:k].T
     # Either sign is right; the largest entry's is made positive so that reruns agree.
     chosen = chosen * np.sign(chosen[np.abs(chosen).argmax(axis=0), np.arange(k)])
