@@ -87,15 +87,19 @@ class SnapshotTable:
         return self._read_months(months).drop(MONTH)
 
     def closed(self, after: str | None = None) -> DataFrame:
-        """Closed rows, or those that ended after a time: Spark prunes the months before it and the runs that do not
-        count from the folders' names."""
+        """Closed rows, or those that ended after a time: months before it are not listed, and Spark prunes the runs that
+        do not count from the folders' names."""
         last, base = self.last_run(), self._path("closed")
         template = self.current()
         months = self.wh.folders(base, ENDED)
+        if after is not None:
+            first = self.spark.sql("SELECT date_format(CAST(:at AS TIMESTAMP), 'yyyy-MM')", args={"at": after}).first()[0]
+            months = [m for m in months if first is not None and m >= first]
         if not months:
             return template.limit(0)
         schema = T.StructType([*template.schema.fields, T.StructField(ENDED, T.StringType()), T.StructField("run", T.IntegerType())])
-        rows = self.spark.read.schema(schema).option("basePath", base).parquet(base).where(F.col("run") <= last)
+        folders = [f"{base}/{ENDED}={m}" for m in months]
+        rows = self.spark.read.schema(schema).option("basePath", base).parquet(*folders).where(F.col("run") <= last)
         if after is not None:
             at = F.lit(after).cast("timestamp")
             rows = rows.where((F.col(ENDED) >= F.date_format(at, "yyyy-MM")) & (F.col(self.names.valid_to) > at))
