@@ -160,3 +160,8 @@ def test_rows_with_one_id_or_none_lose_their_own_lines_only(spark):
 def test_no_python_and_no_cross_join(odd_docs):
     plan = op.query(odd_docs)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan and "NestedLoop" not in plan
+
+
+def test_more_verdicts_than_are_broadcast(spark, odd_docs, odd_rows, monkeypatch):
+    monkeypatch.setattr(op, "SMALL", 2)
+    assert found(odd_docs.dropDuplicates()) == brute(spark, [(r[0], r[1]) for r in odd_rows])

@@ -36,7 +36,7 @@ from .common import free_name, settle
 
 MIN_CHARS = 12
 LAST = (1 << 63) - 1  # rank of a null id
-SMALL = 1_000_000  # lines (up to 80 MB) that are broadcast; beyond, all but the most frequent are joined
+SMALL = 1_000_000  # lines (up to 88 MB) that are broadcast; beyond, all but the most frequent are joined
 PIECES = 8  # of a line, and again of each piece that passes
 
 
@@ -66,19 +66,19 @@ def distinct_lines(every: DataFrame) -> DataFrame:
         part = F.left("norm", m) if end == "first" else F.right("norm", m)
         return F.xxhash64(F.lit(end), size, part)
 
-    keyed = every.select(*PLACE, _digest("norm").alias("key"), chars.alias("chars"), *[
+    keyed = every.select(*PLACE, _digest("norm").alias("key"), _short("norm").alias("short"), chars.alias("chars"), *[
         half(size, end).alias(name) for name, size, end in (
             ("own_first", chars, "first"), ("own_second", chars, "second"),
             ("less_first", chars - 1, "first"), ("less_second", chars - 1, "second"))])
-    names = ("chars", "own_first", "own_second", "less_first", "less_second")
+    names = ("short", "chars", "own_first", "own_second", "less_first", "less_second")
     grouped = keyed.groupBy("key").agg(F.min(F.struct(*PLACE)).alias("at"), F.count(F.lit(1)).alias("n"),
                                        *[F.first(c).alias(c) for c in names])
-    return grouped.select("key", _short("key"), "at.*", "n", *names)
+    return grouped.select("key", "at.*", "n", *names)
 
 
-def _short(key: str) -> Column:
-    """Leading bytes of a digest as a number: smaller to send; what it picks is compared in full later."""
-    return F.conv(F.substring(F.hex(F.col(key)), 1, 15), 16, 10).cast("long").alias("short")
+def _short(norm: str) -> Column:
+    """A line as a number: smaller to send and quicker to make than the digest, which what it picks is compared by."""
+    return F.xxhash64(F.col(norm))
 
 
 NEEDS = ("own_second", "own_first", "less_second", "less_first")
@@ -203,11 +203,16 @@ def neighbours(texts: DataFrame) -> DataFrame:
 
 def _with_verdicts(every: DataFrame, verdicts: DataFrame, total: int) -> DataFrame:
     """The lines that have a verdict. Verdicts have a row per distinct line; a frequent line meets a broadcast one."""
+    def beside(few: DataFrame) -> DataFrame:
+        met = every.select(*PLACE, "norm", _short("norm").alias("short")).join(F.broadcast(few), "short")
+        return met.where(_digest("norm") == F.col("key")).drop("norm", "short")
+
     if verdicts.count() <= SMALL:
-        return every.join(F.broadcast(verdicts), "key")
+        return beside(verdicts)
     # No more than SMALL lines can have this many rows each.
     frequent = F.col("n") * SMALL >= total
-    return every.join(F.broadcast(verdicts.where(frequent)), "key").unionByName(every.join(verdicts.where(~frequent), "key"))
+    rest = every.select(*PLACE, _digest("norm").alias("key")).join(verdicts.where(~frequent).drop("short"), "key")
+    return beside(verdicts.where(frequent)).unionByName(rest)
 
 
 def gone_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_chars: int = MIN_CHARS) -> DataFrame:
@@ -217,12 +222,12 @@ def gone_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_
     wanted = settle(candidates(distinct, min_chars))
     few = F.broadcast(wanted) if wanted.count() <= SMALL else wanted
     first = distinct.where(F.col("chars") >= min_chars).select("key", *PLACE)
-    texts = settle(every.select(_digest("norm").alias("key"), "norm").withColumn("short", _short("key")).join(few, "short")
+    texts = settle(every.select("norm", _short("norm").alias("short")).join(few, "short").withColumn("key", _digest("norm"))
                    .dropDuplicates(["key"]).join(first, "key"))
-    verdicts = settle(distinct.select("key", F.struct(*PLACE).alias("first"), "n").join(
+    verdicts = settle(distinct.select("key", "short", F.struct(*PLACE).alias("first"), "n").join(
         neighbours(sifted(texts)), "key", "left").where("n > 1 OR near IS NOT NULL"))
     total = distinct.agg(F.sum("n")).first()[0] or 0
-    placed = _with_verdicts(every.select(*PLACE, _digest("norm").alias("key")), verdicts, total)
+    placed = _with_verdicts(every, verdicts, total)
     equal = F.struct(*PLACE) != F.col("first")
     return placed.where(equal | F.col("near").isNotNull()).select(
         *PLACE, F.when(equal, F.col("first")).otherwise(F.col("near")).alias("keep"),
