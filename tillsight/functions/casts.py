@@ -46,8 +46,12 @@ def to_bool(c: str | Column) -> Column:
 
 
 def try_decimal(c: str | Column, precision: int, scale: int) -> Column:
-    """Text to DECIMAL, null where it is not a number or does not fit."""
-    return _col(c).try_cast(T.DecimalType(precision, scale))
+    """Text to DECIMAL, null where it is not a number or does not fit.
+
+    Texts for a missing value are told apart first: where they are common, failing to read them costs more than all else.
+    """
+    c = _col(c)
+    return F.when(~c.isin(*NULL_TOKENS), c).try_cast(T.DecimalType(precision, scale))
 
 
 def to_timestamp(c: str | Column) -> Column:

@@ -11,6 +11,8 @@ from ..schemas import CHECK_COLUMNS, MARKDOWNS
 
 KEY = "snapshot_key"
 KEY_PARTS = ["store_id", "dept_id", "store_date"]
+# What the rows of ``enriched`` are dealt by, as its join with economics leaves them.
+DEALT_BY = ["store_id", "store_date"]
 # The columns of the versioned sales table, in order.
 ENRICHED_COLUMNS = [KEY, "store_id", "dept_id", "date_id", "store_date", "store_type", "store_size",
                     *CHECK_COLUMNS]

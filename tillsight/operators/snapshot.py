@@ -3,7 +3,7 @@
 Layout under ``<root>/silver/fact_snapshot``
 ``current/run=<n>/sales_month=<yyyy-MM>``  open rows; a run rewrites only the months it changes
 ``closed/ended=<yyyy-MM>/run=<n>``         rows closed by that run, in the month of its time; never rewritten
-``changes/run=<n>``                        the run's new and changed source rows
+``changes/run=<n>``                        the run's new and changed source rows, beside what each ended
 ``commits/run=<n>``                        one row per month: the run that last wrote it
 
 A run exists once its ``commits`` folder holds the commit file; it is written last. Until then readers see
@@ -15,24 +15,44 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.keys import version_id
 from ..schemas import CHECK_COLUMNS, VersionColumns
+from ..session import shuffles_freed
 from ..sources.warehouse import Warehouse
-from .facts import KEY
-from .versions import NAMES, as_of, differences, open_version, reject_duplicates
+from .facts import DEALT_BY, KEY, KEY_PARTS
+from .versions import NAMES, as_of, differences, narrowed, open_version, reject_duplicates, whole_key
 
-MONTH, ENDED = "sales_month", "ended"
+MONTH, ENDED, BUCKET = "sales_month", "ended", "_bucket"
+# Parameter: rows of a month that one bucket holds on average; what is dealt by month and bucket goes to so many more tasks.
+BUCKET_ROWS = 250_000
+
+
+def dealt(rows: DataFrame, by: str, most: int) -> DataFrame:
+    """Rows dealt by month and bucket, which a column decides; ``most`` is the number of rows of the largest month."""
+    bucket = F.pmod(F.xxhash64(by), F.lit(1 + most // BUCKET_ROWS)).cast("int")
+    return rows.withColumn(BUCKET, bucket).repartition(MONTH, BUCKET)
+
+
+def largest_month(rows: DataFrame) -> int:
+    """Rows of the largest month; of files, only the footers are read."""
+    return rows.groupBy(MONTH).count().agg(F.max("count")).first()[0] or 0
 
 
 class SnapshotTable:
     def __init__(self, warehouse: Warehouse, name: str = "silver/fact_snapshot", key: str = KEY,
                  check_cols: list[str] | None = None, month_of: str = "store_date",
-                 names: VersionColumns = NAMES):
+                 names: VersionColumns = NAMES, parts: Sequence[str] | None = None,
+                 dealt_by: Sequence[str] | None = None):
+        """``parts`` are the columns behind the key: two rows have one key if they agree in these, and only then.
+        ``dealt_by`` are those of them by which sources mostly come dealt; open rows are then dealt alike."""
         self.wh, self.name, self.key, self.names = warehouse, name, key, names
         self.spark = warehouse.spark
+        self.parts = list(parts or (KEY_PARTS if key == KEY else [key]))
+        self.dealt_by = list(dealt_by or (DEALT_BY if self.parts == KEY_PARTS else self.parts))
         self.check_cols = list(CHECK_COLUMNS if check_cols is None else check_cols)
         self.month_of = month_of
 
@@ -169,22 +189,26 @@ class SnapshotTable:
             self.wh.mark(self._path("commits", _run(now), f"_{mark}"))
         self.wh.commit(self._path("commits", _run(now)))
 
-    def _store(self, rows: DataFrame, now: int) -> None:
-        """Few files per month; a month too big for one task is split over several. Version ids are hashes that hardly
-        compress, so they are made after rows are dealt, and files are written with zstd."""
-        id_ = self.names.scd_id
-        dealt = (rows.drop(id_).hint("rebalance", MONTH)
-                 .withColumn(id_, version_id(self.key, F.col(self.names.updated_at))).select(*rows.columns))
-        self._write(dealt, "current", _run(now), by=[MONTH])
+    def _narrowed(self, rows: DataFrame) -> DataFrame:
+        """Without version ids and with narrow keys: hashes, which hardly compress, are made after rows are dealt."""
+        return narrowed(rows, self.key, self.parts).drop(self.names.scd_id)
+
+    def _whole(self, rows: DataFrame) -> DataFrame:
+        """With keys, and version ids where rows are versions."""
+        rows = rows.withColumn(self.key, whole_key(self.key, self.parts))
+        at = self.names.updated_at
+        return rows.withColumn(self.names.scd_id, version_id(self.key, F.col(at))) if at in rows.columns else rows
 
     def _write(self, rows: DataFrame, *parts: str, by: Sequence[str] = ()) -> None:
-        rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(self._path(*parts))
+        with shuffles_freed(self.spark):
+            rows.write.mode("overwrite").option("compression", "zstd").partitionBy(*by).parquet(self._path(*parts))
 
     def _write_first(self, source: DataFrame, now: int, run_ts: str) -> list:
         """No open rows yet: every source row is new, so it is written once."""
         none = source.limit(0).withColumn("is_new", F.lit(True))
         none.write.mode("overwrite").parquet(self._path("changes", _run(now)))
-        self._store(open_version(reject_duplicates(source, self.key), self.key, run_ts, self.names), now)
+        unique = reject_duplicates(self._narrowed(source), self.key, self.parts)
+        self._store_new(unique, now, run_ts)
         base = self._path("current", _run(now))
         written = {m: now for m in self.wh.folders(base, MONTH)}
         if not written:
@@ -195,27 +219,44 @@ class SnapshotTable:
     def _write_changes(self, source: DataFrame, months: dict[str, int], now: int, run_ts: str) -> list:
         """Write down what changed, then rewrite the months it touches from that small table."""
         known = self._read_months(months) if months else self.spark.createDataFrame([], source.schema)
-        delta = differences(known, source, self.key, self.check_cols)
-        self._write(delta, "changes", _run(now))
+        known = self._narrowed(known).drop(MONTH).repartition(*self.dealt_by)
+        delta = differences(known, self._narrowed(source), self.key, self.check_cols, self.parts)
+        self._write(self._whole(delta), "changes", _run(now))
         delta = self.spark.read.parquet(self._path("changes", _run(now)))
         stats = delta.groupBy(MONTH).agg(F.count_if("is_new").alias("n"),
                                          F.count_if(~F.col("is_new")).alias("c")).collect()
         if not stats:
             return []
-        fresh = open_version(delta.drop("is_new"), self.key, run_ts, self.names)
+        new = delta.drop("is_new", "was")
         touched = {r[MONTH] for r in stats}
         rewritten = {m: r for m, r in months.items() if m in touched}
-        if rewritten:
-            before = self._read_months(rewritten)
-            keys = delta.where(~F.col("is_new")).select(self.key)
-            if any(r.c for r in stats):
-                ended = (before.join(keys, self.key, "left_semi")
-                         .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
-                self._write(ended.drop(MONTH), "closed", f"{ENDED}={run_ts[:7]}", _run(now))
-            fresh = before.join(keys, self.key, "left_anti").unionByName(fresh.select(*before.columns))
-        self._store(fresh, now)
+        if not rewritten:
+            self._store_new(self._narrowed(new), now, run_ts)
+            return stats
+        before = self._read_months(rewritten)
+        if any(r.c for r in stats):
+            ended = (delta.where(~F.col("is_new")).select(*dict.fromkeys([self.key, *self.parts]), "was.*")
+                     .withColumn(self.names.valid_to, F.lit(run_ts).cast("timestamp")))
+            self._write(self._whole(ended).select(*before.drop(MONTH).columns), "closed", f"{ENDED}={run_ts[:7]}", _run(now))
+        self._replace(before, open_version(new, self.key, run_ts, self.names), now)
         return stats
 
+    def _store_new(self, rows: DataFrame, now: int, run_ts: str) -> None:
+        """Source rows as open ones. Few files per month; a month too big for one task is split over several."""
+        by_month = rows.hint("rebalance", MONTH).withColumn(self.key, whole_key(self.key, self.parts))
+        self._write(open_version(by_month, self.key, run_ts, self.names), "current", _run(now), by=[MONTH])
+
+    def _replace(self, before: DataFrame, fresh: DataFrame, now: int) -> None:
+        """The open rows of months again, each replaced by the fresh one of its key. All are dealt once, as they are
+        written."""
+        columns = before.columns
+        both = (self._narrowed(before).withColumn("_new", F.lit(False))
+                .unionByName(self._narrowed(fresh.select(*columns)).withColumn("_new", F.lit(True))))
+        most = largest_month(both)
+        follows = F.lead("_new").over(W.partitionBy(MONTH, BUCKET, *self.parts).orderBy("_new"))
+        rows = dealt(both, self.parts[0], most).withColumn("_next", follows).where(F.col("_next").isNull())
+        self._write(self._whole(rows.drop("_new", "_next", BUCKET)).select(*columns), "current", _run(now), by=[MONTH])
+
 
 def _run(n: int) -> str:
     return f"run={n:06d}"

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ..functions.keys import version_id
+from ..functions.keys import surrogate_key, version_id
 from ..schemas import VersionColumns
 
 NAMES = VersionColumns()
@@ -27,16 +29,35 @@ def open_version(df: DataFrame, key: str, run_ts: str | Column, names: VersionCo
     })
 
 
-def reject_duplicates(df: DataFrame, key: str) -> DataFrame:
+def _null_key(key: str) -> Column:
+    return F.raise_error(F.lit(f"null {key} in the source"))
+
+
+def _repeated_key(key: str, parts: Sequence[str]) -> Column:
+    return F.raise_error(F.concat(F.lit(f"duplicate {key} in the source: "), whole_key(key, parts)))
+
+
+def narrowed(df: DataFrame, key: str, parts: Sequence[str]) -> DataFrame:
+    """The key left out where it is the hash of its ``parts``, which make it anew (``whole_key``): its 32 characters are
+    then neither shuffled nor sorted. The job aborts if a key is null."""
+    rest = F.col(key) if key in parts else F.when(~F.col(key).eqNullSafe(surrogate_key(*parts)), F.col(key))
+    return df.withColumn(key, F.when(F.col(key).isNull(), _null_key(key).cast("string")).otherwise(rest))
+
+
+def whole_key(key: str, parts: Sequence[str]) -> Column:
+    return F.col(key) if key in parts else F.coalesce(F.col(key), surrogate_key(*parts))
+
+
+def reject_duplicates(df: DataFrame, key: str, parts: Sequence[str] = ()) -> DataFrame:
     """The same rows; the job aborts if a key is null or occurs twice.
 
-    Numbers rows by key, which needs the shuffle and sort the version join needs anyway.
+    Numbers rows by key, which needs the shuffle and sort the version join needs anyway. Given the ``parts`` behind the key,
+    rows are ``narrowed`` and numbered by these, and not dealt again where an earlier step has dealt them by some of these.
     """
-    position = F.row_number().over(W.partitionBy(key).orderBy(key))
-    verdict = (F.when(F.col(key).isNull(), F.raise_error(F.lit(f"null {key} in the source")))
-               .when(F.col("_position") > 1,
-                     F.raise_error(F.concat(F.lit(f"duplicate {key} in the source: "), F.col(key))))
-               .otherwise(F.lit(True)))
+    position = F.row_number().over(W.partitionBy(*(parts or [key])).orderBy(*(parts or [key])[:1]))
+    verdict = F.when(F.col("_position") > 1, _repeated_key(key, parts or [key])).otherwise(F.lit(True))
+    if not parts:
+        verdict = F.when(F.col(key).isNull(), _null_key(key)).otherwise(verdict)
     return df.withColumn("_position", position).where(verdict.cast("boolean")).drop("_position")
 
 
@@ -47,17 +68,23 @@ def changed(before: str, after: str, check_cols: list[str]) -> Column:
     return ~old.eqNullSafe(new)
 
 
-def differences(current: DataFrame, source: DataFrame, key: str, check_cols: list[str]) -> DataFrame:
-    """Source rows that are new or whose checked values changed, with ``is_new`` and nothing else.
+def differences(current: DataFrame, source: DataFrame, key: str, check_cols: list[str], parts: Sequence[str]) -> DataFrame:
+    """Source rows that are new or whose checked values changed, with ``is_new`` and, as ``was``, what the current row
+    that they end has beside the key; both sides ``narrowed``. The job aborts if the source holds a key twice.
 
-    Of the current rows only the key and the checked columns are read and shuffled.
+    Both meet in one window on the columns behind the key, so that no row has to be looked up again to be closed.
     """
-    unique = reject_duplicates(source, key).alias("src")
-    known = current.select(key, *check_cols).alias("cur")
-    joined = unique.join(known, F.col(f"src.{key}") == F.col(f"cur.{key}"), "left")
-    is_new = F.col(f"cur.{key}").isNull()
-    return (joined.where(is_new | changed("cur", "src", check_cols))
-            .select("src.*", is_new.alias("is_new")))
+    own = [c for c in current.columns if c != key and c not in parts]
+    both = current.withColumn("_new", F.lit(False)).unionByName(source.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    history = W.partitionBy(*parts).orderBy("_new")
+    placed = both.withColumn("_was", F.lag(F.struct("_new", *own)).over(history))
+    is_new = F.col("_was").isNull()
+    checked, was = F.struct(*check_cols), F.struct(*[F.col(f"_was.{c}").alias(c) for c in check_cols])
+    picked = (F.when(~F.col("_new"), F.lit(False))
+              .when(F.col("_was._new"), _repeated_key(key, parts).cast("boolean"))
+              .otherwise(is_new | ~checked.eqNullSafe(was)))
+    before = F.struct(*[F.col(f"_was.{c}").alias(c) for c in own])
+    return placed.where(picked).select(*source.columns, is_new.alias("is_new"), F.when(~is_new, before).alias("was"))
 
 
 def apply_versions(history: DataFrame, source: DataFrame, key: str, check_cols: list[str],

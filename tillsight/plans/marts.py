@@ -30,7 +30,7 @@ WEIGHT = "decimal(10,0)"
 def row_measures(facts: DataFrame) -> DataFrame:
     """Sales rows as aggregates of one row each."""
     measures = [m for m in CHECK_COLUMNS if m in facts.columns]
-    keys = [c for c in ("store_id", "dept_id", "store_date", "sales_month") if c in facts.columns]
+    keys = [c for c in ("store_id", "dept_id", "store_date", "sales_month", "_bucket") if c in facts.columns]
     return facts.select(
         *keys,
         F.when(F.col("store_id").isNotNull(), 1).otherwise(0).cast("bigint").alias("rows"),

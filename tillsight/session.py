@@ -3,6 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +31,30 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_freeing: Counter = Counter()
+_lock = threading.Lock()
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of the statements inside go when each of them ends, not when the driver's garbage is collected.
+
+    Only for statements that are not run again from the same plan, as writes are. Threads may enter at once.
+    """
+    with _lock:
+        _freeing[spark] += 1
+        spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        with _lock:
+            _freeing[spark] -= 1
+            if not _freeing[spark]:
+                del _freeing[spark]
+                spark.conf.unset(_FREE_SHUFFLES)
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g",
                   app: str = "tillsight") -> SparkSession:
     """A single-machine session for tests and the benchmark."""

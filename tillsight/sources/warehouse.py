@@ -11,6 +11,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import shuffles_freed
+
 COMMIT = "_COMMIT"
 
 
@@ -91,7 +93,8 @@ class Warehouse:
         """Full rebuild as a new version; returns the stored table."""
         started = [int(v) for v in self.folders(self.path(name), "v")]
         target = self.path(name, _version(max(started, default=0) + 1))
-        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
+        with shuffles_freed(self.spark):
+            df.write.mode("errorifexists").partitionBy(*partition_by).parquet(target)
         self.commit(target)
         return self.table(name)
 
