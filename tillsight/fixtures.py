@@ -53,7 +53,8 @@ def lines(spark: SparkSession, folder: str) -> DataFrame:
     li = _read(spark, folder, "lineitem", LINEITEM)
     px, di = _hundredths("l_extendedprice"), _hundredths("l_discount")
     return li.select(
-        F.col("l_suppkey").cast("int").alias("store_id"), "l_partkey", "l_linenumber", "l_returnflag",
+        F.col("l_suppkey").cast("int").alias("store_id"), "l_partkey", "l_linenumber",
+        F.coalesce(F.col("l_returnflag") == "R", F.lit(False)).alias("returned"),
         _friday("l_shipdate").alias("store_date"), px.alias("px"), di.alias("di"),
         _hundredths("l_tax").alias("tx"), _hundredths("l_quantity").alias("qty"),
         _half_up(px * (100 - di)).alias("amount"))
@@ -78,15 +79,29 @@ def department_both(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _departments(spark: SparkSession, folder: str, amounts: dict[str, bool]) -> DataFrame:
-    part = _read(spark, folder, "part", PART).select(
-        F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("dept_id"))
     gross = F.col("amount")
-    less_returns = F.when(F.col("l_returnflag") == "R", -gross).otherwise(gross)
-    grouped = (lines(spark, folder).join(part, "l_partkey").groupBy("store_id", "dept_id", "store_date")
+    less_returns = F.when(F.col("returned"), -gross).otherwise(gross)
+    grouped = (_department_lines(spark, folder).groupBy("store_id", "dept_id", "store_date")
                .agg(*[F.sum(less_returns if net else gross).alias(name) for name, net in amounts.items()]))
+    return _department_text(grouped, list(amounts))
+
+
+def department_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Stores, departments, dates and flags of ``department_raw`` before its lines are grouped, so each as often as it has
+    lines: for what takes them distinct."""
+    return _department_text(_department_lines(spark, folder), [])
+
+
+def _department_lines(spark: SparkSession, folder: str) -> DataFrame:
+    part = _read(spark, folder, "part", PART).select(
+        F.col("p_partkey").alias("l_partkey"), F.col("p_size").alias("dept_id"))
+    return lines(spark, folder).join(part, "l_partkey")
+
+
+def _department_text(rows: DataFrame, amounts: list[str]) -> DataFrame:
     missing = (F.col("store_id") * 7 + F.col("dept_id")) % 97 == 0
     holiday = F.weekofyear("store_date").isin(HOLIDAY_WEEKS)
-    return grouped.select(
+    return rows.select(
         F.col("store_id").cast("string").alias("store_id"), F.col("dept_id").cast("string").alias("dept_id"),
         F.col("store_date").cast("string").alias("store_date"),
         *[F.when(missing, F.lit("NA")).otherwise(_text(F.col(name))).alias(name) for name in amounts],

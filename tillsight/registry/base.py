@@ -34,6 +34,10 @@ class Retail:
     def department_raw(self) -> DataFrame:
         return fixtures.department_raw(self.spark, self.folder)
 
+    @cached_property
+    def department_keys(self) -> DataFrame:
+        return fixtures.department_keys(self.spark, self.folder)
+
     @cached_property
     def fact_raw(self) -> DataFrame:
         return fixtures.fact_raw(self.spark, self.folder)
@@ -48,7 +52,7 @@ class Retail:
 
     @cached_property
     def date_dim(self) -> DataFrame:
-        return dims.date_dim(self.department_raw)
+        return dims.date_dim(self.department_keys)
 
     @cached_property
     def store_dim(self) -> DataFrame:

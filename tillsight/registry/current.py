@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import DataFrame
 
-from ..operators import quality
+from ..functions.keys import surrogate_key
+from ..operators import facts, quality
 from ..operators import versions as v
 from ..plans import marts
+from ..session import shared_folder
+from ..sources.warehouse import Warehouse
 from .base import TABLES, Retail, query
 from .checks import REPORT_SQL
 from .versions import _history
@@ -65,6 +69,11 @@ def current_economic_factors(r: Retail) -> DataFrame:
 
 @query("current_dq_report", re.sub(r"\bby_store\b", "open_by_store", re.sub(r"\benriched\b", "open_rows", REPORT_SQL)))
 def current_dq_report(r: Retail) -> DataFrame:
-    current = v.current_rows(_history(r))
-    by_store = marts.sales_by_store(marts.store_week(marts.row_measures(current)), r.store_dim, r.date_dim)
-    return quality.suite(r.date_dim, r.store_dim, current, by_store)
+    """Two checks each read the dimensions and the open rows, which are therefore made once and kept on the session's shared
+    folder; of the rows, the columns that the checks read, and the key as the parts it is the hash of."""
+    wh = Warehouse(r.spark, f"{shared_folder(r.spark)}/current-{uuid.uuid4().hex}")
+    dates, stores = wh.write(r.date_dim, "current/date_dim"), wh.write(r.store_dim, "current/store_dim")
+    read = v.current_rows(_history(r)).select(*facts.KEY_PARTS, marts.SALES)
+    current = wh.write(read, "current/sales").withColumn(facts.KEY, surrogate_key(*facts.KEY_PARTS))
+    by_store = marts.sales_by_store(marts.store_week(marts.row_measures(current)), stores, dates)
+    return quality.suite(dates, stores, current, by_store)
