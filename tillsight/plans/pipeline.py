@@ -168,6 +168,10 @@ class Pipeline:
         for job in started:
             job.result()
 
+    def write_together(self, tables: dict[str, DataFrame]) -> None:
+        """Independent tables at once."""
+        self._together({name: partial(self.wh.write, df, name) for name, df in tables.items()})
+
     def run_checks(self) -> DataFrame:
         """The check table, stored under ``checks`` and returned."""
         with self._step("checks"):

@@ -36,10 +36,10 @@ def _stored(spark: SparkSession, folder: str) -> Pipeline:
     the lines, and dimensions and sources are read from there."""
     r = Retail(spark, folder)
     pipe = Pipeline(spark, f"{shared_folder(spark)}/stored-{uuid.uuid4().hex}")
-    landed = pipe.wh.write(fixtures.department_both(spark, folder), "bronze/department_both")
-    facts_landed = pipe.wh.write(r.fact_raw, "bronze/fact_raw")
-    pipe.wh.write(dims.date_dim(landed), DATE_DIM)
-    stores = pipe.wh.write(dims.store_dim(landed, r.stores_raw), STORE_DIM)
+    pipe.write_together({"bronze/department_both": fixtures.department_both(spark, folder), "bronze/fact_raw": r.fact_raw})
+    landed, facts_landed = pipe.wh.table("bronze/department_both"), pipe.wh.table("bronze/fact_raw")
+    pipe.write_together({DATE_DIM: dims.date_dim(landed), STORE_DIM: dims.store_dim(landed, r.stores_raw)})
+    stores = pipe.wh.table(STORE_DIM)
     first = landed.where(F.col("store_date") < FIRST_ENDS).withColumn("weekly_sales", F.col("gross_sales"))
     second = landed.where(F.col("store_date") >= SECOND_STARTS)
     for delivery, run_ts in ((first, RUN_1), (second, RUN_2)):
